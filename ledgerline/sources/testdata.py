@@ -24,8 +24,26 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced(df) if balance else df
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over the cluster's cores.
+
+    A parquet file is split by row group; a table stored as one large row
+    group is read by one task and everything fused after it (joins, cleaning,
+    partial aggregation) runs single-threaded. Only when the scan yields fewer
+    splits than the default parallelism is a round-robin repartition added;
+    a many-file / many-row-group table (the normal case at scale) is left
+    untouched, so no shuffle is added there. Counting splits plans the scan
+    (file listing) but runs no job.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def _s(c: Column) -> Column:
@@ -34,8 +52,10 @@ def _s(c: Column) -> Column:
 
 def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines in the source's UPPER_CASE text layout."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"
+    li = balanced(
+        read_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"
+        )
     )
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -87,8 +107,10 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Options per order line: surcharges (positive) and discounts (negative)."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"
+    li = balanced(
+        read_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"
+        )
     )
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
