@@ -437,6 +437,23 @@ def oracle_queries() -> dict[str, str]:
         extra=", CAST(round(sum(discount_amount), 2) AS DOUBLE) AS total_discount_amount",
     )
     q["loyalty_location_discount"] = _q("SELECT * FROM metrics_mart")
+    q["loyalty_repeat"] = _q(
+        "SELECT loyalty_status, currency, CAST(count(*) AS BIGINT) AS total_customers, "
+        "CAST(count(*) FILTER (WHERE n >= 2) AS BIGINT) AS repeat_customers, "
+        "CAST(((20000 * count(*) FILTER (WHERE n >= 2) + count(*)) // (2 * count(*))) / 100.0 AS DOUBLE) AS repeat_customer_pct, "
+        f"CAST({_half_up_mean('sum(n)', 'count(n)', 0)} AS DOUBLE) AS orders_per_customer "
+        "FROM (SELECT loyalty_status, currency, user_id, count(DISTINCT order_id) AS n FROM orders7 "
+        "WHERE user_id IS NOT NULL GROUP BY loyalty_status, currency, user_id) GROUP BY loyalty_status, currency"
+    )
+    q["seasonality"] = _q(
+        "SELECT d.day_of_week, d.day_type, d.is_holiday, t.currency, "
+        "CAST(round(sum(t.item_gross_amount), 2) AS DOUBLE) AS total_revenue, "
+        "CAST(count(DISTINCT t.order_id) AS BIGINT) AS order_count, "
+        "CAST(count(DISTINCT t.user_id) AS BIGINT) AS customer_count, "
+        "CAST(count(DISTINCT t.order_date) AS BIGINT) AS selling_days "
+        "FROM trend_base t LEFT JOIN s_dates d ON t.order_date = d.date_key "
+        "GROUP BY d.day_of_week, d.day_type, d.is_holiday, t.currency"
+    )
     # dashboards
     q["dash_segmentation"] = _q("SELECT * FROM seg_view")
     q["dash_segment_counts"] = _q(

@@ -119,3 +119,25 @@ def sales_trends(
         .agg(*_measures())
         .select(*TREND_COLUMNS)
     )
+
+
+SEASON_KEYS = ["day_of_week", "day_type", "is_holiday", "currency"]
+
+
+def seasonality(items: DataFrame, dates: DataFrame) -> DataFrame:
+    """Item revenue, distinct orders and customers, and the number of distinct
+    selling days by calendar attributes (weekday, weekday/weekend, holiday) and
+    currency, from the silver calendar that the source builds but no mart
+    reads.
+
+    Left join on the order date, so revenue on dates missing from the calendar
+    is kept under NULL attributes instead of being dropped. The calendar has at
+    most one row per day, so Spark's size check broadcasts it and the line
+    table is never shuffled for the join.
+    """
+    cal = dates.select(F.col("date_key").alias("order_date"), "day_of_week", "day_type", "is_holiday")
+    base = trend_base(items).join(cal, on="order_date", how="left")
+    return base.groupBy(*SEASON_KEYS).agg(
+        *_measures(),
+        F.countDistinct("order_date").alias("selling_days"),
+    )

@@ -235,6 +235,16 @@ def _metrics_mart(i: Inputs) -> DataFrame:
     return i.metrics_mart
 
 
+@register("loyalty_repeat")
+def _loyalty_repeat(i: Inputs) -> DataFrame:
+    return metrics.loyalty_repeat(i.store_orders)
+
+
+@register("seasonality")
+def _seasonality(i: Inputs) -> DataFrame:
+    return _dbl(trends.seasonality(i.items, i.dates), ["total_revenue"])
+
+
 # ------------------------------------------------------------------ dashboards
 
 
