@@ -24,25 +24,41 @@ TABLES = (
 ).split()
 
 
+# One analysed relation per (application, path): like a catalog table, the file
+# listing and footer-based schema are resolved once per session rather than
+# once per query. The testdata files are read-only.
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _RELATIONS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _RELATIONS[key] = df
     return balanced(df) if balance else df
 
 
-def balanced(df: DataFrame) -> DataFrame:
+def balanced(df: DataFrame, keys: list[Column] | None = None) -> DataFrame:
     """Spread an under-split scan over the cluster's cores.
 
     A parquet file is split by row group; a table stored as one large row
     group is read by one task and everything fused after it (joins, cleaning,
     partial aggregation) runs single-threaded. Only when the scan yields fewer
-    splits than the default parallelism is a round-robin repartition added;
-    a many-file / many-row-group table (the normal case at scale) is left
+    splits than the default parallelism is a repartition added; a
+    many-file / many-row-group table (the normal case at scale) is left
     untouched, so no shuffle is added there. Counting splits plans the scan
     (file listing) but runs no job.
+
+    With ``keys`` the repartition hashes on them, so rows that aggregate
+    together stay in one task and the map-side partial aggregates stay
+    effective; without, rows are dealt round-robin (which scatters an order's
+    lines over all tasks).
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+        return df.repartition(target, *keys) if keys else df.repartition(target)
     return df
 
 
@@ -50,12 +66,23 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+# Lines of one order are kept together in chunks of this many line numbers: an
+# ordinary order stays in one task, while an order holding a large share of all
+# lines is still split across tasks.
+_LINE_CHUNK = 64
+
+
+def _order_chunk_keys() -> list[Column]:
+    return [F.col("l_orderkey"), (F.col("l_linenumber") / _LINE_CHUNK).cast("int")]
+
+
 def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines in the source's UPPER_CASE text layout."""
     li = balanced(
         read_table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"
-        )
+        ),
+        _order_chunk_keys(),
     )
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -110,7 +137,8 @@ def bronze_order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = balanced(
         read_table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"
-        )
+        ),
+        _order_chunk_keys(),
     )
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
