@@ -76,6 +76,13 @@ class Inputs:
     def metrics_mart(self) -> DataFrame:
         return marts.loyalty_location_discount(self.items, self.options)
 
+    @cached_property
+    def metrics_for_views(self) -> DataFrame:
+        # Dashboard views filter one metric type: on the union form Catalyst
+        # prunes the other two families (the stored mart is partitioned by
+        # metric_type for the same effect).
+        return marts.loyalty_location_discount(self.items, self.options, method="union")
+
 
 def _dbl(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[to_double(c).alias(c) if c in cols else F.col(c) for c in df.columns])
@@ -305,32 +312,32 @@ def _d_sales_kpis(i: Inputs) -> DataFrame:
 
 @register("dash_loyalty")
 def _d_loyalty(i: Inputs) -> DataFrame:
-    return dashboard.loyalty(i.metrics_mart)
+    return dashboard.loyalty(i.metrics_for_views)
 
 
 @register("dash_loyalty_kpis")
 def _d_loyalty_kpis(i: Inputs) -> DataFrame:
-    return dashboard.loyalty_kpis(dashboard.loyalty(i.metrics_mart))
+    return dashboard.loyalty_kpis(dashboard.loyalty(i.metrics_for_views))
 
 
 @register("dash_location_ranking")
 def _d_loc(i: Inputs) -> DataFrame:
-    return dashboard.location_ranking(dashboard.location(i.metrics_mart))
+    return dashboard.location_ranking(dashboard.location(i.metrics_for_views))
 
 
 @register("dash_location_kpis")
 def _d_loc_kpis(i: Inputs) -> DataFrame:
-    return dashboard.location_kpis(dashboard.location(i.metrics_mart))
+    return dashboard.location_kpis(dashboard.location(i.metrics_for_views))
 
 
 @register("dash_discount")
 def _d_disc(i: Inputs) -> DataFrame:
-    return dashboard.discount(i.metrics_mart)
+    return dashboard.discount(i.metrics_for_views)
 
 
 @register("dash_discount_kpis")
 def _d_disc_kpis(i: Inputs) -> DataFrame:
-    return dashboard.discount_kpis(dashboard.discount(i.metrics_mart))
+    return dashboard.discount_kpis(dashboard.discount(i.metrics_for_views))
 
 
 # ------------------------------------------------------------------ quality
