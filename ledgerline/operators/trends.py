@@ -91,24 +91,23 @@ def sales_trends(
         return out
     base = trend_base(items)
     if method == "grouping_sets":
-        cols = {p: _period_value(p, iso_year).alias(f"_pv_{p}") for p in period_types}
-        withp = base.select("*", *cols.values())
-        sets = ", ".join(f"(_pv_{p}, {', '.join(TREND_KEYS)})" for p in period_types)
-        withp.createOrReplaceTempView("_ledgerline_trend_base")
-        gid_case = " ".join(
-            f"WHEN _pv_{p} IS NOT NULL AND grouping(_pv_{p}) = 0 THEN '{p}'" for p in period_types
+        pv = {p: f"_pv_{p}" for p in period_types}
+        withp = base.select("*", *[_period_value(p, iso_year).alias(c) for p, c in pv.items()])
+        sets = [[F.col(c), *[F.col(k) for k in TREND_KEYS]] for c in pv.values()]
+        grouped = withp.groupingSets(sets, *[F.col(c) for c in pv.values()], *TREND_KEYS).agg(
+            *_measures(), *[F.grouping(c).alias(f"_g{c}") for c in pv.values()]
+        )
+        ptype = F.lit(None).cast("string")
+        for p, c in reversed(list(pv.items())):
+            ptype = F.when(F.col(f"_g{c}") == 0, F.lit(p)).otherwise(ptype)
+        return grouped.select(
+            ptype.alias("period_type"),
+            F.coalesce(*[F.col(c) for c in pv.values()]).alias("period_value"),
+            *TREND_KEYS,
+            "total_revenue",
+            "order_count",
+            "customer_count",
         )
-        pv = "coalesce(" + ", ".join(f"_pv_{p}" for p in period_types) + ")"
-        sql = f"""
-            SELECT CASE {gid_case} END AS period_type, {pv} AS period_value,
-                   {', '.join(TREND_KEYS)},
-                   round(sum(item_gross_amount), 2) AS total_revenue,
-                   count(DISTINCT order_id) AS order_count,
-                   count(DISTINCT user_id) AS customer_count
-            FROM _ledgerline_trend_base
-            GROUP BY GROUPING SETS ({sets})
-        """
-        return withp.sparkSession.sql(sql).select(*TREND_COLUMNS)
     # stacked
     periods = F.array(
         *[F.struct(F.lit(p).alias("period_type"), _period_value(p, iso_year).alias("period_value")) for p in period_types]
