@@ -19,6 +19,21 @@ from ledgerline.plans import dashboard, marts, quality
 from ledgerline.sources import ingest, testdata
 
 
+# Bronze and silver frames are views over read-only files: like registered
+# temp views they are resolved once per (application, sf_dir) and shared by
+# every query; marts and views are built fresh on each call.
+_LAYER_CACHE: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _layer(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    df = _LAYER_CACHE.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = build()
+        _LAYER_CACHE[key] = df
+    return df
+
+
 @dataclass
 class Inputs:
     spark: SparkSession
@@ -26,27 +41,29 @@ class Inputs:
 
     @cached_property
     def bronze_items(self) -> DataFrame:
-        return testdata.bronze_order_items(self.spark, self.sf_dir)
+        return _layer(self.spark, self.sf_dir, "bronze_items", lambda: testdata.bronze_order_items(self.spark, self.sf_dir))
 
     @cached_property
     def bronze_options(self) -> DataFrame:
-        return testdata.bronze_order_item_options(self.spark, self.sf_dir)
+        return _layer(
+            self.spark, self.sf_dir, "bronze_options", lambda: testdata.bronze_order_item_options(self.spark, self.sf_dir)
+        )
 
     @cached_property
     def bronze_dates(self) -> DataFrame:
-        return testdata.bronze_date_dim(self.spark, self.sf_dir)
+        return _layer(self.spark, self.sf_dir, "bronze_dates", lambda: testdata.bronze_date_dim(self.spark, self.sf_dir))
 
     @cached_property
     def items(self) -> DataFrame:
-        return silver.order_items(self.bronze_items)
+        return _layer(self.spark, self.sf_dir, "items", lambda: silver.order_items(self.bronze_items))
 
     @cached_property
     def options(self) -> DataFrame:
-        return silver.order_item_options(self.bronze_options)
+        return _layer(self.spark, self.sf_dir, "options", lambda: silver.order_item_options(self.bronze_options))
 
     @cached_property
     def dates(self) -> DataFrame:
-        return silver.date_dim(self.bronze_dates)
+        return _layer(self.spark, self.sf_dir, "dates", lambda: silver.date_dim(self.bronze_dates))
 
     @cached_property
     def customer_orders(self) -> DataFrame:
