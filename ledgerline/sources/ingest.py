@@ -6,6 +6,10 @@ with ``partition_column``/``lower_bound``/``upper_bound``/``num_partitions``
 Spark issues ``num_partitions`` range queries in parallel (one per task), so a
 large table is not pulled through one connection. Bounds only decide the split
 points; rows outside them are still read (by the first/last partition).
+
+For text keys (order ids are text in the source), pass ``predicates``: one
+WHERE clause per task, which together must cover every row exactly once, e.g.
+``hash_predicates("ABS(CHECKSUM(ORDER_ID))", 64)`` for a SQL Server source.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ class JdbcSource:
     upper_bound: int | str | None = None
     num_partitions: int | None = None
     fetch_size: int = 10_000
+    predicates: tuple[str, ...] = ()
     extra: dict[str, str] = field(default_factory=dict)
 
     def options(self) -> dict[str, str]:
@@ -38,6 +43,8 @@ class JdbcSource:
             opts["password"] = self.password
         if self.driver:
             opts["driver"] = self.driver
+        if self.partition_column and self.predicates:
+            raise ValueError("use either partition_column or predicates, not both")
         if self.partition_column:
             if self.lower_bound is None or self.upper_bound is None or not self.num_partitions:
                 raise ValueError("partitioned JDBC read needs lower_bound, upper_bound and num_partitions")
@@ -51,8 +58,22 @@ class JdbcSource:
         return opts
 
 
+def hash_predicates(hash_expr: str, buckets: int) -> tuple[str, ...]:
+    """One predicate per bucket of a non-negative integer hash expression
+    evaluated by the database; together they cover every row exactly once
+    (rows whose key is NULL get their own predicate)."""
+    if buckets < 1:
+        raise ValueError("buckets must be >= 1")
+    preds = tuple(f"({hash_expr}) % {buckets} = {k}" for k in range(buckets))
+    return preds + (f"({hash_expr}) IS NULL",)
+
+
 def read_source(spark: SparkSession, source: JdbcSource) -> DataFrame:
     """One source table as a DataFrame (schema from JDBC metadata)."""
+    if source.predicates:
+        opts = source.options()
+        url, table = opts.pop("url"), opts.pop("dbtable")
+        return spark.read.jdbc(url, table, predicates=list(source.predicates), properties=opts)
     return spark.read.format("jdbc").options(**source.options()).load()
 
 

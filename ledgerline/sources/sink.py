@@ -46,6 +46,23 @@ def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def delta_available(spark: SparkSession) -> bool:
+    """True when the Delta Lake classes are on the session's classpath."""
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName("io.delta.tables.DeltaTable")
+        return True
+    except Exception:
+        return False
+
+
+def require_delta(spark: SparkSession) -> None:
+    if not delta_available(spark):
+        raise RuntimeError(
+            "fmt='delta' needs the Delta Lake package on the classpath "
+            "(spark.jars.packages / spark.sql.extensions); use fmt='parquet' otherwise"
+        )
+
+
 def write_mart(
     df: DataFrame,
     root: str,
@@ -59,6 +76,7 @@ def write_mart(
     (``period_type`` / ``metric_type``) lets dashboard predicates prune
     partitions."""
     if fmt == "delta":
+        require_delta(df.sparkSession)
         path = _join(root, table)
         w = df.write.format("delta").mode("overwrite")
         if partition_by:

@@ -120,3 +120,28 @@ def test_streaming_silver_matches_batch(spark, scratch, golden):
     got = spark.read.parquet(out_dir).drop("silver_processed_timestamp")
     want = silver.order_items(text_df(spark, ITEM_COLS, rows))
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_jdbc_hash_predicates_cover_every_bucket():
+    preds = ingest.hash_predicates("ABS(CHECKSUM(ORDER_ID))", 4)
+    assert preds[:4] == tuple(f"(ABS(CHECKSUM(ORDER_ID))) % 4 = {k}" for k in range(4))
+    assert preds[-1] == "(ABS(CHECKSUM(ORDER_ID))) IS NULL"
+    src = ingest.JdbcSource(url="jdbc:x", table="dbo.t", predicates=preds)
+    assert "partitionColumn" not in src.options()
+    with pytest.raises(ValueError):
+        ingest.JdbcSource(url="u", table="t", partition_column="x", lower_bound=1, upper_bound=2, num_partitions=2, predicates=preds).options()
+
+
+def test_delta_gate(spark, golden, scratch):
+    if sink.delta_available(spark):
+        pytest.skip("Delta present")
+    with pytest.raises(RuntimeError):
+        sink.write_mart(golden["items"], scratch, "x", fmt="delta")
+
+
+def test_cli_query(spark, scratch, capsys):
+    from ledgerline.__main__ import main
+
+    out = os.path.join(scratch, "q")
+    assert main(["query", "loyalty_repeat", "--sf-dir", SF, "--out", out]) == 0
+    assert spark.read.parquet(out).count() == 10
