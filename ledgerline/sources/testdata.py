@@ -6,11 +6,15 @@ the testdata tables with deterministic dirt (stray spaces, malformed numbers and
 dates, NULL users, blank labels) so every cleaning rule is exercised. All work
 is lazy Spark joins and projections; nothing is materialised here.
 
-Join plan: lineitem x orders (both large, shuffle/sort-merge on the order key),
-x customer and x part (large at scale, shuffle), x nation / region (fixed-size
-dimensions; Spark's size check broadcasts them). No broadcast hints: the
-planner broadcasts only relations whose measured size is under
-``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks at runtime.
+Join plan, chosen from Spark's size estimates of the scans (no job runs):
+  * orders and customer within the broadcast threshold: lineitem joins each
+    table as a plain scan, all broadcast, no shuffle of the line table;
+  * otherwise: orders x customer (x nation x region) first, then lineitem x
+    enriched orders on the order key and x part on the part key, so the
+    lineitem-sized intermediate is shuffled twice instead of three times.
+No broadcast hints: the planner broadcasts only relations whose measured size
+is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks at
+runtime; everything else is a sort-merge join.
 """
 
 from __future__ import annotations
@@ -66,6 +70,20 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a plan (file sizes for scans; no job)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return size if isinstance(size, int) else int(size.toString())
+
+
+def _fits_broadcast(*dfs: DataFrame) -> bool:
+    """True when the summed size estimates are within the broadcast threshold,
+    i.e. Spark would broadcast each of them as the build side of a join."""
+    spark = dfs[0].sparkSession
+    limit = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return limit > 0 and sum(_estimated_bytes(d) for d in dfs) <= limit
+
+
 # Lines of one order are kept together in chunks of this many line numbers: an
 # ordinary order stays in one task, while an order holding a large share of all
 # lines is still split across tasks.
@@ -90,13 +108,28 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
 
-    j = (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .join(c, F.col("o_custkey") == c.c_custkey)
-        .join(n, F.col("c_nationkey") == n.n_nationkey)
-        .join(r, F.col("n_regionkey") == r.r_regionkey)
-        .join(p, F.col("l_partkey") == p.p_partkey)
-    )
+    if _fits_broadcast(o, c):
+        # Small dimensions: every right side is a plain scan, which Spark's
+        # size check broadcasts -- the line table is never shuffled for a join.
+        j = (
+            li.join(o, li.l_orderkey == o.o_orderkey)
+            .join(c, F.col("o_custkey") == c.c_custkey)
+            .join(n, F.col("c_nationkey") == n.n_nationkey)
+            .join(r, F.col("n_regionkey") == r.r_regionkey)
+            .join(p, F.col("l_partkey") == p.p_partkey)
+        )
+    else:
+        # Large dimensions: enrich orders first (orders-sized shuffle on the
+        # customer key), then join the line table once on the order key and
+        # once on the part key, so the widest, lineitem-sized intermediate is
+        # shuffled twice rather than three times.
+        customers = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
+        enriched_orders = o.join(customers, o.o_custkey == customers.c_custkey).select(
+            "o_orderkey", "o_custkey", "o_orderdate", "c_mktsegment", "n_name", "r_name"
+        )
+        j = li.join(enriched_orders, li.l_orderkey == enriched_orders.o_orderkey).join(
+            p, F.col("l_partkey") == p.p_partkey
+        )
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     return j.select(
         F.concat(F.lit(" "), F.when(F.col("l_returnflag") == "A", "mobile").otherwise("web"), F.lit(" ")).alias(
