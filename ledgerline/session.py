@@ -51,6 +51,35 @@ def build_session(
     return spark
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:
+    """Scale-dependent settings for a cluster run (pass as ``extra_conf``).
+
+    * scan splits of 512 MB: 100 TB -> ~200k read tasks, a few waves on a
+      1000-executor cluster, each task's columnar batch well inside memory;
+    * an initial shuffle partition count that keeps every partition near
+      256 MB even if a shuffle carried the whole input (the order-line
+      shuffles carry far less after partial aggregation), at least 3 tasks
+      per core; AQE then coalesces small partitions to the 256 MB advisory
+      size and splits skewed ones (a partition > 5x the median and > 1 GB);
+    * broadcast joins only below 64 MB measured size (static estimate or AQE
+      runtime size), so a broadcast never grows with the data.
+    """
+    cores = max(1, executors * cores_per_executor)
+    target = 256 * 1024**2
+    initial = max(3 * cores, -(-input_bytes // target))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024**2),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024**3),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024**2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024**2),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
 
