@@ -51,22 +51,26 @@ def build_session(
     return spark
 
 
-def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:
+def cluster_conf(
+    input_bytes: int, executors: int, cores_per_executor: int, shuffle_fraction: float = 0.1
+) -> dict[str, str]:
     """Scale-dependent settings for a cluster run (pass as ``extra_conf``).
 
     * scan splits of 512 MB: 100 TB -> ~200k read tasks, a few waves on a
       1000-executor cluster, each task's columnar batch well inside memory;
-    * an initial shuffle partition count that keeps every partition near
-      256 MB even if a shuffle carried the whole input (the order-line
-      shuffles carry far less after partial aggregation), at least 3 tasks
-      per core; AQE then coalesces small partitions to the 256 MB advisory
-      size and splits skewed ones (a partition > 5x the median and > 1 GB);
+    * an initial shuffle partition count sized for ~256 MB partitions of the
+      expected shuffle volume, ``shuffle_fraction`` of the input: scans read
+      few columns and partial aggregation collapses lines to orders before the
+      first exchange (100 TB -> ~41k partitions, not one per 256 MB of input,
+      which would mean ~10^10 shuffle blocks); at least 3 tasks per core. AQE
+      coalesces small partitions to the 256 MB advisory size and splits skewed
+      ones (> 5x the median and > 1 GB);
     * broadcast joins only below 64 MB measured size (static estimate or AQE
       runtime size), so a broadcast never grows with the data.
     """
     cores = max(1, executors * cores_per_executor)
     target = 256 * 1024**2
-    initial = max(3 * cores, -(-input_bytes // target))
+    initial = max(3 * cores, -(-int(input_bytes * shuffle_fraction) // target))
     return {
         "spark.sql.files.maxPartitionBytes": str(512 * 1024**2),
         "spark.sql.shuffle.partitions": str(initial),

@@ -62,7 +62,7 @@ def test_cluster_conf_sizing():
     from ledgerline.session import cluster_conf
 
     c = cluster_conf(100 * 1024**4, 1000, 8)
-    assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
+    assert int(c["spark.sql.shuffle.partitions"]) == 40960  # 10% of 100 TB in 256 MB partitions
     assert int(c["spark.sql.autoBroadcastJoinThreshold"]) == 64 * 1024**2
     small = cluster_conf(10 * 1024**2, 2, 4)
     assert int(small["spark.sql.shuffle.partitions"]) == 24  # at least 3 tasks per core
