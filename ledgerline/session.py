@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -85,25 +84,22 @@ def cluster_conf(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
+    """Shared folder for lineage cuts and stream checkpoints: the cluster's
+    ``spark.checkpoint.dir``, read from the session.
 
-    The setting is read from the session. Only when it is unset (local tests)
-    is a scratch folder created and registered.
+    Only a local-mode session (tests) without the setting gets a scratch
+    folder; on a cluster a missing setting is an error, because a
+    machine-local folder is not visible to other executors and is lost with
+    its machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (object store or distributed file system)")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", name) if "://" not in base else f"{base.rstrip('/')}/tables/{name}"
