@@ -48,7 +48,7 @@ def _literal_queries():
 
     def trends(spark, sf):
         i = Inputs(spark, sf)
-        return marts.sales_trends(i.items, method="stacked")
+        return marts.sales_trends(i.items, method="union")
 
     def trends_gs(spark, sf):
         i = Inputs(spark, sf)
@@ -61,7 +61,7 @@ def _literal_queries():
     return {
         "customer_ltv_daily__single_partition_ntile": ltv,
         "customer_segments__joins_and_lag": seg,
-        "sales_trends__stacked": trends,
+        "sales_trends__union": trends,
         "sales_trends__grouping_sets": trends_gs,
         "loyalty_location_discount__union": metrics,
     }

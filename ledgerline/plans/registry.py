@@ -89,6 +89,12 @@ class Inputs:
     def trends_mart(self) -> DataFrame:
         return marts.sales_trends(self.items)
 
+    @cached_property
+    def trends_for_views(self) -> DataFrame:
+        # Views filter one period type: the union form lets Catalyst prune the
+        # other periods (the stored mart is partitioned by period_type).
+        return marts.sales_trends(self.items, method="union")
+
     @cached_property
     def metrics_mart(self) -> DataFrame:
         return marts.loyalty_location_discount(self.items, self.options)
@@ -309,22 +315,22 @@ def _d_churn_kpis(i: Inputs) -> DataFrame:
 
 @register("dash_sales_weekly")
 def _d_sales(i: Inputs) -> DataFrame:
-    return dashboard.sales(i.trends_mart, "weekly")
+    return dashboard.sales(i.trends_for_views, "weekly")
 
 
 @register("dash_revenue_trend")
 def _d_trend(i: Inputs) -> DataFrame:
-    return dashboard.revenue_trend(dashboard.sales(i.trends_mart, "monthly"))
+    return dashboard.revenue_trend(dashboard.sales(i.trends_for_views, "monthly"))
 
 
 @register("dash_category_revenue")
 def _d_cat(i: Inputs) -> DataFrame:
-    return dashboard.category_revenue(dashboard.sales(i.trends_mart, "daily"))
+    return dashboard.category_revenue(dashboard.sales(i.trends_for_views, "daily"))
 
 
 @register("dash_sales_kpis")
 def _d_sales_kpis(i: Inputs) -> DataFrame:
-    return dashboard.sales_kpis(dashboard.sales(i.trends_mart, "daily"))
+    return dashboard.sales_kpis(dashboard.sales(i.trends_for_views, "daily"))
 
 
 @register("dash_loyalty")
