@@ -73,6 +73,11 @@ def to_double(c: str | Column) -> Column:
     return col_(c).cast("double")
 
 
+def money_to_double(df, money_cols):
+    """Select every column of ``df`` in order, money columns cast to double."""
+    return df.select(*[to_double(c).alias(c) if c in money_cols else F.col(c) for c in df.columns])
+
+
 def bool_label(c: str | Column, true_label: str, false_label: str) -> Column:
     """NULL and false both map to ``false_label``."""
     return F.when(col_(c) == F.lit(True), F.lit(true_label)).otherwise(F.lit(false_label))

@@ -13,14 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.config import DEFAULT_THRESHOLDS, Thresholds
-from ledgerline.functions.columns import to_double
+from ledgerline.functions.columns import money_to_double as _doubles
 from ledgerline.operators import customers, metrics, revenue, trends
 
 
-def _doubles(df: DataFrame, money: list[str]) -> DataFrame:
-    return df.select(*[to_double(c).alias(c) if c in money else F.col(c) for c in df.columns])
-
-
 def customer_orders(items: DataFrame, options: DataFrame, line_count: bool = False) -> DataFrame:
     return revenue.order_revenue(items, options, revenue.CUSTOMER_GRAIN, line_count=line_count)
 

@@ -9,16 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# key columns and money column checked per known table (by column presence)
-_KEYS = {
-    "ORDER_ID": None,
-    "order_id": None,
-    "user_id": None,
-    "order_date": None,
-    "date_key": None,
-    "period_value": None,
-    "metric_dimension": None,
-}
+# Key columns and money columns checked in each table, by presence.
+_KEYS = ("ORDER_ID", "order_id", "user_id", "order_date", "date_key", "period_value", "metric_dimension")
 _MONEY = (
     "item_gross_amount",
     "option_gross_amount",

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.config import TESTDATA_AS_OF
-from ledgerline.functions.columns import to_double
+from ledgerline.functions.columns import money_to_double as _dbl
 from ledgerline.operators import customers, metrics, revenue, silver, trends
 from ledgerline.plans import dashboard, marts, quality
 from ledgerline.sources import ingest, testdata
@@ -107,10 +107,6 @@ class Inputs:
         return marts.loyalty_location_discount(self.items, self.options, method="union")
 
 
-def _dbl(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[to_double(c).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {}
 

@@ -38,6 +38,7 @@ def test_order_items_schema(golden):
 
 
 def test_options_golden(golden):
+    assert golden["options"].columns == silver.OPTION_COLUMNS
     rows = sorted((r.option_group_name, r.option_name, r.option_gross_amount) for r in golden["options"].collect())
     assert rows == [
         ("discounts", "promo", Decimal("-5.00")),
@@ -58,7 +59,9 @@ def test_date_dim(spark):
         ("2024-06-02", "2024", "6", "22.0", " sunday", "true", "false", None),
         ("bad-key", "2024", "6", "22", "Monday", "false", "false", None),  # dropped
     ]
-    out = {r.date_key.isoformat(): r for r in silver.date_dim(text_df(spark, DATE_COLS, rows)).collect()}
+    dd = silver.date_dim(text_df(spark, DATE_COLS, rows))
+    assert dd.columns == silver.DATE_DIM_COLUMNS
+    out = {r.date_key.isoformat(): r for r in dd.collect()}
     assert len(out) == 3
     assert out["2024-01-01"].day_of_week == "monday" and out["2024-01-01"].holiday_name == "New Year"
     assert out["2024-01-01"].is_holiday is True
