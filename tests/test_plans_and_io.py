@@ -34,8 +34,6 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 
 def test_period_filter_prunes_union_branches(spark):
     i = Inputs(spark, SF)
-    from ledgerline.plans import dashboard
-
     plan = i.trends_for_views.filter(F.col("period_type") == "weekly")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") <= 2 and "Union" not in plan
 

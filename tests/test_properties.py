@@ -3,7 +3,6 @@ from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from conftest import ITEM_COLS, OPTION_COLS, text_df
 from ledgerline.functions import columns as C
@@ -107,4 +106,3 @@ def test_current_date_default(spark, golden):
     today = dt.date.today()
     rec = {r.user_id: r.recency_days for r in seg.collect()}
     assert rec["U1"] == (today - dt.date(2024, 6, 20)).days
-    assert F is not None
