@@ -5,6 +5,14 @@ import pytest
 from checks.compare import duck_connect, _rows
 
 SF = "/root/testdata/sf0.001"
+_DUCK_TO_SPARK = {
+    "VARCHAR": "string",
+    "INTEGER": "int",
+    "BIGINT": "bigint",
+    "DOUBLE": "double",
+    "DATE": "date",
+    "BOOLEAN": "boolean",
+}
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +39,8 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(sdf.columns) == sorted(ocols)
     assert len(srows) == len(orows)
     assert _rows(sdf.columns, srows) == _rows(ocols, orows)
+    otypes = {c: _DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(ocols, duck.sql(sql).types)}
+    assert dict(sdf.dtypes) == otypes
 
 
 def test_entry_smoke(spark):
