@@ -13,13 +13,22 @@ count an order or customer once per row they appear in (not additive).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.metrics import DISCOUNT, LOCATION, LOYALTY
 
 _CENTS = "decimal(20,2)"
 
+GOLD_TABLES = ("customer_ltv_daily", "customer_segments", "sales_trends", "loyalty_location_discount")
+
+
+def marts_from_catalog(spark: SparkSession, database: str = "ledgerline_gold") -> dict[str, DataFrame]:
+    """The stored gold marts as registered by the pipeline (what the views
+    read in production). A view's equality predicate on ``period_type`` /
+    ``metric_type`` becomes a partition filter on these tables."""
+    return {t: spark.table(f"{database}.{t}") for t in GOLD_TABLES}
+
 
 def _cents(c: str) -> Column:
     return F.col(c).cast(_CENTS)
