@@ -42,9 +42,12 @@ def customer_ltv_daily(
     thresholds: Thresholds = DEFAULT_THRESHOLDS,
     distributed: bool = True,
     audit: bool = False,
+    orders: DataFrame | None = None,
 ) -> DataFrame:
-    """M1."""
-    daily = revenue.daily_customer_revenue(customer_orders(items, options))
+    """M1. ``orders``: precomputed customer-grain orders (e.g. written once
+    per pipeline run and shared with M2); built from items/options if None."""
+    orders = orders if orders is not None else customer_orders(items, options)
+    daily = revenue.daily_customer_revenue(orders)
     out = customers.customer_ltv_daily(daily, thresholds, distributed).select(*LTV_COLUMNS)
     out = _doubles(out, ["daily_revenue", "customer_ltv_to_date"])
     return out.withColumn("gold_processed_timestamp", F.current_timestamp()) if audit else out
@@ -57,9 +60,11 @@ def customer_segments(
     thresholds: Thresholds = DEFAULT_THRESHOLDS,
     method: str = "one_pass",
     audit: bool = False,
+    orders: DataFrame | None = None,
 ) -> DataFrame:
-    """M2."""
-    out = customers.customer_segments(customer_orders(items, options), as_of, thresholds, method)
+    """M2. ``orders`` as for M1."""
+    orders = orders if orders is not None else customer_orders(items, options)
+    out = customers.customer_segments(orders, as_of, thresholds, method)
     out = _doubles(
         out,
         [

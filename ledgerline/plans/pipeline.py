@@ -79,12 +79,18 @@ def run(
         bronze = sink.read_layer(spark, res.paths[f"bronze.{name}"])
         res.paths[f"silver.{name}"] = sink.write_layer(clean(bronze, audit=True), f"{root}/silver", name, version=v)
 
-    # gold: silver folders -> marts
+    # gold: silver folders -> marts. The customer-grain order revenue feeds
+    # both customer marts: it is computed once (one shuffle of the lines),
+    # written to this run's work folder (cutting the lineage) and read by both.
     items = sink.read_layer(spark, res.paths["silver.order_items"])
     options = sink.read_layer(spark, res.paths["silver.order_item_options"])
+    res.paths["work.customer_orders"] = sink.write_layer(
+        marts.customer_orders(items, options), f"{root}/work", "customer_orders", version=v
+    )
+    orders = sink.read_layer(spark, res.paths["work.customer_orders"])
     gold = {
-        "customer_ltv_daily": marts.customer_ltv_daily(items, options, thresholds, audit=True),
-        "customer_segments": marts.customer_segments(items, options, as_of, thresholds, audit=True),
+        "customer_ltv_daily": marts.customer_ltv_daily(items, options, thresholds, audit=True, orders=orders),
+        "customer_segments": marts.customer_segments(items, options, as_of, thresholds, audit=True, orders=orders),
         "sales_trends": marts.sales_trends(items, audit=True),
         "loyalty_location_discount": marts.loyalty_location_discount(items, options, audit=True),
     }
@@ -99,7 +105,7 @@ def run(
 
     # post-run checks over what was written
     res.checks = quality.layer_checks(
-        {k: sink.read_layer(spark, p) for k, p in res.paths.items() if not k.startswith("gold.")},
+        {k: sink.read_layer(spark, p) for k, p in res.paths.items() if k.split(".")[0] in ("bronze", "silver")},
         {k: spark.table(f"{database}.{k.split('.', 1)[1]}") for k in res.paths if k.startswith("gold.")},
     )
     return res
