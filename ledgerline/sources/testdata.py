@@ -34,14 +34,14 @@ TABLES = (
 _RELATIONS: dict[tuple[str, str], DataFrame] = {}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
     df = _RELATIONS.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
         _RELATIONS[key] = df
-    return balanced(df) if balance else df
+    return df
 
 
 def balanced(df: DataFrame, keys: list[Column] | None = None) -> DataFrame:
@@ -71,16 +71,29 @@ def _s(c: Column) -> Column:
 
 
 def _estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a plan (file sizes for scans; no job)."""
+    """Spark's own size estimate of a plan (file sizes for scans; no job).
+    PySpark has no public accessor for plan statistics, so this reads the
+    optimized plan's stats through the JVM DataFrame."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return size if isinstance(size, int) else int(size.toString())
 
 
+_UNITS = {"b": 1, "k": 1024, "kb": 1024, "m": 1024**2, "mb": 1024**2, "g": 1024**3, "gb": 1024**3, "t": 1024**4, "tb": 1024**4}
+
+
+def _conf_bytes(text: str) -> int:
+    """Parse a Spark byte-size setting ('10485760b', '10MB', '-1')."""
+    t = text.strip().lower()
+    num = t.rstrip("kmgtb")
+    unit = t[len(num):] or "b"
+    return int(float(num) * _UNITS[unit])
+
+
 def _fits_broadcast(*dfs: DataFrame) -> bool:
     """True when the summed size estimates are within the broadcast threshold,
     i.e. Spark would broadcast each of them as the build side of a join."""
     spark = dfs[0].sparkSession
-    limit = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    limit = _conf_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
     return limit > 0 and sum(_estimated_bytes(d) for d in dfs) <= limit
 
 
