@@ -33,6 +33,19 @@ class Thresholds:
 
 DEFAULT_THRESHOLDS = Thresholds()
 
+
+# Output labels and type names that must equal the source
+# system's, in the order the rules assign them.
+UNKNOWN_LABEL = "unknown"
+LOYALTY_LABEL, NON_LOYALTY_LABEL = "loyalty", "non_loyalty"
+WEEKEND_LABEL, WEEKDAY_LABEL = "weekend", "weekday"
+HIGH_CLV, MEDIUM_CLV, LOW_CLV = "high_clv", "medium_clv", "low_clv"
+VIP, NEW_CUSTOMER, CHURN_RISK, STANDARD = "vip", "new_customer", "churn_risk", "standard"
+INACTIVE, AT_RISK, ACTIVE = "inactive", "at_risk", "active"
+DAILY, WEEKLY, MONTHLY = "daily", "weekly", "monthly"
+LOYALTY_METRIC, LOCATION_METRIC, DISCOUNT_METRIC = "loyalty_program_impact", "location_performance", "discount_effectiveness"
+DISCOUNTED, NON_DISCOUNTED = "discounted_orders", "non_discounted_orders"
+
 # Fixed "as of" date used by the registered queries so results are reproducible:
 # the last order date present in every testdata scale.
 TESTDATA_AS_OF = _dt.date(2001, 8, 1)

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerline.config import UNKNOWN_LABEL
+
 # Money is exact inside the engine: prices parse to PRICE, line amounts are
 # rounded to cents, sums stay decimal, and only the final projection turns a
 # money column into a double.
@@ -28,7 +30,7 @@ def clean_text(c: str | Column) -> Column:
 def clean_label(c: str | Column) -> Column:
     """Trimmed text -> lower case; NULL or empty -> 'unknown'."""
     t = F.trim(col_(c))
-    return F.when(t.isNull() | (t == F.lit("")), F.lit("unknown")).otherwise(F.lower(t))
+    return F.when(t.isNull() | (t == F.lit("")), F.lit(UNKNOWN_LABEL)).otherwise(F.lower(t))
 
 
 def safe_int(c: str | Column) -> Column:

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.config import LOYALTY_LABEL, NON_LOYALTY_LABEL, WEEKDAY_LABEL, WEEKEND_LABEL
 from ledgerline.functions.columns import (
     bool_label,
     clean_label,
@@ -104,7 +105,7 @@ def order_items(bronze: DataFrame, audit: bool = False) -> DataFrame:
         *[c for c in typed.columns],
         ts.alias("creation_timestamp_utc"),
         F.to_date(ts).alias("order_date"),
-        bool_label("is_loyalty", "loyalty", "non_loyalty").alias("loyalty_status"),
+        bool_label("is_loyalty", LOYALTY_LABEL, NON_LOYALTY_LABEL).alias("loyalty_status"),
         line_amount("item_price", "item_quantity").alias("item_gross_amount"),
     )
     return _stamp(out, audit)
@@ -143,6 +144,6 @@ def date_dim(bronze: DataFrame, audit: bool = False) -> DataFrame:
             clean_text("holiday_name").alias("holiday_name"),
         )
         .filter(F.col("date_key").isNotNull())
-        .withColumn("day_type", bool_label("is_weekend", "weekend", "weekday"))
+        .withColumn("day_type", bool_label("is_weekend", WEEKEND_LABEL, WEEKDAY_LABEL))
     )
     return _stamp(out, audit)

@@ -24,9 +24,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.config import DAILY, MONTHLY, WEEKLY
 from ledgerline.functions.columns import money_round, year_month_key, year_week_key
 
-PERIOD_TYPES = ("daily", "weekly", "monthly")
+PERIOD_TYPES = (DAILY, WEEKLY, MONTHLY)
 TREND_KEYS = ["restaurant_id", "item_category", "currency"]
 TREND_COLUMNS = [
     "period_type",
@@ -42,11 +43,11 @@ TREND_COLUMNS = [
 
 def _period_value(period_type: str, iso_year: bool = False):
     d = F.col("order_date")
-    if period_type == "daily":
+    if period_type == DAILY:
         return d.cast("string")
-    if period_type == "weekly":
+    if period_type == WEEKLY:
         return year_week_key(d, iso_year)
-    if period_type == "monthly":
+    if period_type == MONTHLY:
         return year_month_key(d)
     raise ValueError(f"unknown period type {period_type!r}")
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.config import AT_RISK, INACTIVE
 from ledgerline.operators.metrics import DISCOUNT, LOCATION, LOYALTY
 
 _CENTS = "decimal(20,2)"
@@ -98,7 +99,7 @@ CHURN_COLUMNS = [
     "rfm_segment",
     "inactivity_tag",
 ]
-AT_RISK_TAGS = ("at_risk", "inactive")
+AT_RISK_TAGS = (AT_RISK, INACTIVE)
 
 
 def churn(segments: DataFrame) -> DataFrame:
