@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--database", default="ledgerline_gold")
     p.add_argument("--as-of", default=None)
     p.add_argument("--gold-format", default="parquet")
+    p.add_argument("--retain-versions", type=int, default=None, help="keep this many versions per layer table")
     q = sub.add_parser("query", help="run one registered query")
     q.add_argument("name")
     q.add_argument("--sf-dir", required=True)
@@ -41,7 +42,15 @@ def main(argv: list[str] | None = None) -> int:
         from ledgerline.sources import testdata
 
         sources = {name: (lambda b=b: b(spark, args.sf_dir)) for name, b in testdata.BRONZE_BUILDERS.items()}
-        res = pipeline.run(spark, sources, args.root, args.database, args.as_of, gold_format=args.gold_format)
+        res = pipeline.run(
+            spark,
+            sources,
+            args.root,
+            args.database,
+            args.as_of,
+            gold_format=args.gold_format,
+            retain_versions=args.retain_versions,
+        )
         print(json.dumps({"version": res.version, "paths": res.paths}))
         res.checks.show(truncate=False)
         return 0

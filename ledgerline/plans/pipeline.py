@@ -56,10 +56,13 @@ def run(
     thresholds: Thresholds = DEFAULT_THRESHOLDS,
     gold_format: str = "parquet",
     version: str | None = None,
+    retain_versions: int | None = None,
 ) -> RunResult:
     """Run all layers. ``sources`` maps each bronze table name
     (order_items, order_item_options, date_dim) to a zero-argument function
-    returning the source DataFrame (e.g. ``ingest.read_source`` over JDBC)."""
+    returning the source DataFrame (e.g. ``ingest.read_source`` over JDBC).
+    ``retain_versions``: after a successful publish, keep only this many
+    versions per layer table (the published ones are never deleted)."""
     v = version or sink.new_version_id()
     res = RunResult(version=v)
     root = root.rstrip("/")
@@ -103,6 +106,15 @@ def run(
     for name in gold:
         catalog.register(spark, database, name, res.paths[f"gold.{name}"], gold_format)
 
+    # retention: bounded storage for the versioned layers
+    if retain_versions:
+        published = set(res.paths.values())
+        for key in res.paths:
+            layer, name = key.split(".", 1)
+            if gold_format == "delta" and layer == "gold":
+                continue
+            sink.prune_versions(spark, f"{root}/{layer}", name, retain_versions, published)
+
     # post-run checks over what was written
     res.checks = quality.layer_checks(
         {k: sink.read_layer(spark, p) for k, p in res.paths.items() if k.split(".")[0] in ("bronze", "silver")},

@@ -84,3 +84,36 @@ def write_mart(
         w.save(path)
         return path
     return write_layer(df, root, table, partition_by, version, fmt)
+
+
+def _fs_and_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def list_versions(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Version folders ``<root>/<table>/v=<id>``, oldest first (ids start
+    with a UTC timestamp, so name order is time order)."""
+    fs, base = _fs_and_path(spark, _join(root, table))
+    if not fs.exists(base):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(base) if st.isDirectory()]
+    return [_join(root, table, n) for n in sorted(n for n in names if n.startswith("v="))]
+
+
+def prune_versions(
+    spark: SparkSession, root: str, table: str, keep: int, protect: set[str] | frozenset[str] = frozenset()
+) -> list[str]:
+    """Delete all but the newest ``keep`` versions of ``table``, never one in
+    ``protect`` (e.g. the folders the catalog currently points to). Returns the
+    deleted paths. Versioned writes make overwrites atomic; pruning keeps
+    their storage bounded."""
+    if keep < 1:
+        raise ValueError("keep must be >= 1")
+    versions = list_versions(spark, root, table)
+    doomed = [v for v in versions[:-keep] if v.rstrip("/") not in {p.rstrip("/") for p in protect}]
+    for v in doomed:
+        fs, path = _fs_and_path(spark, v)
+        fs.delete(path, True)
+    return doomed

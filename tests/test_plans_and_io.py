@@ -96,8 +96,12 @@ def test_pipeline_end_to_end_and_rerun(spark, scratch):
     assert "PartitionFilters: [isnotnull(period_type" in weekly._jdf.queryExecution().executedPlan().toString()
     _views_over_stored_equal_live(spark)
     first = sorted(tuple(r) for r in spark.table("ll_pipe.customer_segments").drop("gold_processed_timestamp").collect())
-    r2 = pipeline.run(spark, sources, scratch, database="ll_pipe", as_of=GOLDEN_AS_OF)
+    r2 = pipeline.run(spark, sources, scratch, database="ll_pipe", as_of=GOLDEN_AS_OF, retain_versions=1)
     assert r2.version != r1.version
+    # retention kept only the published version of every layer table
+    for key, path in r2.paths.items():
+        layer, name = key.split(".", 1)
+        assert sink.list_versions(spark, f"{scratch}/{layer}", name) == [path]
     again = sorted(tuple(r) for r in spark.table("ll_pipe.customer_segments").drop("gold_processed_timestamp").collect())
     assert again == first  # rerun gives the same result
 
