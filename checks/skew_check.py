@@ -52,7 +52,29 @@ def _orders(spark, n_orders: int):
     )
 
 
-def _measure(n_orders: int, log_dir: str, build) -> dict:
+def _lines(spark, n_lines: int):
+    """Silver-like order lines in which one (day, restaurant, category,
+    currency) group holds a third of all lines."""
+    from pyspark.sql import functions as F
+
+    ids = spark.range(0, n_lines, numPartitions=16)
+    hot = F.col("id") % 3 == 0
+    return ids.select(
+        F.when(hot, F.lit("2021-06-01").cast("date"))
+        .otherwise(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 900).cast("int")))
+        .alias("order_date"),
+        F.when(hot, F.lit("R0")).otherwise(F.concat(F.lit("R"), (F.col("id") % 25).cast("string"))).alias("restaurant_id"),
+        F.when(hot, F.lit("pizza")).otherwise(F.concat(F.lit("c"), (F.col("id") % 150).cast("string"))).alias("item_category"),
+        F.when(hot, F.lit("USD")).otherwise(F.lit("EUR")).alias("currency"),
+        F.concat(F.lit("o"), (F.col("id") / 4).cast("long").cast("string")).alias("order_id"),
+        F.concat(F.lit("u"), (F.col("id") % 50_000).cast("string")).alias("user_id"),
+        (F.col("id") % 5000).cast("decimal(18,2)").alias("item_gross_amount"),
+        F.lit(True).alias("is_loyalty"),
+        F.lit("loyalty").alias("loyalty_status"),
+    )
+
+
+def _measure(n_orders: int, log_dir: str, build, rows=None) -> dict:
     from ledgerline.session import build_session
 
     os.makedirs(log_dir, exist_ok=True)
@@ -62,7 +84,7 @@ def _measure(n_orders: int, log_dir: str, build) -> dict:
         extra_conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    for df in build(_orders(spark, n_orders)):
+    for df in build((rows or _orders)(spark, n_orders)):
         df.write.format("noop").mode("overwrite").save()
     spark.stop()
     worst, single = [], []
@@ -110,7 +132,22 @@ def main(n_orders: int = 3_000_000, scratch: str | None = None) -> None:
             )
         ],
     )
-    print(json.dumps({"orders": n_orders, "hot_user_share": round(1 / 3, 3), "ours": ours, "plain_window_lag": contrast}, indent=1))
+    from ledgerline.operators import metrics, trends
+
+    def _hot_group(lines):
+        store = lines.groupBy(
+            "order_id", "restaurant_id", "user_id", "is_loyalty", "loyalty_status", "order_date", "currency"
+        ).agg(F.sum("item_gross_amount").alias("order_total_revenue")).withColumn("has_discount", F.lit(False))
+        return [trends.sales_trends(lines), metrics.loyalty_location_discount(store)]
+
+    hot_group = _measure(n_orders, os.path.join(base, "hot_group"), _hot_group, rows=_lines)
+    print(json.dumps({
+        "rows": n_orders,
+        "hot_share": round(1 / 3, 3),
+        "ours_hot_user": ours,
+        "plain_window_lag_hot_user": contrast,
+        "ours_hot_group_trends_and_metrics": hot_group,
+    }, indent=1))
 
 
 if __name__ == "__main__":
