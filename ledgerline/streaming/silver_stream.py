@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerline.operators import silver
+from ledgerline.schemas import bronze_schema
 from ledgerline.session import checkpoint_dir
 
 CLEANERS = {
@@ -29,16 +30,18 @@ def stream_silver(
     table: str,
     bronze_path: str,
     silver_path: str,
-    schema: StructType,
+    schema: StructType | None = None,
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str = "1 minute",
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the incremental cleaning of one bronze table. ``checkpoint``
-    defaults to a folder under the session's shared checkpoint directory."""
+    """Start the incremental cleaning of one bronze table. ``schema``
+    defaults to the declared bronze text schema (with audit columns);
+    ``checkpoint`` defaults to a folder under the session's shared checkpoint
+    directory."""
     clean = CLEANERS[table]
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema or bronze_schema(table, audit=True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     src: DataFrame = reader.parquet(bronze_path)
