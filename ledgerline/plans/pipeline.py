@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.config import DEFAULT_THRESHOLDS, Thresholds
 from ledgerline.operators import silver
 from ledgerline.plans import marts, quality
+from ledgerline.schemas import require_bronze_columns
 from ledgerline.sources import catalog, ingest, sink
 
 BRONZE_SOURCES = {
@@ -69,7 +70,9 @@ def run(
 
     # bronze: source -> parquet + audit columns
     for name, table in BRONZE_SOURCES.items():
-        df = ingest.add_audit(sources[name](), table)
+        src = sources[name]()
+        require_bronze_columns(src, name)
+        df = ingest.add_audit(src, table)
         res.paths[f"bronze.{name}"] = sink.write_layer(df, f"{root}/bronze", name, version=v)
 
     # silver: bronze folders -> cleaned parquet

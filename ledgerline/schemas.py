@@ -176,3 +176,13 @@ GOLD = {
 def names_and_types(schema: T.StructType) -> list[tuple[str, str]]:
     """(name, simpleString type) pairs, ignoring nullability."""
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+
+def require_bronze_columns(df, table: str) -> None:
+    """Fail fast when a source lacks a column the cleaning rules read (column
+    names are matched case-insensitively, like Spark's resolver); extra
+    source columns are allowed."""
+    have = {c.lower() for c in df.columns}
+    missing = [c for c in BRONZE_COLUMNS[table] if c.lower() not in have]
+    if missing:
+        raise ValueError(f"source table {table!r} lacks columns {missing}")

@@ -43,3 +43,12 @@ def test_gold_schemas(golden):
     }
     for table, df in got.items():
         assert S.names_and_types(df.schema) == S.names_and_types(S.GOLD[table]), table
+
+
+def test_require_bronze_columns(spark):
+    import pytest
+
+    i = Inputs(spark, SF)
+    S.require_bronze_columns(i.bronze_items, "order_items")
+    with pytest.raises(ValueError, match="ITEM_PRICE"):
+        S.require_bronze_columns(i.bronze_items.drop("ITEM_PRICE"), "order_items")
