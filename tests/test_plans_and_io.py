@@ -200,3 +200,26 @@ def _views_over_stored_equal_live(spark):
 
     for a, b in zip(views(stored), views(live)):
         assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+@pytest.mark.parametrize("table", ["order_item_options", "date_dim"])
+def test_streaming_silver_other_tables(spark, scratch, table):
+    from ledgerline.operators import silver
+    from ledgerline.schemas import bronze_schema
+
+    rows = {
+        "order_item_options": [("O1", "O1-1", " Extras ", None, "1.50", "2"), ("O2", "O2-1", "x", "y", "bad", "1")],
+        "date_dim": [("2024-06-01", "2024", "6", "22", " Saturday", None, "false", None), ("bad-key", "2024", "6", "22", "x", "true", "false", None)],
+    }[table]
+    bronze_dir = os.path.join(scratch, "bronze")
+    src = spark.createDataFrame(rows, bronze_schema(table))
+    from ledgerline.sources import ingest as _ingest
+
+    _ingest.add_audit(src, table).write.parquet(os.path.join(bronze_dir, "b1"))
+    out = os.path.join(scratch, "silver")
+    stream_silver(spark, table, bronze_dir + "/*", out, checkpoint=os.path.join(scratch, "ckpt")).awaitTermination()
+    clean = {"order_item_options": silver.order_item_options, "date_dim": silver.date_dim}[table]
+    want = clean(src)
+    got = spark.read.parquet(out).select(*want.columns)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert got.count() == 1
