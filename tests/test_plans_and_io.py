@@ -223,3 +223,16 @@ def test_streaming_silver_other_tables(spark, scratch, table):
     got = spark.read.parquet(out).select(*want.columns)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     assert got.count() == 1
+
+
+def test_cli_pipeline(spark, scratch, capsys):
+    from ledgerline.__main__ import main
+
+    root = os.path.join(scratch, "lake")
+    args = ["pipeline", "--sf-dir", SF, "--root", root, "--database", "ll_cli", "--as-of", "2001-08-01"]
+    assert main(args + ["--retain-versions", "1"]) == 0
+    assert main(args + ["--retain-versions", "1"]) == 0
+    assert spark.table("ll_cli.customer_segments").count() == 150
+    assert spark.table("ll_cli.loyalty_location_discount").count() == 45
+    for layer, name in (("silver", "order_items"), ("gold", "sales_trends"), ("work", "customer_orders")):
+        assert len(sink.list_versions(spark, f"{root}/{layer}", name)) == 1
