@@ -236,3 +236,22 @@ def test_cli_pipeline(spark, scratch, capsys):
     assert spark.table("ll_cli.loyalty_location_discount").count() == 45
     for layer, name in (("silver", "order_items"), ("gold", "sales_trends"), ("work", "customer_orders")):
         assert len(sink.list_versions(spark, f"{root}/{layer}", name)) == 1
+
+
+def test_single_partition_exchanges_only_carry_partition_counts(spark):
+    """In the final (adaptive) plan of every registered query, the only data
+    routed through a single partition is the per-range-partition count table
+    of the distributed ranking (at most spark.sql.shuffle.partitions rows) or
+    a global aggregate's one partial row per task."""
+    import __spark_entry__ as E
+
+    for name, fn in E.queries().items():
+        df = fn(spark, SF)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        lines = plan.splitlines()
+        for k, line in enumerate(lines):
+            if "Exchange SinglePartition" not in line:
+                continue
+            below = " ".join(lines[k + 1 : k + 4])
+            assert ("keys=[_part" in below) or ("HashAggregate(keys=[]" in below) or ("partial_" in below), (name, below[:300])
