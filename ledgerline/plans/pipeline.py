@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,23 @@ GOLD_PARTITIONS = {
 }
 
 
+def _run_layer_serial(jobs: dict[str, Callable[[], str]]) -> dict[str, str]:
+    return {key: job() for key, job in jobs.items()}
+
+
+def _run_layer(jobs: dict[str, Callable[[], str]]) -> dict[str, str]:
+    """Run one layer's independent writes as concurrent Spark jobs and wait
+    for all of them (the layer barrier). If any fails, its error is raised
+    after the others finish, so no later layer starts."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs)), thread_name_prefix="ledgerline-layer") as pool:
+        futures = {key: pool.submit(job) for key, job in jobs.items()}
+        wait(futures.values())
+    out = {}
+    for key, fut in futures.items():
+        out[key] = fut.result()  # re-raises the first failure in key order
+    return out
+
+
 @dataclass
 class RunResult:
     version: str
@@ -58,22 +76,31 @@ def run(
     gold_format: str = "parquet",
     version: str | None = None,
     retain_versions: int | None = None,
+    parallel: bool = True,
 ) -> RunResult:
     """Run all layers. ``sources`` maps each bronze table name
     (order_items, order_item_options, date_dim) to a zero-argument function
     returning the source DataFrame (e.g. ``ingest.read_source`` over JDBC).
     ``retain_versions``: after a successful publish, keep only this many
-    versions per layer table (the published ones are never deleted)."""
+    versions per layer table (the published ones are never deleted).
+    ``parallel``: the writes of one layer run as concurrent Spark jobs (they
+    are independent); layers stay barriers and the first failure stops the
+    run before the next layer starts."""
     v = version or sink.new_version_id()
     res = RunResult(version=v)
     root = root.rstrip("/")
+    layer = _run_layer if parallel else _run_layer_serial
 
     # bronze: source -> parquet + audit columns
-    for name, table in BRONZE_SOURCES.items():
-        src = sources[name]()
-        require_bronze_columns(src, name)
-        df = ingest.add_audit(src, table)
-        res.paths[f"bronze.{name}"] = sink.write_layer(df, f"{root}/bronze", name, version=v)
+    def bronze_job(name: str, table: str) -> Callable[[], str]:
+        def job() -> str:
+            src = sources[name]()
+            require_bronze_columns(src, name)
+            return sink.write_layer(ingest.add_audit(src, table), f"{root}/bronze", name, version=v)
+
+        return job
+
+    res.paths.update(layer({f"bronze.{n}": bronze_job(n, t) for n, t in BRONZE_SOURCES.items()}))
 
     # silver: bronze folders -> cleaned parquet
     cleaners = {
@@ -81,9 +108,15 @@ def run(
         "order_item_options": silver.order_item_options,
         "date_dim": silver.date_dim,
     }
-    for name, clean in cleaners.items():
-        bronze = sink.read_layer(spark, res.paths[f"bronze.{name}"])
-        res.paths[f"silver.{name}"] = sink.write_layer(clean(bronze, audit=True), f"{root}/silver", name, version=v)
+
+    def silver_job(name: str, clean: Callable[..., DataFrame]) -> Callable[[], str]:
+        def job() -> str:
+            bronze = sink.read_layer(spark, res.paths[f"bronze.{name}"])
+            return sink.write_layer(clean(bronze, audit=True), f"{root}/silver", name, version=v)
+
+        return job
+
+    res.paths.update(layer({f"silver.{n}": silver_job(n, c) for n, c in cleaners.items()}))
 
     # gold: silver folders -> marts. The customer-grain order revenue feeds
     # both customer marts: it is computed once (one shuffle of the lines),
@@ -100,10 +133,11 @@ def run(
         "sales_trends": marts.sales_trends(items, audit=True),
         "loyalty_location_discount": marts.loyalty_location_discount(items, options, audit=True),
     }
-    for name, df in gold.items():
-        res.paths[f"gold.{name}"] = sink.write_mart(
-            df, f"{root}/gold", name, gold_format, GOLD_PARTITIONS[name], version=v
-        )
+
+    def gold_job(name: str, df: DataFrame) -> Callable[[], str]:
+        return lambda: sink.write_mart(df, f"{root}/gold", name, gold_format, GOLD_PARTITIONS[name], version=v)
+
+    res.paths.update(layer({f"gold.{n}": gold_job(n, df) for n, df in gold.items()}))
 
     # publish: re-point the catalog tables at this run's folders
     for name in gold:

@@ -255,3 +255,21 @@ def test_single_partition_exchanges_only_carry_partition_counts(spark):
                 continue
             below = " ".join(lines[k + 1 : k + 4])
             assert ("keys=[_part" in below) or ("HashAggregate(keys=[]" in below) or ("partial_" in below), (name, below[:300])
+
+
+def test_pipeline_stops_at_failed_layer(spark, scratch):
+    """A failing bronze job stops the run at the layer barrier: no silver or
+    gold version is written and nothing is published."""
+    sources = {
+        "order_items": lambda: text_df(spark, ITEM_COLS, golden_item_rows()).drop("ITEM_PRICE"),
+        "order_item_options": lambda: text_df(spark, OPTION_COLS, golden_option_rows()),
+        "date_dim": lambda: spark.createDataFrame(
+            [("2024-06-20", "2024", "6", "25", "Thursday", "false", "false", None)],
+            "date_key string, year string, month string, week string, day_of_week string, is_weekend string, is_holiday string, holiday_name string",
+        ),
+    }
+    with pytest.raises(ValueError, match="ITEM_PRICE"):
+        pipeline.run(spark, sources, scratch, database="ll_fail")
+    assert sink.list_versions(spark, f"{scratch}/silver", "order_items") == []
+    assert sink.list_versions(spark, f"{scratch}/gold", "sales_trends") == []
+    assert not spark.catalog.tableExists("ll_fail.sales_trends")
