@@ -95,6 +95,10 @@ def test_pipeline_end_to_end_and_rerun(spark, scratch):
     weekly = spark.sql("SELECT * FROM ll_pipe.sales_trends WHERE period_type = 'weekly'")
     assert "PartitionFilters: [isnotnull(period_type" in weekly._jdf.queryExecution().executedPlan().toString()
     _views_over_stored_equal_live(spark)
+    # each stored trends file is ordered by period_value within its partition folder
+    for path in spark.read.parquet(r1.paths["gold.sales_trends"]).inputFiles():
+        values = [r.period_value for r in spark.read.parquet(path).select("period_value").collect()]
+        assert values == sorted(values)
     first = sorted(tuple(r) for r in spark.table("ll_pipe.customer_segments").drop("gold_processed_timestamp").collect())
     r2 = pipeline.run(spark, sources, scratch, database="ll_pipe", as_of=GOLDEN_AS_OF, retain_versions=1)
     assert r2.version != r1.version
