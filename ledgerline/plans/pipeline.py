@@ -74,6 +74,7 @@ class RunResult:
     version: str
     paths: dict[str, str] = field(default_factory=dict)
     checks: DataFrame | None = None
+    reconciliation: DataFrame | None = None
 
 
 def run(
@@ -170,4 +171,7 @@ def run(
         {k: sink.read_layer(spark, p) for k, p in res.paths.items() if k.split(".")[0] in ("bronze", "silver")},
         {k: spark.table(f"{database}.{k.split('.', 1)[1]}") for k in res.paths if k.startswith("gold.")},
     )
+    res.reconciliation = quality.reconciliation(
+        {k.split(".", 1)[1]: spark.table(f"{database}.{k.split('.', 1)[1]}") for k in res.paths if k.startswith("gold.")}
+    )
     return res

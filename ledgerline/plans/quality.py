@@ -43,3 +43,35 @@ def layer_checks(*layers: dict[str, DataFrame]) -> DataFrame:
             part = table_check(name, df)
             out = part if out is None else out.unionByName(part)
     return out
+
+
+def _cents_total(df: DataFrame, col: str) -> DataFrame:
+    return df.agg(F.sum(F.col(col).cast("decimal(20,2)")).alias("total"))
+
+
+def reconciliation(marts: dict[str, DataFrame]) -> DataFrame:
+    """Cross-mart invariants, one row per check (check, detail, consistent):
+    the LTV and segments totals are the same customer-grain order revenue;
+    each trends period type and each metrics family partitions the same
+    revenue, so their totals must agree. Exact (sums in cents); each check is
+    a few global aggregates, no shuffle of the data."""
+    ltv = _cents_total(marts["customer_ltv_daily"], "daily_revenue")
+    seg = _cents_total(marts["customer_segments"], "monetary_total_spend")
+    customer = ltv.unionByName(seg).agg(
+        F.lit("customer_marts_total").alias("check"),
+        F.concat_ws(" / ", F.collect_list(F.col("total").cast("string"))).alias("detail"),
+        (F.countDistinct("total") <= 1).alias("consistent"),
+    )
+    out = customer
+    for mart, key, col in (
+        ("sales_trends", "period_type", "total_revenue"),
+        ("loyalty_location_discount", "metric_type", "total_revenue"),
+    ):
+        per = marts[mart].groupBy(key).agg(F.sum(F.col(col).cast("decimal(20,2)")).alias("total"))
+        row = per.agg(
+            F.lit(f"{mart}_by_{key}").alias("check"),
+            F.concat_ws(" / ", F.sort_array(F.collect_list(F.concat_ws("=", F.col(key), F.col("total").cast("string"))))).alias("detail"),
+            (F.countDistinct("total") <= 1).alias("consistent"),
+        )
+        out = out.unionByName(row)
+    return out

@@ -88,6 +88,8 @@ def test_pipeline_end_to_end_and_rerun(spark, scratch):
     }
     r1 = pipeline.run(spark, sources, scratch, database="ll_pipe", as_of=GOLDEN_AS_OF)
     checks = {r.table_name: r for r in r1.checks.collect()}
+    recon = {r.check: r for r in r1.reconciliation.collect()}
+    assert len(recon) == 3 and all(r.consistent for r in recon.values()), recon
     assert checks["silver.order_items"].row_count == 16
     assert checks["bronze.order_items"].row_count == 18
     seg = spark.table("ll_pipe.customer_segments")

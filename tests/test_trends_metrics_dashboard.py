@@ -136,3 +136,34 @@ def test_week_label_rule(spark):
 
     df = spark.createDataFrame([(dt.date(2021, 1, 1),), (dt.date(2024, 12, 30),)], "order_date date")
     assert [r.w for r in df.select(year_week_key("order_date").alias("w")).collect()] == ["2021-W53", "2024-W01"]
+
+
+def test_reconciliation_detects_inconsistent_marts(gold):
+    from pyspark.sql import functions as F
+
+    from ledgerline.plans import quality
+
+    ok = {r.check: r.consistent for r in quality.reconciliation(_named(gold)).collect()}
+    assert ok == {
+        "customer_marts_total": True,
+        "sales_trends_by_period_type": True,
+        "loyalty_location_discount_by_metric_type": True,
+    }
+    broken = _named(gold)
+    broken["customer_segments"] = broken["customer_segments"].filter(F.col("user_id") != "U5")
+    broken["sales_trends"] = broken["sales_trends"].filter(F.col("period_type") != "daily").unionByName(
+        broken["sales_trends"].filter((F.col("period_type") == "daily") & (F.col("item_category") != "pizza"))
+    )
+    bad = {r.check: r.consistent for r in quality.reconciliation(broken).collect()}
+    assert bad["customer_marts_total"] is False
+    assert bad["sales_trends_by_period_type"] is False
+    assert bad["loyalty_location_discount_by_metric_type"] is True
+
+
+def _named(gold):
+    return {
+        "customer_ltv_daily": gold["ltv"],
+        "customer_segments": gold["seg"],
+        "sales_trends": gold["trends"],
+        "loyalty_location_discount": gold["metrics"],
+    }
