@@ -8,7 +8,9 @@ versioned folder; gold tables are re-pointed in the catalog only after all
 marts of the run are written, so readers never see a half-updated set.
 
 The root folder must be shared storage visible to every executor (object store
-or distributed file system), never a machine-local temporary folder.
+or distributed file system), never a machine-local temporary folder. One run
+per root at a time: retention keeps the newest versions and the published ones,
+so a concurrent second run's unpublished folders could be pruned.
 """
 
 from __future__ import annotations
