@@ -81,7 +81,7 @@ def _measure(n_orders: int, log_dir: str, build, rows=None) -> dict:
     spark = build_session(
         "local[8]",
         shuffle_partitions=16,
-        extra_conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir},
+        extra_conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir, "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     for df in build((rows or _orders)(spark, n_orders)):
