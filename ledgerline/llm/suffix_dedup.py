@@ -16,9 +16,10 @@ its anchor do. Neighbouring windows share an anchor:
    window at the anchor, and the name of the run's whole string.
 2. Runs whose half window is unique drop out (no window there repeats).
 3. Runs whose whole string occurs twice are settled: all their windows repeat.
-4. The others, the ends of repeated stretches, are taken window by window: pairs of
-   half-window names, counted. One run of each settled string that shares a half window
-   with them is taken too, as two.
+4. The others, the ends of repeated stretches, are cut into pieces of up to ``PIECE``
+   windows; a piece stays if what all its windows share repeats. Then their windows are
+   counted one by one. Names here are pairs of half-window names. One run of each settled
+   string that shares a half window with an unsettled run is taken along, as two.
 
 Names are 64-bit polynomial hashes of a string, so they need no global sort; what is
 decided rests on two of them (128 bits). Any block of a long text is scanned alone.
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 from . import common
 
 BLOCK = 1 << 18
+PIECE = 8
 _U = np.uint64
 _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 _BASE = 0x5851F42D4C957F2D
@@ -125,42 +127,45 @@ def _anchor_rows(width: int):
     return run
 
 
-def _starts(place: np.ndarray) -> np.ndarray:
-    """All windows of the runs, sorted."""
+def _pieces(place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs cut into pieces of at most ``size`` windows, at offsets from the anchor that are multiples
+    of it, and the last window that a whole piece would have."""
     place = np.unique(place)
-    at = place >> 16
-    first, last = at - (place >> 8 & 255), at - (place & 255)
-    n = last - first + 1
-    return np.sort(np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()))
+    at, far, near = place >> 16, place >> 8 & 255, place & 255
+    low = near // size
+    n = far // size - low + 1
+    j = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+    at, far, near = (np.repeat(x, n) for x in (at, far, near))
+    far, near = np.minimum(far, j * size + size - 1), np.maximum(near, j * size)
+    return (at << 16) | (far << 8) | near, at - j * size
 
 
-def _window_rows(width: int):
-    """Names of every window of a document's unsettled runs (n = 1) and of its samples of
-    settled ones (n = 2)."""
-    half = width // 2
+def _piece_rows(width: int, size: int):
+    """Names of what the windows of each piece have in common, for a document's unsettled runs (n = 1)
+    and its samples of settled ones (n = 2)."""
+    half, long = width // 2, width - size + 1
 
     def run(batches):
         for b in batches:
             parts = []
-            for key, text, ends, samples in zip(
-                b.column("k").to_pylist(),
-                b.column("bytes").to_pylist(),
-                b.column("ends"),
-                b.column("samples"),
-                strict=True,
+            for key, text, *places in zip(
+                b.column("k").to_pylist(), b.column("bytes").to_pylist(), b.column("ends"), b.column("samples"), strict=True
             ):
-                own, known = _starts(ends.values.to_numpy()), _starts(samples.values.to_numpy())
-                for start in range(0, len(text), BLOCK):
-                    names = None
-                    for n, p in ((1, own), (2, known)):
-                        p = p[np.searchsorted(p, start) : np.searchsorted(p, start + BLOCK)] - start
-                        if len(p):
-                            names = names or Names(text[start : start + BLOCK + width - 1])
-                            pair = names.of(p, p + half), names.of(p + half, p + width)
-                            parts.append((*pair, np.full(len(p), key), p + start, np.full(len(p), n)))
+                cut = [_pieces(x.values.to_numpy(), size) for x in places]
+                n = np.repeat([1, 2], [len(p) for p, _ in cut])
+                place, start = (np.concatenate(x) for x in zip(*cut, strict=True))
+                order = np.argsort(start, kind="stable")
+                n, place, start = n[order], place[order], start[order]
+                for block in range(0, len(text), BLOCK):
+                    own = slice(*np.searchsorted(start, [block, block + BLOCK]))
+                    p = start[own] - block
+                    if len(p):
+                        names = Names(text[block : block + BLOCK + width - 1])
+                        pair = names.of(p, p + half), names.of(p + long - half, p + long)
+                        parts.append((*pair, np.full(len(p), key), place[own], n[own]))
             if parts:
                 cols = [_i64(np.concatenate(c)) for c in zip(*parts, strict=True)]
-                yield pa.RecordBatch.from_arrays(cols, ["name", "next", "k", "p", "n"])
+                yield pa.RecordBatch.from_arrays(cols, ["name", "next", "k", "place", "n"])
 
     return run
 
@@ -185,10 +190,9 @@ def _cut(width: int):
                 none = np.zeros(0, dtype=np.int64)
                 place = none if runs.values is None else runs.values.to_numpy()
                 p = none if ends.values is None else ends.values.to_numpy()
+                place = np.concatenate([place, p])
                 at = place >> 16
-                lo, hi = _spans(
-                    np.concatenate([at - (place >> 8 & 255), p]), np.concatenate([at - (place & 255), p]) + width
-                )
+                lo, hi = _spans(at - (place >> 8 & 255), at - (place & 255) + width)
                 kept, done = [], 0
                 for x, y in zip(lo.tolist(), hi.tolist(), strict=True):
                     kept.append(text[done:x])
@@ -223,9 +227,7 @@ def dedup(docs: DataFrame, width: int = 400) -> DataFrame:
         "doc_id", common.row_key().alias("k"), F.coalesce("text", F.lit("")).cast("binary").alias("bytes")
     )
     rows = "half long, whole long, k long, place long"
-    anchors = common.written(
-        texts.select("k", "bytes").where(F.length("bytes") >= width).mapInArrow(_anchor_rows(width), rows), "anchors"
-    )
+    anchors = texts.select("k", "bytes").where(F.length("bytes") >= width).mapInArrow(_anchor_rows(width), rows)
     shared = common.written(common.repeated(anchors, ["half"]), "shared")
     common.release(spark)
     groups = shared.groupBy("half", "whole").agg(
@@ -246,17 +248,23 @@ def dedup(docs: DataFrame, width: int = 400) -> DataFrame:
         "runs",
     )
     common.release(spark)
-    # a repeated row counts as often as it occurs: the join keeps each of its rows
-    rows = "name long, next long, k long, p long, n long"
-    windows = (
-        texts.select("k", "bytes")
-        .join(per_doc.where("size(ends) > 0 or size(samples) > 0").drop("runs"), "k")
-        .mapInArrow(_window_rows(width), rows)
-    )
-    twice = windows.groupBy("name", "next").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
-    found = windows.where("n = 1").join(twice, ["name", "next"], "left_semi")
-    found = common.written(found.groupBy("k").agg(F.collect_set("p").alias("windows")), "windows")
-    common.release(spark)
+    left = per_doc.where("size(ends) > 0 or size(samples) > 0").drop("runs")
+    for size in (PIECE, 1):
+        # a repeated row counts as often as it occurs: the join keeps each of its rows
+        pieces = (
+            texts.select("k", "bytes")
+            .join(left, "k")
+            .mapInArrow(_piece_rows(width, size), "name long, next long, k long, place long, n long")
+        )
+        twice = pieces.groupBy("name", "next").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
+        found = pieces.where("n = 1" if size == 1 else "true").join(twice, ["name", "next"], "left_semi")
+        found = found.groupBy("k").agg(
+            F.collect_set(F.when(F.col("n") == 1, F.col("place"))).alias("ends"),
+            F.collect_set(F.when(F.col("n") == 2, F.col("place"))).alias("samples"),
+        )
+        left = common.written(found, "pieces")
+        common.release(spark)
+    found = left.select("k", F.col("ends").alias("windows"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<start: long, end: long>>"
     return (
         texts.join(per_doc.select("k", "runs"), "k", "left").join(found, "k", "left").drop("k").mapInArrow(_cut(width), out)
