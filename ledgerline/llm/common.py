@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -35,12 +36,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    del df
+    release(spark)
+    return spark.read.schema(schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of jobs whose results are written;
-    it only learns of them when the driver's JVM collects garbage."""
+    """Lets Spark's cleaner drop the shuffle files of jobs whose results are written: it
+    learns of them when Python's and then the JVM's garbage collection find them unused.
+    The last job's are held until another one has run."""
+    spark.range(1).count()
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 

@@ -229,7 +229,6 @@ def dedup(docs: DataFrame, width: int = 400) -> DataFrame:
     rows = "half long, whole long, k long, place long"
     anchors = texts.select("k", "bytes").where(F.length("bytes") >= width).mapInArrow(_anchor_rows(width), rows)
     shared = common.written(common.repeated(anchors, ["half"]), "shared")
-    common.release(spark)
     groups = shared.groupBy("half", "whole").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "place")).alias("first")
     )
@@ -247,7 +246,6 @@ def dedup(docs: DataFrame, width: int = 400) -> DataFrame:
         ),
         "runs",
     )
-    common.release(spark)
     left = per_doc.where("size(ends) > 0 or size(samples) > 0").drop("runs")
     for size in (PIECE, 1):
         # a repeated row counts as often as it occurs: the join keeps each of its rows
@@ -263,7 +261,6 @@ def dedup(docs: DataFrame, width: int = 400) -> DataFrame:
             F.collect_set(F.when(F.col("n") == 2, F.col("place"))).alias("samples"),
         )
         left = common.written(found, "pieces")
-        common.release(spark)
     found = left.select("k", F.col("ends").alias("windows"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<start: long, end: long>>"
     return (
