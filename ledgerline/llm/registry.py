@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common
+from .fingerprints import op7_bottom_k_fingerprints
+from .line_dedup import op3_line_dedup, op3_sql
+from .packing import op4_best_fit_packing
+from .prob_minhash import op2_prob_minhash
+from .secret_scan import op6_secret_scan, op6_sql
 from .suffix_dedup import op1_suffix_dedup
+from .token_counts import op5_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_prob_minhash": op2_prob_minhash,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_token_counts": op5_token_counts,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_bottom_k_fingerprints": op7_bottom_k_fingerprints,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": op3_sql(), "op6_secret_scan": op6_sql()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
