@@ -10,6 +10,7 @@ length that a third of all pieces have is not ranked in one task.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from bisect import bisect_left, insort
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .token_counts import Encoded, tokenizer
+from .token_counts import Encoded, kept, splitter, tokenizer
 
 BUCKETS = 256
 
@@ -65,8 +66,13 @@ def tokenize(docs: DataFrame, path: str, size: int, end_id: int, with_ids: bool
     kept in a bounded cache in the worker."""
 
     def run(batches):
-        t = tokenizer(path)
-        ids = Encoded(lambda s: pack_ids(t.encode(s, add_special_tokens=False).ids), "")
+        def make():
+            t = tokenizer(path)
+            return Encoded(
+                lambda s: pack_ids(t.encode(s, add_special_tokens=False).ids), splitter(path), b"".join, ""
+            )
+
+        ids = kept("ids", path, make)
         end = pack_ids([end_id])
         for b in batches:
             rows = []
@@ -86,7 +92,7 @@ def tokenize(docs: DataFrame, path: str, size: int, end_id: int, with_ids: bool
 
 
 def pack_ids(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 0, with_ids: bool = False) -> DataFrame:

@@ -89,7 +89,7 @@ def sketch_texts(texts: list[str], cache: shingles.WordHashes) -> tuple[np.ndarr
 
 
 def _sketches(batches):
-    cache = shingles.WordHashes()
+    cache = shingles.WORDS
     for b in batches:
         sig, ids = sketch_texts(b.column("text").to_pylist(), cache)
         bands = np.zeros((len(sig), M // ROWS), dtype=_U)
@@ -242,7 +242,7 @@ def similarity(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) ->
 
 def _verified(least: float):
     def run(batches):
-        cache = shingles.WordHashes()
+        cache = shingles.WORDS
 
         def counted(text):
             return np.unique(shingles.of(shingles.word_hashes(text.split(), cache), SIZE), return_counts=True)

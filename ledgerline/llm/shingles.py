@@ -21,7 +21,11 @@ class WordHashes(dict):
         return h
 
 
-def word_hashes(words: list[str], cache: WordHashes) -> np.ndarray:
+#: Kept in a Python worker across tasks.
+WORDS = WordHashes()
+
+
+def word_hashes(words: list[str], cache: WordHashes = WORDS) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
 
 

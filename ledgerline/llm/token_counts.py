@@ -10,6 +10,7 @@ comes from bounded per-task summaries of the whole corpus.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from itertools import islice
 
@@ -22,7 +23,7 @@ from . import common
 
 #: Groups longer than this are encoded but not kept, so caches stay bounded in bytes too.
 LONGEST = 64
-CACHE = 200_000
+CACHE = 400_000
 SUMMARY = 2_000
 
 _at_space = re.compile(r"(?<=\S)(?= )")
@@ -43,23 +44,58 @@ def groups(text: str) -> tuple[str, list[str]]:
     return first, [x[1:] for x in rest]
 
 
+def _bounded(cache: dict, keep: int, limit: int) -> None:
+    """Drops the oldest half of the entries after the first ``keep`` once there are ``limit`` of them."""
+    if len(cache) >= keep + limit:
+        for old in list(islice(cache, keep, keep + limit // 2)):
+            del cache[old]
+
+
+class Pieces(dict):
+    """Pre-token to what ``encode`` gives for it."""
+
+    def __init__(self, encode) -> None:
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str):
+        got = self.encode(piece)
+        if len(piece) <= LONGEST:
+            _bounded(self, 0, CACHE)
+            self[piece] = got
+        return got
+
+
 class Encoded(dict):
-    """Group to what ``encode`` gives for ``lead`` + group; misses are encoded and kept."""
+    """Group to what the library gives for ``lead`` + group, joined from its pre-tokens.
+
+    ``known`` is the first tier; misses are worked out and kept, within bounds. A group with a
+    string that may be a special token goes to the library whole."""
 
-    def __init__(self, encode, lead: str, known=()) -> None:
+    def __init__(self, encode, split, join, lead: str, known=()) -> None:
         super().__init__(known)
-        self.encode, self.lead, self.base = encode, lead, len(self)
+        self.encode, self.split, self.join, self.lead, self.base = encode, split, join, lead, len(self)
+        self.pieces = Pieces(encode)
 
     def __missing__(self, group: str):
-        got = self.encode(self.lead + group)
+        text = self.lead + group
+        got = self.encode(text) if "<" in text else self.join(map(self.pieces.__getitem__, self.split(text)))
         if len(group) <= LONGEST:
-            if len(self) >= self.base + CACHE:  # drop the oldest half of the misses
-                for old in list(islice(self, self.base, self.base + CACHE // 2)):
-                    del self[old]
+            _bounded(self, self.base, CACHE)
             self[group] = got
         return got
 
 
+_kept: dict[str, tuple] = {}
+
+
+def kept(kind: str, key, make):
+    """What ``make`` gives, kept in this Python worker across tasks until ``key`` changes."""
+    if kind not in _kept or _kept[kind][0] != key:
+        _kept[kind] = key, make()
+    return _kept[kind][1]
+
+
 def tokenizer(path: str):
     from tokenizers import Tokenizer
 
@@ -69,6 +105,25 @@ def tokenizer(path: str):
     return t
 
 
+#: Fixed pattern: the pre-tokens of byte-level vocabularies with use_regex.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def splitter(path: str):
+    """Text to pre-tokens, by the vocabulary file's own normalizer and pattern."""
+    import json
+
+    import regex
+
+    with open(path, encoding="utf-8") as f:
+        pre = json.load(f)["pre_tokenizer"]
+    steps = pre.get("pretokenizers", [pre])
+    own = [x["pattern"]["Regex"] for x in steps if x["type"] == "Split"]
+    find = regex.compile(own[0] if own else BYTE_LEVEL).findall
+    normalizer = tokenizer(path).normalizer
+    return find if normalizer is None else lambda text: find(normalizer.normalize_str(text))
+
+
 def _summaries(batches):
     seen: Counter = Counter()
     total = 0
@@ -114,10 +169,15 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, table_size: int
     text = F.coalesce("text", F.lit(""))
     table = docs.sparkSession.sparkContext.broadcast(frequent(docs.select(text.alias("text")), path, table_size))
 
+    job = uuid.uuid4().hex
+
     def run(batches):
-        t = tokenizer(path)
-        count = lambda s: len(t.encode(s, add_special_tokens=False).ids)
-        known, heads = Encoded(count, " ", table.value), Encoded(count, "")
+        def make():
+            t, split = tokenizer(path), splitter(path)
+            count = lambda s: len(t.encode(s, add_special_tokens=False).ids)
+            return Encoded(count, split, sum, " ", table.value), Encoded(count, split, sum, "")
+
+        known, heads = kept("counts", (path, job), make)
         for b in batches:
             n = []
             for s in b.column("text").to_pylist():

@@ -11,6 +11,8 @@ counts come from Spark; the driver gets the selected features of that sample alo
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .token_counts import kept
 
 MAX_TRAIN = 4_000
 N_FEATURES = 512
@@ -182,10 +185,11 @@ def classify(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame
     """row (the columns given), probabilities (of each category, in the chain's order), toxic (the last one's
     is at least ``threshold``). Null texts are empty. Each row is scored alone, whole."""
     broadcast = docs.sparkSession.sparkContext.broadcast(chain)
+    job = uuid.uuid4().hex
 
     def run(batches):
         chain = broadcast.value
-        known = Known(chain.index)
+        known = kept("toxicity", job, lambda: Known(chain.index))
         for b in batches:
             p = chain.score(b.column("text").to_pylist(), known)
             yield pa.RecordBatch.from_arrays(
