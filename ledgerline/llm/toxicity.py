@@ -149,10 +149,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_featur
     m = len(categories)
     named = labels.select("doc_id", *(labels[c].cast("int").alias(f"y{j}") for j, c in enumerate(categories)))
     named = named.dropna().dropDuplicates(["doc_id"])
-    sample = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(named, "doc_id")
-    order = F.xxhash64("doc_id", "text")
-    sample = common.written(sample.withColumn("order", order).orderBy("order", "doc_id").limit(max_train), "train")
-    sample = sample.repartition(8, "order")
+    present = docs.where(F.col("text").isNotNull()).select("doc_id")
+    order = F.xxhash64("doc_id")
+    chosen = named.join(present, "doc_id", "left_semi").withColumn("order", order).orderBy("order", "doc_id").limit(max_train)
+    sample = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    sample = common.written(sample.join(F.broadcast(chosen), "doc_id"), "train").repartition(8, "order")  # max_train rows
     schema = ", ".join(["f long", "n long", *(f"c{j} long" for j in range(m))])
     score: Column = F.lit(-1e9)
     for j in range(m):  # log-odds of a category where the feature is, in standard errors

@@ -41,7 +41,7 @@ def test_line_runs_equal_brute_force(spark):
         have = {r["row"]["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in got}
         assert have == brute_lines(line_cases(), least)
         assert all(sum(x["lines"] for x in r["runs"]) == r["n_removed"] for r in got)
-        assert got[0]["row"]["words"] == "y"
+        assert got[0]["row"]["id"] == "y"
 
 
 def test_line_sql_equals_brute_force():

@@ -40,7 +40,7 @@ def test_chain_takes_odd_inputs(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     chain = toxicity.fit(docs, toxicity.categories(docs, none))
     got = toxicity.classify(docs, chain).collect()
-    assert len(got) == 4 and not any(r["toxic"] for r in got) and got[0]["row"]["words"] == "y"
+    assert len(got) == 4 and not any(r["toxic"] for r in got) and got[0]["row"]["id"] == "y"
     assert toxicity.classify(documents(spark, []), chain).collect() == []
 
 
@@ -95,7 +95,7 @@ def test_leaks_and_paraphrases_are_found(spark):
     rows = [*docs, (900, None), (901, ""), (902, "one"), (902, "one")]
     found = decontaminate.find_leaks(documents(spark, rows), benchmark).collect()
     got = {(r["row"]["doc_id"], x["item_id"]) for r in found for x in r["leaks"]}
-    assert len(found) == len(rows) and found[0]["row"]["words"] == "y"
+    assert len(found) == len(rows) and found[0]["row"]["id"] == "y"
     assert len(want - got) <= 1 and len(got - want) <= 1
     assert decontaminate.find_leaks(documents(spark, []), benchmark).collect() == []
     empty = spark.createDataFrame([], "item_id long, text string")
