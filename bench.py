@@ -34,7 +34,6 @@ HEADLINE = [
 
 
 def _literal_queries():
-    from ledgerline.config import TESTDATA_AS_OF
     from ledgerline.plans import marts
     from ledgerline.plans.registry import Inputs
 
@@ -42,10 +41,6 @@ def _literal_queries():
         i = Inputs(spark, sf)
         return marts.customer_ltv_daily(i.items, i.options, distributed=False)
 
-    def seg(spark, sf):
-        i = Inputs(spark, sf)
-        return marts.customer_segments(i.items, i.options, TESTDATA_AS_OF, method="joins")
-
     def trends(spark, sf):
         i = Inputs(spark, sf)
         return marts.sales_trends(i.items, method="union")
@@ -60,7 +55,6 @@ def _literal_queries():
 
     return {
         "customer_ltv_daily__single_partition_ntile": ltv,
-        "customer_segments__joins_and_lag": seg,
         "sales_trends__union": trends,
         "sales_trends__grouping_sets": trends_gs,
         "loyalty_location_discount__union": metrics,

@@ -18,9 +18,19 @@ def _label(expr: str) -> str:
     return f"CASE WHEN {t} IS NULL OR {t} = '' THEN 'unknown' ELSE lower({t}) END"
 
 
-def _int(expr: str, parse: str = "DECIMAL(20,4)", to: str = "INTEGER") -> str:
-    # text -> number truncated toward zero; malformed or out of range -> NULL
-    return f"TRY_CAST(trunc(TRY_CAST({expr} AS {parse})) AS {to})"
+def _int(expr: str, to: str = "INTEGER") -> str:
+    # sign, digits, an optional fraction that is cut off; other text or out of range -> NULL
+    t = f"trim({expr})"
+    return (
+        f"CASE WHEN regexp_full_match({t}, '[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)') "
+        f"THEN TRY_CAST(regexp_replace(regexp_extract({t}, '^[+-]?[0-9]*'), '^[+-]?$', '0') AS {to}) END"
+    )
+
+
+def _price(expr: str) -> str:
+    # what a cast to double takes and is finite, as an exact decimal
+    t = f"regexp_replace(trim({expr}), '[dDfF]$', '')"
+    return f"CASE WHEN isfinite(TRY_CAST({t} AS DOUBLE)) THEN CAST({t} AS DECIMAL(27,10)) END"
 
 
 def _half_up_mean(sum_units: str, n: str, decimals: int) -> str:
@@ -106,12 +116,12 @@ s_items0 AS (
   SELECT trim("APP_NAME") AS app_name, trim("RESTAURANT_ID") AS restaurant_id,
          trim("CREATION_TIME_UTC") AS creation_time_utc_raw, trim("ORDER_ID") AS order_id,
          trim("USER_ID") AS user_id,
-         {_int('"PRINTED_CARD_NUMBER"', 'DECIMAL(38,4)', 'BIGINT')} AS printed_card_number,
+         {_int('"PRINTED_CARD_NUMBER"', 'BIGINT')} AS printed_card_number,
          TRY_CAST("IS_LOYALTY" AS BOOLEAN) AS is_loyalty,
          upper(trim("CURRENCY")) AS currency, trim("LINEITEM_ID") AS lineitem_id,
          {_label('"ITEM_CATEGORY"')} AS item_category,
          {_label('"ITEM_NAME"')} AS item_name,
-         TRY_CAST("ITEM_PRICE" AS DECIMAL(18,4)) AS item_price,
+         {_price('"ITEM_PRICE"')} AS item_price,
          {_int('"ITEM_QUANTITY"')} AS item_quantity
   FROM b_items
 ),
@@ -119,16 +129,16 @@ s_items AS (
   SELECT *, TRY_CAST(creation_time_utc_raw AS TIMESTAMP) AS creation_timestamp_utc,
          CAST(TRY_CAST(creation_time_utc_raw AS TIMESTAMP) AS DATE) AS order_date,
          CASE WHEN is_loyalty THEN 'loyalty' ELSE 'non_loyalty' END AS loyalty_status,
-         round(item_price * item_quantity, 2) AS item_gross_amount
+         CAST(round(item_price * item_quantity, 2) AS DECIMAL(18,2)) AS item_gross_amount
   FROM s_items0
   WHERE order_id IS NOT NULL AND lineitem_id IS NOT NULL AND item_price IS NOT NULL AND item_quantity IS NOT NULL
 ),
 s_options AS (
-  SELECT *, round(option_price * option_quantity, 2) AS option_gross_amount FROM (
+  SELECT *, CAST(round(option_price * option_quantity, 2) AS DECIMAL(18,2)) AS option_gross_amount FROM (
     SELECT trim("ORDER_ID") AS order_id, trim("LINEITEM_ID") AS lineitem_id,
            {_label('"OPTION_GROUP_NAME"')} AS option_group_name,
            {_label('"OPTION_NAME"')} AS option_name,
-           TRY_CAST("OPTION_PRICE" AS DECIMAL(18,4)) AS option_price,
+           {_price('"OPTION_PRICE"')} AS option_price,
            {_int('"OPTION_QUANTITY"')} AS option_quantity
     FROM b_options)
   WHERE order_id IS NOT NULL AND lineitem_id IS NOT NULL AND option_price IS NOT NULL AND option_quantity IS NOT NULL

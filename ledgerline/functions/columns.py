@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from ledgerline.config import UNKNOWN_LABEL
 
 # Money is exact inside the engine: prices parse to PRICE, line amounts are
-# rounded to cents, sums stay decimal, and only the final projection turns a
-# money column into a double.
-PRICE = "decimal(18,4)"
-# Wide enough for any integer text that still fits an int after truncation.
-_INT_PARSE = "decimal(20,4)"
-_LONG_PARSE = "decimal(38,4)"
+# rounded to cents (AMOUNT), sums stay decimal, and only the final projection
+# turns a money column into a double. A price that is a finite number but has
+# no exact place in PRICE raises; it is never dropped or rounded.
+PRICE = "decimal(27,10)"
+AMOUNT = "decimal(18,2)"
 
 
 def col_(c: str | Column) -> Column:
@@ -33,14 +32,22 @@ def clean_label(c: str | Column) -> Column:
     return F.when(t.isNull() | (t == F.lit("")), F.lit(UNKNOWN_LABEL)).otherwise(F.lower(t))
 
 
+def _whole(c: str | Column, kind: str) -> Column:
+    """Text -> integer as a non-ANSI cast takes it: an optional sign, digits and
+    an optional fraction, which is cut off; other text (exponents too) and
+    numbers out of range -> NULL."""
+    t = F.trim(col_(c))
+    digits = F.regexp_replace(F.regexp_extract(t, r"^[+-]?[0-9]*", 0), "^[+-]?$", "0")
+    return F.when(t.rlike(r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$"), digits.try_cast(kind))
+
+
 def safe_int(c: str | Column) -> Column:
-    """Tolerant text -> int: decimals truncate toward zero ('2.7' -> 2);
-    malformed or out-of-range text -> NULL."""
-    return col_(c).try_cast(_INT_PARSE).try_cast("int")
+    """Tolerant text -> int ('2.7' -> 2, '1e3' -> NULL)."""
+    return _whole(c, "int")
 
 
 def safe_long(c: str | Column) -> Column:
-    return col_(c).try_cast(_LONG_PARSE).try_cast("bigint")
+    return _whole(c, "bigint")
 
 
 def safe_bool(c: str | Column) -> Column:
@@ -48,8 +55,14 @@ def safe_bool(c: str | Column) -> Column:
 
 
 def safe_price(c: str | Column) -> Column:
-    """Tolerant text -> exact price; malformed text (and NaN/Infinity) -> NULL."""
-    return col_(c).try_cast(PRICE)
+    """Tolerant text -> exact price. Text that is no finite double -> NULL; a
+    float suffix ('5d', '5f') is part of a number, as in a cast to double.
+    What PRICE cannot hold (over 17 digits before the point) raises under ANSI;
+    digits after the tenth behind the point are rounded."""
+    t = F.trim(col_(c))
+    value = t.try_cast("double")
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+    return F.when(finite, F.regexp_replace(t, "[dDfF]$", "").cast(PRICE))
 
 
 def safe_date(c: str | Column) -> Column:
@@ -62,8 +75,8 @@ def safe_timestamp(c: str | Column) -> Column:
 
 
 def line_amount(price: str | Column, qty: str | Column) -> Column:
-    """round(price * quantity, 2), HALF_UP, exact decimal."""
-    return F.round(col_(price) * col_(qty), 2)
+    """round(price * quantity, 2), HALF_UP, exact decimal; too large an amount raises."""
+    return F.round(col_(price) * col_(qty), 2).cast(AMOUNT)
 
 
 def money_round(c: str | Column) -> Column:

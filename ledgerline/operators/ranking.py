@@ -1,20 +1,19 @@
 """Exact global ranking without a single-partition window.
 
 ``Window.orderBy(...)`` with no ``partitionBy`` moves the whole input into one
-task. Here the total order is split across tasks instead:
-
-1. ``repartitionByRange(P, order)`` -- a sampled range shuffle; every row of
-   partition i sorts before every row of partition i+1, and a hot sort value is
-   still split by the tie-break columns.
-2. ``sortWithinPartitions(order)`` + ``monotonically_increasing_id()`` -- the
-   id packs (partition id, position in partition) into one long.
-3. Row counts per partition (P rows) -> exclusive prefix sums -> broadcast back
-   (bounded by P, which this module chooses) -> global position =
-   offset + position.
-
-P is passed explicitly, so the range shuffle is a fixed-count repartition: AQE
-does not coalesce or split it, and both uses of it read the same partitions
-(Spark reuses the exchange).
+task. Here the total order is split across tasks by *values*:
+
+1. At most P - 1 bounds are rows of the order key, taken from a bounded sample
+   (by hash of the key). Bounds only balance the work; any bounds give the same
+   result.
+2. A row's part is the number of bounds at or below its key, found by binary
+   search in a literal array. It depends on the row alone, so a task that runs
+   again, or a plan that evaluates the input twice, finds the same parts.
+3. ``row_number`` within a part, plus the rows of earlier parts (one count for
+   each part, broadcast), is the global position.
+
+Orders are lists of ``(column, ascending)``: ascending puts NULLs first,
+descending (numbers only) puts them last, like Spark's defaults.
 """
 
 from __future__ import annotations
@@ -22,44 +21,82 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33
-_LOCAL_MASK = (1 << _LOCAL_BITS) - 1
+Order = list[tuple[str, bool]]
 
+#: Parts at most: each bound is one literal in the plan.
+MAX_PARTS = 1024
+#: Sampled rows for each part.
+_PER_PART = 20
 
-def _range_parts(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+def _parts(df: DataFrame, num_parts: int | None) -> int:
+    return min(MAX_PARTS, int(num_parts or df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def sort_columns(order: Order) -> list[Column]:
+    return [F.col(c).asc_nulls_first() if up else F.col(c).desc_nulls_last() for c, up in order]
+
+
+def _key(order: Order) -> Column:
+    """A struct that sorts ascending as ``order`` does."""
+    fields = []
+    for i, (c, up) in enumerate(order):
+        col = F.col(c)
+        fields.append(F.when(col.isNull(), 0 if up else 1).otherwise(1 if up else 0).alias(f"f{i}"))
+        fields.append((col if up else -col).alias(f"v{i}"))
+    return F.struct(*fields)
+
+
+def _bounds(df: DataFrame, order: Order, parts: int) -> tuple[Column, int] | None:
+    """An array literal of at most ``parts - 1`` keys, ascending, and its size."""
+    keys = df.select(_key(order).alias("k"))
+    sample = keys.orderBy(F.xxhash64("k")).limit(_PER_PART * parts).orderBy("k").collect()
+    step = max(1, -(-len(sample) // parts))
+    kinds = [(f.name, f.dataType) for f in keys.schema["k"].dataType.fields]
+    chosen = [r["k"] for r in sample[step::step]]
+    if not chosen:
+        return None
+    return F.array(*(F.struct(*(F.lit(k[n]).cast(t).alias(n) for n, t in kinds)) for k in chosen)), len(chosen)
+
+
+def with_part(df: DataFrame, order: Order, num_parts: int | None = None, part_col: str = "_part") -> DataFrame:
+    """Add the number of the row's part: parts are ranges of ``order``."""
+    found = _bounds(df, order, _parts(df, num_parts))
+    if found is None:
+        return df.withColumn(part_col, F.lit(0))
+    bounds, n = found
+    steps = [1 << b for b in reversed(range(n.bit_length()))]
+    key = _key(order)
+    place = F.aggregate(
+        F.array(*(F.lit(s) for s in steps)),
+        F.lit(0),
+        lambda at, s: F.when((at + s <= n) & (F.get(bounds, at + s - 1) <= key), at + s).otherwise(at),
+    )
+    return df.withColumn(part_col, place)
 
 
 def global_index(
     df: DataFrame,
-    order: list[Column],
+    order: Order,
     index_col: str = "_gidx",
     total_col: str | None = None,
-    num_partitions: int | None = None,
+    num_parts: int | None = None,
 ) -> DataFrame:
     """Add the exact 0-based position of each row in ``order`` (which must be a
     total order, e.g. end with a unique key) and optionally the row total."""
-    p = _range_parts(df, num_partitions)
-    tagged = (
-        df.repartitionByRange(p, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright(F.col("_mid"), _LOCAL_BITS))
-        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)))
-        .drop("_mid")
-    )
-    # At most P rows: one per range partition.
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tagged = with_part(df, order, num_parts)
+    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row for each part
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select(
         "_part",
-        (F.sum("_n").over(w) - F.col("_n")).alias("_off"),
+        (F.sum("_n").over(before) - F.col("_n")).alias("_off"),
         F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("_total"),
     )
-    out = tagged.join(F.broadcast(offsets), on="_part", how="inner").withColumn(
-        index_col, F.col("_off") + F.col("_pos")
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*sort_columns(order)))
+    out = (
+        tagged.withColumn("_pos", within)
+        .join(F.broadcast(offsets), on="_part")
+        .withColumn(index_col, F.col("_off") + F.col("_pos") - 1)
     )
     if total_col:
         out = out.withColumnRenamed("_total", total_col)
@@ -81,14 +118,10 @@ def ntile_from_index(index_col: str, total_col: str, k: int) -> Column:
 
 
 def global_ntile(
-    df: DataFrame,
-    k: int,
-    order: list[Column],
-    out_col: str = "ntile",
-    num_partitions: int | None = None,
+    df: DataFrame, k: int, order: Order, out_col: str = "ntile", num_parts: int | None = None
 ) -> DataFrame:
     """Exact distributed ``ntile(k).over(Window.orderBy(*order))``."""
-    idx = global_index(df, order, "_gidx", "_gtotal", num_partitions)
+    idx = global_index(df, order, "_gidx", "_gtotal", num_parts)
     return idx.withColumn(out_col, ntile_from_index("_gidx", "_gtotal", k)).drop("_gidx", "_gtotal")
 
 
@@ -97,49 +130,46 @@ def global_dense_rank(
     value_col: str,
     descending: bool = True,
     out_col: str = "dense_rank",
-    num_partitions: int | None = None,
+    num_parts: int | None = None,
 ) -> DataFrame:
     """Exact distributed ``dense_rank().over(Window.orderBy(value))``: rank the
     distinct values, then join the rank back on the value (NULLs rank last
     when descending, first when ascending, like Spark)."""
-    v = F.col(value_col)
-    key = v.desc_nulls_last() if descending else v.asc_nulls_first()
-    distinct_vals = df.select(value_col).distinct()
-    ranked = global_index(distinct_vals, [key], "_gidx", None, num_partitions).select(
+    values = df.select(value_col).distinct()
+    ranked = global_index(values, [(value_col, not descending)], "_gidx", None, num_parts).select(
         F.col(value_col).alias("_rv"), (F.col("_gidx") + 1).cast("int").alias(out_col)
     )
-    return df.join(ranked, v.eqNullSafe(F.col("_rv")), "left").drop("_rv")
+    return df.join(ranked, F.col(value_col).eqNullSafe(F.col("_rv")), "left").drop("_rv")
 
 
-def plain_ntile(df: DataFrame, k: int, order: list[Column], out_col: str = "ntile") -> DataFrame:
+def plain_ntile(df: DataFrame, k: int, order: Order, out_col: str = "ntile") -> DataFrame:
     """Single-partition reference form (tests / tiny inputs only)."""
-    return df.withColumn(out_col, F.ntile(k).over(Window.orderBy(*order)))
+    return df.withColumn(out_col, F.ntile(k).over(Window.orderBy(*sort_columns(order))))
 
 
 def distributed_lag(
     df: DataFrame,
     partition_cols: list[str],
-    order: list[Column],
+    order: Order,
     value_col: str,
     out_col: str,
-    num_partitions: int | None = None,
+    num_parts: int | None = None,
 ) -> DataFrame:
     """``lag(value).over(partitionBy(keys).orderBy(order))`` without putting a
-    whole partition-key group in one task: rows get their global position in
-    (keys, order), and each row is equi-joined to the row one position earlier
-    when that row has the same keys. ``order`` must make the order total."""
-    keys = [F.col(c).asc_nulls_first() for c in partition_cols]
-    idx = global_index(df, keys + order, "_gidx", None, num_partitions)
-    prev = idx.select(
-        *[F.col(c).alias(f"_p_{c}") for c in partition_cols],
-        F.col(value_col).alias("_p_val"),
-        (F.col("_gidx") + 1).alias("_gidx"),
-    )
-    same = None
-    for c in partition_cols:
-        e = F.col(c).eqNullSafe(F.col(f"_p_{c}"))
-        same = e if same is None else same & e
-    joined = idx.join(prev, on="_gidx", how="left")
-    return joined.withColumn(out_col, F.when(same, F.col("_p_val"))).drop(
-        "_gidx", "_p_val", *[f"_p_{c}" for c in partition_cols]
-    )
+    whole group in one task: LAG within each part of (keys, order), and a
+    part's first row takes the last row of the part before (one row for each
+    part, broadcast). ``order`` must make the order total."""
+    full: Order = [(c, True) for c in partition_cols] + order
+    tagged = with_part(df, full, num_parts)
+    carried = F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(partition_cols)), F.col(value_col).alias("v"))
+    window = Window.partitionBy("_part").orderBy(*sort_columns(full))
+    tagged = tagged.withColumn("_prev", F.lag(carried).over(window))
+    last = tagged.select("_part", F.struct(_key(full).alias("key"), carried.alias("row")).alias("_end"))
+    last = last.groupBy("_part").agg(F.max("_end").alias("_end"))
+    before = last.select("_part", F.lag("_end.row").over(Window.orderBy("_part")).alias("_before"))
+    joined = tagged.join(F.broadcast(before), on="_part", how="left")
+    prev = F.coalesce("_prev", "_before")
+    same = F.lit(True)
+    for i, c in enumerate(partition_cols):
+        same = same & F.col(c).eqNullSafe(prev[f"k{i}"])
+    return joined.withColumn(out_col, F.when(same, prev["v"])).drop("_part", "_prev", "_before")

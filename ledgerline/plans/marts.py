@@ -58,13 +58,12 @@ def customer_segments(
     options: DataFrame,
     as_of: _dt.date | str | None = None,
     thresholds: Thresholds = DEFAULT_THRESHOLDS,
-    method: str = "one_pass",
     audit: bool = False,
     orders: DataFrame | None = None,
 ) -> DataFrame:
     """M2. ``orders`` as for M1."""
     orders = orders if orders is not None else customer_orders(items, options)
-    out = customers.customer_segments(orders, as_of, thresholds, method)
+    out = customers.customer_segments(orders, as_of, thresholds)
     out = _doubles(
         out,
         [

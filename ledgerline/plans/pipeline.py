@@ -4,8 +4,9 @@ Layers exchange data only through storage: each layer reads the folders the
 previous one wrote, so a failed run restarts from the last written layer, the
 lineage of a gold plan never reaches back into the source database, and a lost
 executor only re-runs work inside the current layer. Every write goes to a new
-versioned folder; gold tables are re-pointed in the catalog only after all
-marts of the run are written, so readers never see a half-updated set.
+versioned folder; the gold names in the catalog are replaced one by one, each
+in one operation, only after all marts of the run are written and their checks
+have passed. A run that fails a check raises and publishes nothing.
 
 The root folder must be shared storage visible to every executor (object store
 or distributed file system), never a machine-local temporary folder. One run
@@ -155,25 +156,43 @@ def run(
 
     res.paths.update(layer({f"gold.{n}": gold_job(n, df) for n, df in gold.items()}))
 
-    # publish: re-point the catalog tables at this run's folders
-    for name in gold:
-        catalog.register(spark, database, name, res.paths[f"gold.{name}"], gold_format)
+    # checks over what was written, before anything is published
+    written = {
+        k: _read(spark, p, gold[k.split(".", 1)[1]] if k.startswith("gold.") else None, gold_format)
+        for k, p in res.paths.items()
+        if not k.startswith("work.")
+    }
+    res.checks = _evaluated(quality.layer_checks(written))
+    res.reconciliation = _evaluated(
+        quality.reconciliation({k.split(".", 1)[1]: df for k, df in written.items() if k.startswith("gold.")})
+    )
+    failed = [f"{r['check']}: {r['detail']}" for r in res.reconciliation.collect() if not r["consistent"]]
+    if failed:
+        raise RuntimeError(f"run {v} is not published; checks failed: {'; '.join(failed)}")
+
+    # publish: the catalog names become this run's folders
+    for name, df in gold.items():
+        catalog.register(spark, database, name, res.paths[f"gold.{name}"], gold_format, df.schema)
 
     # retention: bounded storage for the versioned layers
     if retain_versions:
         published = set(res.paths.values())
         for key in res.paths:
-            layer, name = key.split(".", 1)
-            if gold_format == "delta" and layer == "gold":
+            layer_name, name = key.split(".", 1)
+            if gold_format == "delta" and layer_name == "gold":
                 continue
-            sink.prune_versions(spark, f"{root}/{layer}", name, retain_versions, published)
-
-    # post-run checks over what was written
-    res.checks = quality.layer_checks(
-        {k: sink.read_layer(spark, p) for k, p in res.paths.items() if k.split(".")[0] in ("bronze", "silver")},
-        {k: spark.table(f"{database}.{k.split('.', 1)[1]}") for k in res.paths if k.startswith("gold.")},
-    )
-    res.reconciliation = quality.reconciliation(
-        {k.split(".", 1)[1]: spark.table(f"{database}.{k.split('.', 1)[1]}") for k in res.paths if k.startswith("gold.")}
-    )
+            sink.prune_versions(spark, f"{root}/{layer_name}", name, retain_versions, published)
     return res
+
+
+def _read(spark: SparkSession, path: str, like: DataFrame | None, fmt: str) -> DataFrame:
+    if like is None:
+        return sink.read_layer(spark, path)
+    if fmt != "parquet":
+        return sink.read_layer(spark, path, fmt)
+    return spark.read.schema(like.schema).parquet(path)
+
+
+def _evaluated(rows: DataFrame) -> DataFrame:
+    """A check's few rows, computed once."""
+    return rows.sparkSession.createDataFrame(rows.collect(), rows.schema)

@@ -78,12 +78,12 @@ SILVER = {
             ("lineitem_id", "string"),
             ("item_category", "string"),
             ("item_name", "string"),
-            ("item_price", "decimal(18,4)"),
+            ("item_price", "decimal(27,10)"),
             ("item_quantity", "int"),
             ("creation_timestamp_utc", "timestamp"),
             ("order_date", "date"),
             ("loyalty_status", "string"),
-            ("item_gross_amount", "decimal(28,2)"),
+            ("item_gross_amount", "decimal(18,2)"),
             ("silver_processed_timestamp", "timestamp"),
         ]
     ),
@@ -93,9 +93,9 @@ SILVER = {
             ("lineitem_id", "string"),
             ("option_group_name", "string"),
             ("option_name", "string"),
-            ("option_price", "decimal(18,4)"),
+            ("option_price", "decimal(27,10)"),
             ("option_quantity", "int"),
-            ("option_gross_amount", "decimal(28,2)"),
+            ("option_gross_amount", "decimal(18,2)"),
             ("silver_processed_timestamp", "timestamp"),
         ]
     ),

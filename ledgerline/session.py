@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
+from ledgerline.sources.work import configured_dir
+
 # Settings every ledgerline job relies on. ANSI stays on so an unsafe cast fails
 # loudly; the cleaning code uses explicit try_* functions where the source rules
 # want "bad value -> NULL".
@@ -84,22 +84,10 @@ def cluster_conf(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and stream checkpoints: the cluster's
-    ``spark.checkpoint.dir``, read from the session.
-
-    Only a local-mode session (tests) without the setting gets a scratch
-    folder; on a cluster a missing setting is an error, because a
-    machine-local folder is not visible to other executors and is lost with
-    its machine.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    """Shared folder for stream checkpoints: what ``spark.checkpoint.dir``
+    names. There is no default: a stream that restarts with another folder
+    would lose or repeat files."""
+    configured = configured_dir(spark)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (object store or distributed file system)")
-        configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (object store or distributed file system)")
+    return configured

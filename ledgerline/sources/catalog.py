@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -15,28 +17,28 @@ def _ident(name: str) -> str:
     return name
 
 
-def _quote_path(path: str) -> str:
-    return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def register(
+    spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet", schema: StructType | None = None
+) -> None:
+    """CREATE DATABASE IF NOT EXISTS, then publish ``path`` as ``database.table``.
 
-
-def register(spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet") -> None:
-    """CREATE DATABASE IF NOT EXISTS, then (re)point ``database.table`` at
-    ``path``. Re-pointing after a versioned write is the atomic step of an
-    overwrite: readers see the old or the new version, never a mix."""
+    The published name is a view over the versioned folder, replaced in one
+    catalog operation: readers see the old version or the new one with its own
+    partitions and columns, never a mix. ``schema`` stands in for a version
+    without any rows, whose folder has no files to take a schema from."""
     db, tb = _ident(database), _ident(table)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     full = f"{db}.{tb}"
-    if spark.catalog.tableExists(full):
-        spark.sql(f"ALTER TABLE {full} SET LOCATION {_quote_path(path)}")
-        spark.sql(f"REFRESH TABLE {full}")
-    else:
-        spark.sql(f"CREATE TABLE {full} USING {_ident(fmt)} LOCATION {_quote_path(path)}")
-    if _is_partitioned(spark, full):
-        spark.sql(f"MSCK REPAIR TABLE {full}")
-
-
-def _is_partitioned(spark: SparkSession, full: str) -> bool:
-    return any(c.isPartition for c in spark.catalog.listColumns(full))
+    if spark.catalog.tableExists(full) and spark.catalog.getTable(full).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {full}")  # a table of before names were views
+    source = f"{_ident(fmt)}.`{path.replace('`', '``')}`"
+    try:
+        spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT * FROM {source}")
+    except AnalysisException as e:
+        if schema is None or e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+        spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {columns} WHERE false")
 
 
 def mart_query(spark: SparkSession, sql: str, args: dict | None = None) -> DataFrame:

@@ -33,6 +33,7 @@ class JdbcSource:
     num_partitions: int | None = None
     fetch_size: int = 10_000
     predicates: tuple[str, ...] = ()
+    single_task: bool = False  # one connection reads the whole table: small tables only
     extra: dict[str, str] = field(default_factory=dict)
 
     def options(self) -> dict[str, str]:
@@ -45,6 +46,8 @@ class JdbcSource:
             opts["driver"] = self.driver
         if self.partition_column and self.predicates:
             raise ValueError("use either partition_column or predicates, not both")
+        if not (self.partition_column or self.predicates or self.single_task):
+            raise ValueError("give partition_column with bounds, predicates, or single_task=True")
         if self.partition_column:
             if self.lower_bound is None or self.upper_bound is None or not self.num_partitions:
                 raise ValueError("partitioned JDBC read needs lower_bound, upper_bound and num_partitions")

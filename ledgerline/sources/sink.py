@@ -2,7 +2,7 @@
 
 Overwrites are made safe for reruns and for readers of the previous result:
 each write goes to a new versioned folder ``<root>/<table>/v=<id>`` and the
-catalog table is re-pointed afterwards (``catalog.register``). A failed or
+published view is replaced afterwards (``catalog.register``). A failed or
 retried job never leaves a half-overwritten table behind, and Spark never
 overwrites a folder the same job is reading. With Delta available
 (``fmt="delta"``) the format's own atomic overwrite is used instead.

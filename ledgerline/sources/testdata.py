@@ -28,92 +28,18 @@ TABLES = (
 ).split()
 
 
-# One analysed relation per (application, path): like a catalog table, the file
-# listing and footer-based schema are resolved once per session rather than
-# once per query. The testdata files are read-only.
-_RELATIONS: dict[tuple[str, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _RELATIONS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _RELATIONS[key] = df
-    return df
-
-
-def balanced(df: DataFrame, keys: list[Column] | None = None) -> DataFrame:
-    """Spread an under-split scan over the cluster's cores.
-
-    A parquet file is split by row group; a table stored as one large row
-    group is read by one task and everything fused after it (joins, cleaning,
-    partial aggregation) runs single-threaded. Only when the scan yields fewer
-    splits than the default parallelism is a repartition added; a
-    many-file / many-row-group table (the normal case at scale) is left
-    untouched, so no shuffle is added there. Counting splits plans the scan
-    (file listing) but runs no job.
-
-    With ``keys`` the repartition hashes on them, so rows that aggregate
-    together stay in one task and the map-side partial aggregates stay
-    effective; without, rows are dealt round-robin (which scatters an order's
-    lines over all tasks).
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, *keys) if keys else df.repartition(target)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a plan (file sizes for scans; no job).
-    PySpark has no public accessor for plan statistics, so this reads the
-    optimized plan's stats through the JVM DataFrame."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return size if isinstance(size, int) else int(size.toString())
-
-
-_UNITS = {"b": 1, "k": 1024, "kb": 1024, "m": 1024**2, "mb": 1024**2, "g": 1024**3, "gb": 1024**3, "t": 1024**4, "tb": 1024**4}
-
-
-def _conf_bytes(text: str) -> int:
-    """Parse a Spark byte-size setting ('10485760b', '10MB', '-1')."""
-    t = text.strip().lower()
-    num = t.rstrip("kmgtb")
-    unit = t[len(num):] or "b"
-    return int(float(num) * _UNITS[unit])
-
-
-def _fits_broadcast(*dfs: DataFrame) -> bool:
-    """True when the summed size estimates are within the broadcast threshold,
-    i.e. Spark would broadcast each of them as the build side of a join."""
-    spark = dfs[0].sparkSession
-    limit = _conf_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return limit > 0 and sum(_estimated_bytes(d) for d in dfs) <= limit
-
-
-# Lines of one order are kept together in chunks of this many line numbers: an
-# ordinary order stays in one task, while an order holding a large share of all
-# lines is still split across tasks.
-_LINE_CHUNK = 64
-
-
-def _order_chunk_keys() -> list[Column]:
-    return [F.col("l_orderkey"), (F.col("l_linenumber") / _LINE_CHUNK).cast("int")]
-
-
 def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines in the source's UPPER_CASE text layout."""
-    li = balanced(
-        read_table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"
-        ),
-        _order_chunk_keys(),
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"
     )
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -121,28 +47,14 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
 
-    if _fits_broadcast(o, c):
-        # Small dimensions: every right side is a plain scan, which Spark's
-        # size check broadcasts -- the line table is never shuffled for a join.
-        j = (
-            li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(c, F.col("o_custkey") == c.c_custkey)
-            .join(n, F.col("c_nationkey") == n.n_nationkey)
-            .join(r, F.col("n_regionkey") == r.r_regionkey)
-            .join(p, F.col("l_partkey") == p.p_partkey)
-        )
-    else:
-        # Large dimensions: enrich orders first (orders-sized shuffle on the
-        # customer key), then join the line table once on the order key and
-        # once on the part key, so the widest, lineitem-sized intermediate is
-        # shuffled twice rather than three times.
-        customers = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
-        enriched_orders = o.join(customers, o.o_custkey == customers.c_custkey).select(
-            "o_orderkey", "o_custkey", "o_orderdate", "c_mktsegment", "n_name", "r_name"
-        )
-        j = li.join(enriched_orders, li.l_orderkey == enriched_orders.o_orderkey).join(
-            p, F.col("l_partkey") == p.p_partkey
-        )
+    # Orders are enriched first, so the lines are joined once on the order key
+    # and once on the part key, whatever the sizes; Spark decides by measured
+    # size which of the right sides it broadcasts.
+    customers = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
+    enriched_orders = o.join(customers, o.o_custkey == customers.c_custkey).select(
+        "o_orderkey", "o_custkey", "o_orderdate", "c_mktsegment", "n_name", "r_name"
+    )
+    j = li.join(enriched_orders, li.l_orderkey == enriched_orders.o_orderkey).join(p, F.col("l_partkey") == p.p_partkey)
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     return j.select(
         F.concat(F.lit(" "), F.when(F.col("l_returnflag") == "A", "mobile").otherwise("web"), F.lit(" ")).alias(
@@ -180,11 +92,8 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Options per order line: surcharges (positive) and discounts (negative)."""
-    li = balanced(
-        read_table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"
-        ),
-        _order_chunk_keys(),
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"
     )
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     price = F.col("l_extendedprice").cast("decimal(12,2)")

@@ -33,17 +33,17 @@ def main():
     rnd = random.Random(9)
     rows = [(f"u{i:05d}", float(rnd.randrange(7))) for i in range(4000)]
     df = spark.createDataFrame(rows, "u string, v double")
-    order = [F.col("v").desc(), F.col("u")]
+    order = [("v", False), ("u", True)]
     want = {r.u: r.b for r in ranking.plain_ntile(df, 5, order, "b").collect()}
-    got_df = ranking.global_ntile(df, 5, order, "b", num_partitions=6)
+    got_df = ranking.global_ntile(df, 5, order, "b", num_parts=6)
     flaky = got_df.mapInPandas(fail_first_attempt, got_df.schema)
     got = {r.u: r.b for r in flaky.collect()}
 
     lag_rows = [("hot" if k % 3 == 0 else f"u{k % 50}", f"o{k:05d}", k % 97) for k in range(3000)]
     ldf = spark.createDataFrame(lag_rows, "user_id string, order_id string, d int")
-    lorder = [F.col("d").asc(), F.col("order_id").asc()]
-    lwant = {r.order_id: r.p for r in ldf.withColumn("p", F.lag("d").over(Window.partitionBy("user_id").orderBy(*lorder))).collect()}
-    lgot_df = ranking.distributed_lag(ldf, ["user_id"], lorder, "d", "p", num_partitions=6)
+    lorder = [("d", True), ("order_id", True)]
+    lwant = {r.order_id: r.p for r in ldf.withColumn("p", F.lag("d").over(Window.partitionBy("user_id").orderBy("d", "order_id"))).collect()}
+    lgot_df = ranking.distributed_lag(ldf, ["user_id"], lorder, "d", "p", num_parts=6)
     lgot = {r.order_id: r.p for r in lgot_df.mapInPandas(fail_first_attempt, lgot_df.schema).collect()}
     print(json.dumps({"ntile_equal": got == want, "rows": len(got), "lag_equal": lgot == lwant, "lag_rows": len(lgot)}))
     spark.stop()

@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
@@ -18,12 +20,19 @@ def test_safe_int(spark):
     assert _one(spark, C.safe_int, "abc") is None
     assert _one(spark, C.safe_int, "99999999999") is None  # out of int range
     assert _one(spark, C.safe_int, None) is None
+    assert _one(spark, C.safe_int, "1e3") is None  # a cast to int takes no exponent
+    assert _one(spark, C.safe_int, ".5") == 0 and _one(spark, C.safe_int, "-7.") == -7
 
 
 def test_safe_price_and_amount(spark):
     assert _one(spark, C.safe_price, "n/a") is None
     assert _one(spark, C.safe_price, "NaN") is None
     assert _one(spark, C.safe_price, "10.50") == Decimal("10.5")
+    for text, price in (("100000000000000", "1e14"), ("1e14", "1e14"), ("0.00004", "0.00004"), ("10.12345", "10.12345"), ("5d", "5"), ("5f", "5")):
+        assert _one(spark, C.safe_price, text) == Decimal(price)
+    assert _one(spark, lambda x: C.line_amount(C.safe_price(x), F.lit(100000)), "10.12345") == Decimal("1012345.00")
+    with pytest.raises(ArithmeticException):
+        _one(spark, C.safe_price, "1e30")  # a number that has no place is not dropped
     df = spark.createDataFrame([("0.285", 1), ("10.125", 1), ("-0.125", 1)], "p string, q int")
     got = [r.a for r in df.select(C.line_amount(C.safe_price("p"), "q").alias("a")).collect()]
     assert got == [Decimal("0.29"), Decimal("10.13"), Decimal("-0.13")]  # exact half-up

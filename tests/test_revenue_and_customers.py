@@ -86,10 +86,9 @@ def _seg_tuple(r):
     )
 
 
-def test_segments_golden_both_plans(golden):
-    for method in ("one_pass", "joins"):
-        seg = marts.customer_segments(golden["items"], golden["options"], GOLDEN_AS_OF, method=method).collect()
-        assert {r.user_id: _seg_tuple(r) for r in seg} == EXPECTED_SEGMENTS, method
+def test_segments_golden(golden):
+    seg = marts.customer_segments(golden["items"], golden["options"], GOLDEN_AS_OF).collect()
+    assert {r.user_id: _seg_tuple(r) for r in seg} == EXPECTED_SEGMENTS
 
 
 def test_segment_boundaries(spark):

@@ -1,8 +1,8 @@
-"""Rewritten plans give the same rows as the source-shaped plans on random data."""
+"""Single-aggregate customer plans against a row-by-row computation."""
 
 import datetime as dt
 import random
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
@@ -27,29 +27,70 @@ def _orders(spark, seed, n=1500):
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_segments_one_pass_equals_joins(spark, seed):
-    o = _orders(spark, seed)
-    a = customers.customer_segments(o, AS_OF, method="one_pass")
-    b = customers.customer_segments(o, AS_OF, method="joins")
-    assert _rows(a) == _rows(b)
+def _half_up(x, places=2):
+    return x.quantize(Decimal(1).scaleb(-places), rounding=ROUND_HALF_UP)
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_average_gap_telescoped_equals_lag(spark, seed):
-    o = _orders(spark, seed)
-    assert _rows(customers.average_order_gap(o, "telescoped")) == _rows(customers.average_order_gap(o, "lag"))
+def _by_user(orders):
+    users = {}
+    for u, o, d, a in (tuple(r) for r in orders.collect()):
+        users.setdefault(u, []).append((d, o, a))
+    return users
 
 
-@pytest.mark.parametrize("seed", [5, 6])
-def test_spend_windows_conditional_equals_full_join(spark, seed):
-    o = _orders(spark, seed)
-    a = customers.spend_windows(o, AS_OF, method="conditional")
-    b = customers.spend_windows(o, AS_OF, method="full_join")
-    assert _rows(a) == _rows(b)
+@pytest.mark.parametrize("seed", [1, 2])
+def test_segments_equal_row_by_row(spark, seed):
+    orders = _orders(spark, seed)
+    got = {r["user_id"]: r for r in customers.customer_segments(orders, AS_OF).collect()}
+    users = _by_user(orders)
+    assert set(got) == set(users)
+    for u, rows in users.items():
+        days = sorted(d for d, _, _ in rows)
+        gaps = [(b - a).days for a, b in zip(days, days[1:], strict=False)]
+        ago = [((AS_OF - d).days, a) for d, _, a in rows]
+        r = got[u]
+        assert r["frequency_orders"] == len({o for _, o, _ in rows})
+        assert r["monetary_total_spend"] == sum(a for _, _, a in rows)
+        assert r["recency_days"] == (AS_OF - days[-1]).days
+        gap = _half_up(Decimal(sum(gaps)) / len(gaps)) if gaps else None
+        assert r["average_gap_between_orders_days"] == gap
+        if min(n for n, _ in ago) > 60:
+            assert r["last_30_day_spend"] is None and r["previous_30_day_spend"] is None
+            continue
+        last, previous = sum(a for n, a in ago if n <= 30), sum(a for n, a in ago if 30 < n <= 60)
+        assert (r["last_30_day_spend"], r["previous_30_day_spend"]) == (last, previous)
+        change = _half_up((last - previous) * 100 / Decimal(previous)) if previous else None
+        assert r["spend_change_pct"] == change
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_gaps_and_windows_equal_row_by_row(spark, seed):
+    orders = _orders(spark, seed)
+    users = _by_user(orders)
+    got = {(r["user_id"], r["order_id"], r["order_date"]): r["previous_order_date"] for r in customers.order_gaps(orders, 7).collect()}
+    want = {}
+    for u, rows in users.items():
+        before = None
+        for d, o, _ in sorted(rows):
+            want[u, o, d] = before
+            before = d
+    assert got == want
+    spend = {r["user_id"]: (r["last_30_day_spend"], r["previous_30_day_spend"]) for r in customers.spend_windows(orders, AS_OF).collect()}
+    for u, rows in users.items():
+        ago = [((AS_OF - d).days, a) for d, _, a in rows]
+        if min(n for n, _ in ago) <= 60:
+            assert spend[u] == (sum(a for n, a in ago if n <= 30), sum(a for n, a in ago if 30 < n <= 60))
+        else:
+            assert u not in spend
+
+
+def test_today_is_the_default_date(spark):
+    orders = _orders(spark, 5)
+    today = spark.sql("SELECT current_date()").first()[0]
+    assert _rows(customers.customer_segments(orders)) == _rows(customers.customer_segments(orders, today))
 
 
 def test_clv_distributed_equals_plain(spark):
@@ -57,6 +98,6 @@ def test_clv_distributed_equals_plain(spark):
     from ledgerline.operators import revenue
 
     daily = revenue.daily_customer_revenue(o)
-    a = customers.clv_groups(daily, distributed=True, num_partitions=7)
+    a = customers.clv_groups(daily, distributed=True, num_parts=7)
     b = customers.clv_groups(daily, distributed=False)
     assert _rows(a) == _rows(b)
