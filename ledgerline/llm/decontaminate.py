@@ -151,7 +151,7 @@ def _times(ids: DataFrame, weights, q: np.ndarray) -> np.ndarray:
     return out
 
 
-def fold(docs: DataFrame, rank: int = RANK) -> np.ndarray:
+def fold(docs: DataFrame, rank: int = RANK, iterations: int = 1) -> np.ndarray:
     """Features x (rank - COMMON): what an occurrence of each feature adds to a text's latent vector."""
     text = docs.select(F.col("text")).where("text is not null")
     ids = common.written(text.mapInArrow(_ids, "ids binary"), "features")
@@ -162,8 +162,9 @@ def fold(docs: DataFrame, rank: int = RANK) -> np.ndarray:
     idf = np.where(n > 0, np.log((n[0] + 1) / np.maximum(n, 1)) + 0.1, 0).astype(np.float32)
     idf[0] = 0
     weights = docs.sparkSession.sparkContext.broadcast(idf)
-    start = np.random.default_rng(7).normal(size=(FEATURES, rank))
-    q = np.linalg.qr(_times(ids, weights, start))[0]
+    q = np.random.default_rng(7).normal(size=(FEATURES, rank))
+    for _ in range(iterations):  # more of them bring the values of a flat spectrum nearer to the exact ones
+        q = np.linalg.qr(_times(ids, weights, q))[0]
     again = _times(ids, weights, q)
     values, turn = np.linalg.eigh((q.T @ again + again.T @ q) / 2)
     values = np.sqrt(np.maximum(values, 1e-9 * max(values.max(), 1e-9)))
