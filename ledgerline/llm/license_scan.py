@@ -130,7 +130,7 @@ def fit(paras: DataFrame, copies: int = 40, seed: int = 1) -> Model:
     spark = paras.sparkSession
     known = _templates(spark)
     # a paragraph that shares most of its words with a template is no example of unknown
-    alike = F.exists("all", lambda t: F.size(F.array_intersect("w", t)) >= 0.5 * F.size(F.array_distinct(t)))
+    alike = F.exists("all", lambda t: F.size(F.array_intersect("w", t)) >= 0.75 * F.size(F.array_distinct(t)))
     every = F.broadcast(known.agg(F.collect_list("template").alias("all")))  # one row
     order = F.xxhash64("k", "paragraph")
     negatives = (
