@@ -49,8 +49,9 @@ def test_stages_take_effect(spark, folder):
     assert len(a) == 400 + 4 - 50
     assert set(b) == set(a)
     assert sum(passage in (t or "") for t in b.values()) == 1
-    assert b[1000] == "" or 1000 not in c
-    assert 10 in c and 1000 not in c
+    empty = {i for i, t in b.items() if not t}
+    assert b[1000] == "" and {1000, 1002, 1003} <= empty  # a copy loses all its lines
+    assert 10 in c and len(empty & set(c)) == 1  # and empty documents are one class
     leaks = {i for i in range(400) if i % 50 == 5}
     assert leaks & set(c) and not leaks & set(d) and len(set(c) - set(d) - leaks) <= 2
     packed = corpus_pipeline.pack(spark, docs, top)
