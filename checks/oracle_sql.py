@@ -493,6 +493,7 @@ def oracle_queries() -> dict[str, str]:
         f"AS average_recency_days FROM segments_mart"
     )
     q["dash_sales_weekly"] = _q("SELECT * FROM trends_mart WHERE period_type = 'weekly'")
+    q["mart_sql_sales_monthly"] = _q("SELECT * FROM trends_mart WHERE period_type = 'monthly'")
     q["dash_revenue_trend"] = _q(
         "SELECT period_value, CAST(sum(CAST(total_revenue AS DECIMAL(20,2))) AS DOUBLE) AS total_revenue "
         "FROM trends_mart WHERE period_type = 'monthly' AND period_value IS NOT NULL GROUP BY period_value"

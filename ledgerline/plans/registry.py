@@ -16,7 +16,7 @@ from ledgerline.config import TESTDATA_AS_OF
 from ledgerline.functions.columns import money_to_double as _dbl
 from ledgerline.operators import customers, metrics, revenue, silver, trends
 from ledgerline.plans import dashboard, marts, quality
-from ledgerline.sources import ingest, testdata
+from ledgerline.sources import catalog, ingest, testdata
 
 
 @dataclass
@@ -297,6 +297,16 @@ def _d_sales(i: Inputs) -> DataFrame:
     return dashboard.sales(i.trends_for_views, "weekly")
 
 
+@register("mart_sql_sales_monthly")
+def _mart_sql(i: Inputs) -> DataFrame:
+    """SQL text with a bound value over a temp view of the live mart."""
+    i.trends_for_views.createOrReplaceTempView("sales_trends_live")
+    columns = ", ".join(dashboard.SALES_COLUMNS)
+    return catalog.mart_query(
+        i.spark, f"SELECT {columns} FROM sales_trends_live WHERE period_type = :period", {"period": "monthly"}
+    )
+
+
 @register("dash_revenue_trend")
 def _d_trend(i: Inputs) -> DataFrame:
     return dashboard.revenue_trend(dashboard.sales(i.trends_for_views, "monthly"))
