@@ -7,14 +7,12 @@ looked at once or twice. Components of two documents agree with their probabilit
 Jaccard similarity.
 
 Equal word sequences are one text from the start; only its representative is compared.
-In a band's bucket, signatures are compared in memory, and what leaves are the strongest
-pairs that connect the bucket, as ``FORESTS`` maximum spanning forests of which no pair is
-in two: a few candidates a text, not all pairs. If two texts are alike, so is each pair on
-the path between them, up to the estimate's error, which the further forests make up for.
-Buckets of over ``HOT`` texts are first cut into parts; of each part, its central text and
-those that are not clearly like it meet the other parts' in the next round. Candidates
-are verified on whole texts, and links are joined into classes by hooking on to smaller
-ids and pointer jumping.
+In a band's bucket, all signatures meet, and what leaves is a spanning forest of the pairs
+that may be alike. It only says which texts belong together: within each such group every
+pair is then verified on whole texts, so no link depends on which pairs the forest took.
+Buckets of over ``HOT`` texts and groups of over ``BLOCK`` are cut into blocks, and every
+two blocks meet in a task. Links are counted where they are verified, and a spanning forest
+of them is joined into classes by hooking on to smaller ids and pointer jumping.
 """
 
 from __future__ import annotations
@@ -29,10 +27,11 @@ from . import common, shingles
 
 M, ROWS = 252, 7
 SIZE, LEAST = 5, 0.8
-#: Shares of agreeing components: a candidate, and alike enough to a part's central text to be done.
-CANDIDATE, SETTLED = 0.72, 0.87
-FORESTS = 3
+#: Share of agreeing components that makes a candidate.
+CANDIDATE = 0.72
+#: Texts of a block in a band's bucket; texts and characters of a block in a group that is verified.
 HOT = 2_000
+BLOCK, CHARS = 1_000, 8_000_000
 AT_ONCE = 200_000
 _U = np.uint64
 
@@ -107,119 +106,69 @@ def _sketches(batches):
         )
 
 
-def agreement(sig: np.ndarray) -> np.ndarray:
-    """How many components agree, for all pairs of a bucket's part; 0 with itself."""
-    out = np.zeros((len(sig), len(sig)), dtype=np.uint8)
-    for i in range(len(sig) - 1):
-        out[i, i + 1 :] = (sig[i + 1 :] == sig[i]).sum(axis=1)
-    return out + out.T
-
-
-def forests(alike: np.ndarray, least: int, n: int) -> list[tuple[int, int]]:
-    """Pairs of ``n`` maximum spanning forests over pairs of at least ``least``, each without the pairs of
-    those before (Prim's algorithm)."""
-    alike, pairs = alike.copy(), []
-    for _ in range(n):
-        best, near = np.zeros(len(alike), dtype=np.int16), np.zeros(len(alike), dtype=np.int64)
-        chosen: list[tuple[int, int]] = []
-        for _ in range(len(alike)):
-            i = int(best.argmax())
-            if best[i] >= least:
-                chosen.append((int(near[i]), i))
-            else:  # a new tree
-                i = int((best >= 0).argmax())
-            best[i] = -1
-            closer = (best >= 0) & (alike[i] > best)
-            best[closer], near[closer] = alike[i][closer], i
-        if not chosen:
-            break
-        pairs += chosen
-        for i, j in chosen:
-            alike[i, j] = alike[j, i] = 0
+def spanning(sig: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Pairs of a spanning forest over all pairs that agree in at least ``least`` components. Each
+    text that is reached meets all that are not."""
+    left, rest, reached, pairs = np.arange(len(sig)), sig, [], []
+    while len(left):
+        if not reached:  # a new tree
+            reached.append(int(left[0]))
+            left, rest = left[1:], rest[1:]
+            continue
+        i = reached.pop()
+        near = np.count_nonzero(rest == sig[i], axis=1) >= least
+        if near.any():
+            pairs += [(i, j) for j in left[near].tolist()]
+            reached += left[near].tolist()
+            left, rest = left[~near], rest[~near]
     return pairs
 
 
-def _leaders(batches):
-    """Rows sorted by band and salt. Gives (band, salts, id, k, sig, other): a candidate pair (other not
-    null), or a text (null) that other parts of its bucket have to meet."""
-    least, settled = int(CANDIDATE * M), int(SETTLED * M)
-
-    def close(rows):
-        band, salts = rows[0]["band"], rows[0]["salts"]
-        sig = np.frombuffer(b"".join(r["sig"] for r in rows), dtype=np.uint8).reshape(len(rows), M)
-        pair = lambda i, j: out.append((band, salts, rows[i]["id"], rows[i]["k"], None, rows[j]["k"]))
-        onward: list[int] = list(range(len(rows)))
-        if len(rows) == 2:
-            if (sig[0] == sig[1]).sum() >= least:
-                pair(0, 1)
-        elif 2 < len(rows) <= 2 * HOT:
-            alike = agreement(sig)
-            for i, j in forests(alike, least, FORESTS):
-                pair(i, j)
-            centre = int(alike.sum(axis=1, dtype=np.int64).argmax())
-            onward = [i for i in onward if i == centre or alike[i, centre] < settled]
-        elif len(rows) > 2:  # a bucket whose parts are not alike: all of its blocks meet
-            blocks = [np.arange(i, min(i + HOT, len(rows))) for i in range(0, len(rows), HOT)]
-            for x in range(len(blocks)):
-                for y in range(x + 1, len(blocks)):
-                    both = np.concatenate([blocks[x], blocks[y]])
-                    for i, j in forests(agreement(sig[both]), least, FORESTS):
-                        pair(both[i], both[j])
-        if salts > 1:
-            for i in onward:
-                out.append((band, salts, rows[i]["id"], rows[i]["k"], rows[i]["sig"], None))
-
-    out: list = []
-    held: list = []
-    for b in batches:
-        for r in b.to_pylist():
-            if held and (held[0]["band"], held[0]["salt"]) != (r["band"], r["salt"]):
-                close(held)
-                held = []
-            held.append(r)
-        if len(out) > 10_000:
-            yield _pairs_batch(out)
-            out = []
-    if held:
-        close(held)
-    yield _pairs_batch(out)
+def _forests(batches):
+    """Rows sorted by cell, which is a bucket or two blocks of one. Gives the pairs of its forest."""
+    least = int(CANDIDATE * M)
+    out: list[tuple[int, int]] = []
 
+    def close(keys, sigs):
+        sig = np.frombuffer(b"".join(sigs), dtype=np.uint8).reshape(len(sigs), M)
+        out.extend((keys[i], keys[j]) for i, j in spanning(sig, least))
 
-def _pairs_batch(out: list) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-    cols = list(zip(*out, strict=True)) or [()] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], PAIRS)
+    cell, keys, sigs = None, [], []
+    for b in batches:
+        for *at, k, sig in zip(*(b.column(c).to_pylist() for c in ("band", "x", "y", "k", "sig")), strict=True):
+            if at != cell:
+                close(keys, sigs)
+                cell, keys, sigs = at, [], []
+            keys.append(k)
+            sigs.append(sig)
+        yield _longs(out, ["a", "b"])
+        out.clear()
+    close(keys, sigs)
+    yield _longs(out, ["a", "b"])
 
 
-PAIRS = ["band", "salts", "id", "k", "sig", "other"]
-PAIRS_SCHEMA = "band long, salts long, id long, k long, sig binary, other long"
+def _longs(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
 
 def candidates(reps: DataFrame) -> DataFrame:
-    """a, b: distinct pairs of keys of ``reps`` (id, k, sig, bands) that may be alike."""
-    spark = reps.sparkSession
-    rows = reps.select("id", "k", F.explode("bands").alias("band"))
+    """a, b: distinct pairs of keys of ``reps`` (k, sig, bands) that may be alike, enough of them to connect
+    all that share a band and agree in ``CANDIDATE`` of their components."""
+    n = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = reps.select("k", F.explode("bands").alias("band"))
     counts = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    pending = common.written(rows.join(counts, "band").join(reps.select("k", "sig"), "k"), "buckets")
-    found, before = None, None
-    while True:
-        hot = F.ceil(F.col("n") / HOT)
-        size = pending.agg(F.count(F.lit(1)), F.max("n")).first()
-        # where the parts of a bucket have hardly any texts alike, they meet whole
-        whole = before is not None and size[0] > 0.9 * before
-        rows = pending.withColumn("salts", F.lit(1) if whole else hot.cast("long"))
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("k", F.lit(size[0])), F.col("salts")))
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartition(n, "band", "salt").sortWithinPartitions("band", "salt", "k")
-        out = rows.select("band", "salts", "salt", "id", "k", "sig").mapInArrow(_leaders, PAIRS_SCHEMA)
-        out = common.written(out, "leaders")
-        pairs = out.where("other is not null").select(F.least("k", "other").alias("a"), F.greatest("k", "other").alias("b"))
-        found = pairs if found is None else found.unionByName(pairs)
-        if whole or not size[0] or size[1] <= HOT:
-            return found.where("a <> b").distinct()
-        left = out.where("other is null").select("band", "id", "k", "sig")
-        counts = left.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        pending, before = common.written(left.join(counts, "band"), "buckets"), size[0]
+    blocks = F.ceil(F.col("n") / HOT).cast("long")
+    rows = rows.join(counts, "band").select("band", "k", blocks.alias("blocks"))
+    block = F.pmod(F.xxhash64("k", "band"), "blocks")
+    rows = rows.select("band", "k", "blocks", block.alias("block"))
+    rows = rows.select("band", "k", "blocks", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    rows = rows.where("blocks = 1 or block <> other")  # two blocks that meet are compared within, too
+    rows = rows.select("band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "k")
+    rows = rows.join(reps.select("k", "sig"), "k")
+    rows = rows.repartition(n, "band", "x", "y").sortWithinPartitions("band", "x", "y", "k")
+    pairs = rows.select("band", "x", "y", "k", "sig").mapInArrow(_forests, "a long, b long")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
 def similarity(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> tuple[float, float]:
@@ -240,26 +189,92 @@ def similarity(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) ->
     return both.sum() / len(every), float((1 / (low[both] / w[both] + high[both] / v[both])).sum())
 
 
-def _verified(least: float):
-    def run(batches):
-        cache = shingles.WORDS
+def linked(shingle: list[np.ndarray], count: list[np.ndarray], first: int, least: float):
+    """For each text i its links j: to the texts from ``first`` on, if i is before, or with 0 to all after i.
+
+    Sizes of intersections come from postings of shingles. The probability Jaccard similarity is
+    at most the overlap of the shingles' shares, so only pairs that reach this are computed."""
+    size = np.array([len(s) for s in shingle])
+    total = np.array([n.sum() for n in count])
+    end = np.cumsum(size)
+    at = np.unique(np.concatenate(shingle), return_inverse=True)[1]
+    share = np.concatenate(count) / np.repeat(np.maximum(total, 1), size)
+    order = np.argsort(at, kind="stable")
+    text, its_share = np.repeat(np.arange(len(size)), size)[order], share[order]
+    start = np.concatenate([[0], np.cumsum(np.bincount(at))])
+    repeats = total > size
+    for i in range(first or len(size)):
+        own = at[end[i] - size[i] : end[i]]
+        n = start[own + 1] - start[own]
+        posting = np.repeat(start[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        found = text[posting]
+        both = np.bincount(found, minlength=len(size))
+        alike = both / np.maximum(size[i] + size - both, 1) >= least
+        open_ = ~alike & (repeats | repeats[i])
+        open_[: first or i + 1] = alike[: first or i + 1] = False
+        if open_.any():
+            overlap = np.minimum(np.repeat(share[end[i] - size[i] : end[i]], n), its_share[posting])
+            open_ &= np.bincount(found, weights=overlap, minlength=len(size)) >= least - 1e-9
+            for j in np.flatnonzero(open_).tolist():
+                alike[j] = similarity(shingle[i], count[i], shingle[j], count[j])[1] >= least
+        yield i, np.flatnonzero(alike)
 
-        def counted(text):
-            return np.unique(shingles.of(shingles.word_hashes(text.split(), cache), SIZE), return_counts=True)
 
+def _verified(least: float):
+    """Rows sorted by cell (root, x, y) and block. Gives (a, null, n): n links of a text; and (a, b, null): a
+    spanning forest of the links."""
+
+    def run(batches):
+        cache, out = shingles.WORDS, []
+
+        def close(cell, keys, blocks, sets):
+            first = blocks.count(cell[1]) if cell[1] != cell[2] else 0
+            if cell[1] != cell[2] and first in (0, len(keys)):  # one block is empty
+                return
+            label, n = np.arange(len(keys)), np.zeros(len(keys), dtype=np.int64)
+            for i, js in linked(*zip(*sets, strict=True), first, least):
+                n[i] += len(js)
+                n[js] += 1
+                while len(js := js[label[js] != label[i]]):
+                    out.append((keys[i], keys[js[0]], None))
+                    label[label == label[js[0]]] = label[i]
+            out.extend((keys[i], None, int(n[i])) for i in np.flatnonzero(n).tolist())
+
+        cell, keys, blocks, sets = None, [], [], []
+        names = ("root", "x", "y", "block", "k", "text")
         for b in batches:
-            out, last, of_last = [], None, None
-            for x, y, tx, ty in zip(*(b.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
-                if x != last:  # rows of one group mostly follow each other
-                    last, of_last = x, counted(tx)
-                if max(similarity(*of_last, *counted(ty))) >= least:
-                    out.append((x, y))
-            cols = list(zip(*out, strict=True)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
+            for *at, block, k, text in zip(*(b.column(c).to_pylist() for c in names), strict=True):
+                if at != cell:
+                    if cell:
+                        close(cell, keys, blocks, sets)
+                    cell, keys, blocks, sets = at, [], [], []
+                keys.append(k)
+                blocks.append(block)
+                sets.append(np.unique(shingles.of(shingles.word_hashes(text.split(), cache), SIZE), return_counts=True))
+            yield _longs(out, ["a", "b", "n"])
+            out.clear()
+        if cell:
+            close(cell, keys, blocks, sets)
+        yield _longs(out, ["a", "b", "n"])
 
     return run
 
 
+def links(groups: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """(a, null, n): how many texts of its group (k, root) a text (k, text) is linked to, in parts; and (a, b, null):
+    links that connect all that are linked. All pairs of a group are verified, in one task for each two blocks."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = groups.select("k", "root").join(texts.select("k", F.length("text").alias("chars")), "k")
+    size = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("chars") / CHARS), F.lit(1)).cast("long")
+    rows = members.drop("chars").join(size.select("root", blocks.alias("blocks")), "root")
+    rows = rows.select("k", "root", "blocks", F.pmod(F.xxhash64("k", "root"), "blocks").alias("block"))
+    rows = rows.select("k", "root", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("k", "root", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    rows = rows.join(texts, "k").repartition(parts, "root", "x", "y").sortWithinPartitions("root", "x", "y", "block", "k")
+    return rows.select("root", "x", "y", "block", "k", "text").mapInArrow(_verified(least), "a long, b long, n long")
+
+
 def classes(links: DataFrame, ids: DataFrame) -> DataFrame:
     """k, root: for each key in ``links`` (a, b) the least (id, k) of its component, as a key.
 
@@ -316,22 +331,15 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
         F.min(F.struct("id", "k")).alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands")
     )
     reps = common.written(reps.select("content", "rep.id", "rep.k", "sig", "bands"), "texts")
-    pairs = common.written(candidates(reps.drop("content")), "pairs")
-    need = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
-    texts = common.written(keyed.select("k", "text").join(need, "k").dropDuplicates(["k"]), "compared")
-    links = (
-        pairs.join(texts.select(F.col("k").alias("b"), F.col("text").alias("tb")), "b")
-        .join(texts.select(F.col("k").alias("a"), F.col("text").alias("ta")), "a")
-        .select("a", "b", "ta", "tb")
-        .mapInArrow(_verified(least), "a long, b long")
-    )
-    links = common.written(links, "links")
-    ends = links.select(F.col("a").alias("k")).unionByName(links.select(F.col("b").alias("k")))
-    roots = classes(links, reps.select("k", "id"))
+    groups = classes(common.written(candidates(reps.select("k", "sig", "bands")), "pairs"), reps.select("k", "id"))
+    texts = keyed.select("k", "text").join(groups.select("k"), "k").dropDuplicates(["k"])
+    found = common.written(links(groups, common.written(texts, "compared"), least), "links")
+    roots = classes(found.where("b is not null").select("a", "b"), reps.select("k", "id"))
+    n_links = found.where("b is null").groupBy(F.col("a").alias("k")).agg(F.sum("n").alias("n_links"))
     known = (
         reps.select("content", "id", "k")
         .join(roots, "k", "left")
-        .join(ends.groupBy("k").agg(F.count(F.lit(1)).alias("n_links")), "k", "left")
+        .join(n_links, "k", "left")
         .select("content", F.coalesce("root", "k").alias("root"), F.coalesce("root_id", "id").alias("class_id"),
                 F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     )

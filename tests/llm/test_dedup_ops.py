@@ -138,3 +138,27 @@ def test_signatures_estimate_probability_jaccard():
     brute = sum(1 / sum(max(w[e] / w[d], v[e] / v[d]) for e in every) for d in every if w[d] and v[d])
     assert abs(exact - brute) < 1e-9
     assert abs(estimate - exact) < 0.03
+
+
+def brute_links(pairs, least=0.8):
+    """doc_id: how many other word sequences are alike."""
+    sets = {tuple((s or "").split()): shingle_set(s) for _, s in pairs}
+    alike = lambda x, y: bool(x and y) and len(x & y) / len(x | y) >= least
+    n = {w: sum(alike(x, y) for v, y in sets.items() if v != w) for w, x in sets.items()}
+    return {i: n[tuple((s or "").split())] for i, s in pairs}
+
+
+def edited(base, places, n):
+    out = list(base)
+    for p in places:
+        out[p] = f"edit{n}at{p}"
+    return " ".join(out)
+
+
+def test_links_are_all_pairs(spark, monkeypatch):
+    """A group's verified links are counted in full, in one block as in several."""
+    got = prob_minhash.near_duplicates(documents(spark, near_cases())).collect()
+    assert {r["row"]["doc_id"]: r["n_links"] for r in got} == brute_links(near_cases())
+    monkeypatch.setattr(prob_minhash, "BLOCK", 10, raising=False)
+    again = prob_minhash.near_duplicates(documents(spark, near_cases())).collect()
+    assert sorted((r["k"], r["n_links"], r["root"]) for r in again) == sorted((r["k"], r["n_links"], r["root"]) for r in got)
