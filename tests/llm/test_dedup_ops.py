@@ -162,3 +162,20 @@ def test_links_are_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(prob_minhash, "BLOCK", 10, raising=False)
     again = prob_minhash.near_duplicates(documents(spark, near_cases())).collect()
     assert sorted((r["k"], r["n_links"], r["root"]) for r in again) == sorted((r["k"], r["n_links"], r["root"]) for r in got)
+
+
+def test_chained_edits_over_blocks(spark, monkeypatch):
+    """Chains in which only texts a few edits apart are alike, many of them in one bucket, cut into blocks."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+    pairs = []
+    for chain in range(8):
+        places = rng.sample(range(0, 200, 5), 20)
+        pairs += [(100 * chain + n, edited(base, places[:n], chain)) for n in range(21)]
+    monkeypatch.setattr(prob_minhash, "HOT", 10)
+    got = prob_minhash.near_duplicates(documents(spark, pairs)).collect()
+    groups = defaultdict(list)
+    for r in got:
+        groups[r["class_id"]].append(r["row"]["doc_id"])
+    assert sorted(sorted(g) for g in groups.values()) == brute_classes(pairs)
+    assert {r["row"]["doc_id"]: r["n_links"] for r in got} == brute_links(pairs)
