@@ -179,3 +179,14 @@ def test_chained_edits_over_blocks(spark, monkeypatch):
         groups[r["class_id"]].append(r["row"]["doc_id"])
     assert sorted(sorted(g) for g in groups.values()) == brute_classes(pairs)
     assert {r["row"]["doc_id"]: r["n_links"] for r in got} == brute_links(pairs)
+
+
+def test_templates_over_blocks(spark, monkeypatch):
+    """Texts of one template that share bands but are none of them near to all: the same as in one block."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+    pairs = [(n, edited(base, rng.sample(range(0, 200, 5), 2), n)) for n in range(60)]
+    monkeypatch.setattr(prob_minhash, "HOT", 10)
+    got = prob_minhash.near_duplicates(documents(spark, pairs)).collect()
+    assert {r["row"]["doc_id"]: r["n_links"] for r in got} == brute_links(pairs)
+    assert {r["class_id"] for r in got} == {0}
