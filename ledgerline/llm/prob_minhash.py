@@ -4,7 +4,8 @@ Weights are how often a shingle of five words occurs. Each shingle is a Poisson
 of that rate; its arrivals fall on components at random, and a component keeps the
 earliest. A shingle ends once its next arrival is after the latest kept one, so most are
 looked at once or twice. Components of two documents agree with their probability
-Jaccard similarity.
+Jaccard similarity. With all weights 1 they agree with the Jaccard similarity of the sets; texts
+have a signature of either kind, the same one where no shingle repeats.
 
 Equal word sequences are one text from the start; only its representative is compared.
 In a band's bucket, all signatures meet, and what leaves is a spanning forest of the pairs
@@ -65,14 +66,20 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int)
 
 
 def sketch_texts(texts: list[str], cache: shingles.WordHashes) -> tuple[np.ndarray, list[bytes]]:
-    """Signatures, and 128-bit IDs of the word sequences."""
+    """Signatures (of the set, then of the counted shingles: 2 M), and 128-bit IDs of the word sequences."""
     found, ids, pending, held = [], [], [], 0
 
     def flush() -> None:
         nonlocal pending, held
         if pending:
             doc = np.repeat(np.arange(len(pending)), [len(s) for s, _ in pending])
-            found.append(signatures(doc, *(np.concatenate(x) for x in zip(*pending, strict=True)), len(pending)))
+            shingle, weight = (np.concatenate(x) for x in zip(*pending, strict=True))
+            counted = signatures(doc, shingle, weight, len(pending))
+            repeats = np.bincount(doc, weights=weight > 1, minlength=len(pending)) > 0
+            own, as_set = repeats[doc], counted.copy()
+            number = np.cumsum(repeats) - 1
+            as_set[repeats] = signatures(number[doc[own]], shingle[own], np.ones(own.sum()), int(repeats.sum()))
+            found.append(np.concatenate([as_set, counted], axis=1))
         pending, held = [], 0
 
     for text in texts:
@@ -84,31 +91,31 @@ def sketch_texts(texts: list[str], cache: shingles.WordHashes) -> tuple[np.ndarr
         if held >= AT_ONCE:
             flush()
     flush()
-    return np.concatenate(found) if found else np.zeros((0, M), dtype=_U), ids
+    return np.concatenate(found) if found else np.zeros((0, 2 * M), dtype=_U), ids
 
 
 def _sketches(batches):
     cache = shingles.WORDS
     for b in batches:
         sig, ids = sketch_texts(b.column("text").to_pylist(), cache)
-        bands = np.zeros((len(sig), M // ROWS), dtype=_U)
+        bands = np.zeros((len(sig), 2 * M // ROWS), dtype=_U)
         for r in range(ROWS):
             bands = shingles._mix(bands + sig[:, r::ROWS])
-        bands = shingles._mix(bands + np.arange(M // ROWS, dtype=_U)[None])
-        bytes_ = shingles._mix(sig).view(np.uint8).reshape(len(sig), M, 8)[:, :, 7].tobytes()
+        bands = shingles._mix(bands + np.tile(np.arange(M // ROWS, dtype=_U), 2)[None])
+        bytes_ = shingles._mix(sig).view(np.uint8).reshape(len(sig), 2 * M, 8)[:, :, 7].tobytes()
         yield pa.RecordBatch.from_arrays(
             [
                 b.column("id"), b.column("k"), pa.array(ids, pa.binary()),
-                pa.array([bytes_[i * M : i * M + M] for i in range(len(sig))], pa.binary()),
-                pa.array(list(bands.view(np.int64)), pa.list_(pa.int64())),
+                pa.array([bytes_[i * 2 * M : (i + 1) * 2 * M] for i in range(len(sig))], pa.binary()),
+                pa.array([np.unique(x) for x in bands.view(np.int64)], pa.list_(pa.int64())),
             ],
             ["id", "k", "content", "sig", "bands"],
         )
 
 
 def spanning(sig: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Pairs of a spanning forest over all pairs that agree in at least ``least`` components. Each
-    text that is reached meets all that are not."""
+    """Pairs of a spanning forest over all pairs that agree in at least ``least`` components of
+    either signature. Each text that is reached meets all that are not."""
     left, rest, reached, pairs = np.arange(len(sig)), sig, [], []
     while len(left):
         if not reached:  # a new tree
@@ -116,7 +123,7 @@ def spanning(sig: np.ndarray, least: int) -> list[tuple[int, int]]:
             left, rest = left[1:], rest[1:]
             continue
         i = reached.pop()
-        near = np.count_nonzero(rest == sig[i], axis=1) >= least
+        near = np.count_nonzero((rest == sig[i]).reshape(len(rest), -1, M), axis=2).max(axis=1) >= least
         if near.any():
             pairs += [(i, j) for j in left[near].tolist()]
             reached += left[near].tolist()
@@ -130,7 +137,7 @@ def _forests(batches):
     out: list[tuple[int, int]] = []
 
     def close(keys, sigs):
-        sig = np.frombuffer(b"".join(sigs), dtype=np.uint8).reshape(len(sigs), M)
+        sig = np.frombuffer(b"".join(sigs), dtype=np.uint8).reshape(len(sigs), 2 * M)
         out.extend((keys[i], keys[j]) for i, j in spanning(sig, least))
 
     cell, keys, sigs = None, [], []

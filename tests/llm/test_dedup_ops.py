@@ -190,3 +190,15 @@ def test_templates_over_blocks(spark, monkeypatch):
     got = prob_minhash.near_duplicates(documents(spark, pairs)).collect()
     assert {r["row"]["doc_id"]: r["n_links"] for r in got} == brute_links(pairs)
     assert {r["class_id"] for r in got} == {0}
+
+
+def test_alike_as_sets_with_other_counts(spark):
+    """A text, and the same with a line repeated many times: alike as sets, not as counted shingles."""
+    rng = random.Random(13)
+    pairs = []
+    for n in range(20):
+        base = " ".join(f"w{rng.randrange(3000)}" for _ in range(200))
+        line = " ".join(f"x{rng.randrange(3000)}" for _ in range(10))
+        pairs += [(2 * n, base), (2 * n + 1, f"{base} {' '.join([line] * 50)}")]
+    got = prob_minhash.near_duplicates(documents(spark, pairs)).collect()
+    assert {r["row"]["doc_id"]: r["class_id"] for r in got} == {i: i // 2 * 2 for i, _ in pairs}
