@@ -8,7 +8,9 @@
    the driver is features x RANK numbers, whatever the corpus.
 3. Documents are folded in: windows of several lengths, every ``STEP`` words, become vectors
    in the space of singular vectors, scaled by the singular values; so do benchmark items.
-   Pairs of a cosine of at least ``COSINE`` are candidates.
+   Pairs of a cosine of at least ``COSINE`` are candidates. A cosine doesn't bound what two
+   texts share in words, so items of which a document has enough words are candidates too, of
+   any length: no window of ``reach`` words that makes a leak is lost.
 4. Candidates are checked on words: the longest common subsequence of item and window has to
    cover most of the item, or a little less with most of its answer (the last sentence).
 """
@@ -206,6 +208,14 @@ class Items:
         v = np.array(vectors, dtype=np.float32).reshape(len(vectors), space.shape[1])
         v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
         size = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.vectors, self.size = v, size
+        #: Postings: items of each feature and how often they have it.
+        cells, n = np.unique(
+            np.concatenate([np.zeros(0, dtype=np.int64), *(np.array(f, dtype=np.int64) * len(v) + i for i, f in enumerate(self.features))]),
+            return_counts=True,
+        )
+        self.posted, self.times = cells % max(len(v), 1), n
+        self.start = np.searchsorted(cells, np.arange(FEATURES + 1) * len(v))
         self.parts = []  # for each kind of window: numbers and vectors of its items
         for k, (length, _) in enumerate(WINDOWS):
             low = 0 if k == 0 else 0.6 * length * STEP
@@ -213,10 +223,32 @@ class Items:
             own = np.flatnonzero((size >= low) & (size <= high))
             self.parts.append((own, np.ascontiguousarray(v[own].T)))
 
+    def reach(self, i: int) -> int:
+        """Words of a window in which the item may be."""
+        return max(len(self.words[i]) * 5 // 4, 4 * STEP) + 2 * STEP
+
+    def shared(self, ids: np.ndarray) -> np.ndarray:
+        """Numbers of the items of which a text has at least the share ``NEARLY`` of words, in any order."""
+        there, n = np.unique(ids[ids > 0], return_counts=True)
+        many = self.start[there + 1] - self.start[there] if len(there) else n
+        at = np.repeat(self.start[there] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        both = np.bincount(self.posted[at], weights=np.minimum(self.times[at], np.repeat(n, many)), minlength=len(self.size))
+        return np.flatnonzero(both >= NEARLY * self.size - 1e-9)
+
+    def windows(self, i: int, ids: np.ndarray) -> list[tuple[int, int]]:
+        """Windows of the text, one of which holds each run of ``reach`` words that may be a leak of the item."""
+        own = np.zeros(FEATURES, dtype=bool)
+        own[self.features[i]] = True
+        upto = np.concatenate([[0], np.cumsum(own[ids])])
+        first = np.arange(0, len(ids), STEP)
+        last = np.minimum(first + self.reach(i) + STEP, len(ids))
+        kept = upto[last] - upto[first] >= NEARLY * len(self.features[i]) - 1e-9
+        return list(zip(first[kept].tolist(), last[kept].tolist(), strict=True))
+
     def may_be(self, i: int, window: list[int]) -> bool:
         """Whether the window's features allow for a leak: those it has at all, then in order."""
         own, there = self.features[i], set(window)
-        least = NEARLY * len(own)
+        least = NEARLY * len(own) - 1e-9
         return sum(map(there.__contains__, own)) >= least and lcs(own, window) >= least
 
     def check(self, i: int, window: list[str]) -> tuple[float, float, bool]:
@@ -256,6 +288,16 @@ def leaks_of(text: str, features: Features, space: np.ndarray, items: Items, cos
                     share, answered, leak = items.check(i, window)
                     if leak and share > found.get(i, (0, 0))[1]:
                         found[i] = (float(like[w, j]), share, answered)
+    for i in items.shared(ids).tolist():
+        for start, end in items.windows(i, ids):
+            if found.get(i, (0, 0))[1] == 1:
+                break
+            if not items.may_be(i, ids[start:end].tolist()):
+                continue
+            share, answered, leak = items.check(i, [x for word in words[start:end] if (x := normal(word))])
+            if leak and share > found.get(i, (0, 0))[1]:
+                v = space[ids[start:end]].sum(axis=0)
+                found[i] = (float(v @ items.vectors[i] / max(np.linalg.norm(v), 1e-9)), share, answered)
     return [(i, *x) for i, x in sorted(found.items())]
 
 
