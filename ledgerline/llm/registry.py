@@ -8,6 +8,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common
+from .align import op13_cross_tokenizer_alignment
+from .bpe import op12_bpe_round_trip
 from .decontaminate import op8_decontaminate
 from .fingerprints import op7_bottom_k_fingerprints
 from .license_scan import op10_license_scan
@@ -30,6 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_toxicity_chain": op9_toxicity_chain,
     "op10_license_scan": op10_license_scan,
+    "op12_bpe_round_trip": op12_bpe_round_trip,
+    "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
     "pipeline": corpus_pipeline.run,
 }
 

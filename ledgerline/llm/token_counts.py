@@ -27,15 +27,16 @@ CACHE = 400_000
 SUMMARY = 2_000
 
 _at_space = re.compile(r"(?<=\S)(?= )")
+_space_in_run = re.compile(r"\s ")
 
 
 def groups(text: str) -> tuple[str, list[str]]:
     """The text as its first group and the others without the space that begins each.
 
-    A boundary lies between a non-space and a space. Where no two spaces meet, every
-    space may be one: a run of white space gives all but its last space to itself.
+    A boundary lies between a character that isn't white space and a space; a run of white
+    space is a pre-token of its own but for its last character, so none lies inside it.
     """
-    if "  " not in text:
+    if not _space_in_run.search(text):
         first, *rest = text.split(" ")
         return first, rest
     first, *rest = _at_space.split(text)

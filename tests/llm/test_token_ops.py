@@ -17,6 +17,7 @@ def texts():
     words = ["The", "tha", "ín", "ß", "12", "don't", "x=1", "\t", "\n", "", " ", "  ", "\xa0", "é", "<|endoftext|>", "日本", "!!"]
     made = [" ".join(rng.choice(words) for _ in range(rng.randrange(40))) for _ in range(120)]
     made += ["".join(rng.choice([" ", "\n", "a", " ", "."]) for _ in range(30)) for _ in range(120)]
+    made += ["".join(rng.choice([" ", "\xa0", "\u2028", "\t", "a", "\x1c"]) for _ in range(60)) for _ in range(120)]
     return [None, "", " ", "   a", "a  ", "word " * 9000, "x" * 5000, made[3], made[3], *made]
 
 
