@@ -20,6 +20,7 @@ from .secret_scan import op6_secret_scan, op6_sql
 from .suffix_dedup import op1_suffix_dedup
 from .token_counts import op5_token_counts
 from .toxicity import op9_toxicity_chain
+from .whitening import op11_embedding_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_toxicity_chain": op9_toxicity_chain,
     "op10_license_scan": op10_license_scan,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_bpe_round_trip": op12_bpe_round_trip,
     "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
     "pipeline": corpus_pipeline.run,
