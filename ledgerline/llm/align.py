@@ -51,7 +51,7 @@ def byte_level(path: str) -> Side:
     encoder = Encoder(path, special=False)
 
     def encode(texts: list[str]):
-        found = [encoder(" " + x) if x else b"" for x in texts]
+        found = encoder.many([" " + x if x else "" for x in texts])
         return np.frombuffer(b"".join(found), "<u4").astype(np.int64), np.array([len(x) // 4 for x in found], np.int64)
 
     v = encoder.vocabulary

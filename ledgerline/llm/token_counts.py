@@ -110,8 +110,8 @@ def tokenizer(path: str):
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def splitter(path: str):
-    """Text to pre-tokens, by the vocabulary file's own normalizer and pattern."""
+def pre_tokens(path: str):
+    """Normalised text to pre-tokens, by the vocabulary file's own pattern."""
     import json
 
     import regex
@@ -120,8 +120,12 @@ def splitter(path: str):
         pre = json.load(f)["pre_tokenizer"]
     steps = pre.get("pretokenizers", [pre])
     own = [x["pattern"]["Regex"] for x in steps if x["type"] == "Split"]
-    find = regex.compile(own[0] if own else BYTE_LEVEL).findall
-    normalizer = tokenizer(path).normalizer
+    return regex.compile(own[0] if own else BYTE_LEVEL).findall
+
+
+def splitter(path: str):
+    """Text to pre-tokens, by the vocabulary file's own normalizer and pattern."""
+    find, normalizer = pre_tokens(path), tokenizer(path).normalizer
     return find if normalizer is None else lambda text: find(normalizer.normalize_str(text))
 
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 import struct
 
+import numpy as np
 import public_tokenizers
 import pytest
 from common_cases import documents
@@ -41,30 +42,60 @@ def test_special_strings_as_plain_text():
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
     text = "a<|endoftext|> <|endoftext|>b"
-    got = bpe.Encoder(path, special=False)(text)
+    (got,) = bpe.Encoder(path, special=False).many([text])
     assert list(memoryview(got).cast("I")) == t.encode(text, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("seed", range(20))
-def test_tree_takes_the_leftmost_pair_of_least_rank(seed):
-    """Against a scan of all pairs before each merge."""
-    rng = random.Random(seed)
-    letters = rng.randrange(1, 5)
-    symbols = [rng.randrange(letters) for _ in range(rng.randrange(1, 200))]
-    rank_of, merged = {}, []
-    for _ in range(rng.randrange(0, 30)):
+def made_up_pairs(rng, letters, n):
+    pairs, merged = [], []
+    for _ in range(n):
         pair = rng.randrange(letters + len(merged)), rng.randrange(letters + len(merged))
-        if pair[0] << 32 | pair[1] not in rank_of:
-            rank_of[pair[0] << 32 | pair[1]] = len(merged)
+        if pair not in pairs:
+            pairs.append(pair)
             merged.append(letters + len(merged))
-    want = list(symbols)
-    while True:
-        found = [(rank_of[a << 32 | b], i) for i, (a, b) in enumerate(zip(want, want[1:], strict=False)) if a << 32 | b in rank_of]
-        if not found:
-            break
+    return bpe.Pairs(pairs, merged)
+
+
+def scanned(symbols, pairs):
+    """A scan of all pairs before each merge."""
+    rank_of, out = pairs.rank_of, list(symbols)
+    while found := [(rank_of[a << 32 | b], i) for i, (a, b) in enumerate(zip(out, out[1:], strict=False)) if a << 32 | b in rank_of]:
         rank, i = min(found)
-        want[i : i + 2] = [merged[rank]]
-    assert bpe.merge(symbols, rank_of, merged) == want
+        out[i : i + 2] = [pairs.merged[rank]]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_tree_takes_the_leftmost_pair_of_least_rank(seed):
+    rng = random.Random(seed)
+    letters = rng.randrange(1, 5)
+    pairs = made_up_pairs(rng, letters, rng.randrange(0, 30))
+    words = [[rng.randrange(letters) for _ in range(rng.randrange(1, rng.choice([3, 9, 70])))] for _ in range(40)]
+    want = [scanned(w, pairs) for w in words]
+    assert [bpe.merge(list(w), pairs) for w in words] == want
+    rows = np.full((len(words), max(map(len, words))), -1)
+    for row, w in zip(rows, words, strict=True):
+        row[: len(w)] = w
+    assert [[x for x in row if x >= 0] for row in bpe.merge_side_by_side(rows, pairs).tolist()] == want
+
+
+def test_pairs_of_arrays():
+    pairs = made_up_pairs(random.Random(1), 50, 400)
+    left, right = np.repeat(np.arange(-1, 460), 461), np.tile(np.arange(-1, 460), 461)
+    found = pairs.leaves(left, right, np.full(len(left), 7)).tolist()
+    want = [pairs.rank_of.get(a << 32 | b) if min(a, b) >= 0 else None for a, b in zip(left.tolist(), right.tolist(), strict=True)]
+    assert found == [bpe.NONE if r is None else r << 32 | 7 for r in want]
+
+
+def test_caches_stay_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 20)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, t = bpe.Encoder(path), Tokenizer.from_file(path)
+    for i in range(30):
+        text = " ".join([*(f"w{i}x{k}," for k in range(30)), "y" * 200])
+        (got,) = encoder.many([text])
+        assert list(memoryview(got).cast("I")) == t.encode(text, add_special_tokens=False).ids
+        assert len(encoder.pieces) <= 20 and len(encoder.known[""]) <= 20
 
 
 def test_one_long_pre_token_is_not_quadratic(spark):
