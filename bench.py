@@ -37,10 +37,6 @@ def _literal_queries():
     from ledgerline.plans import marts
     from ledgerline.plans.registry import Inputs
 
-    def ltv(spark, sf):
-        i = Inputs(spark, sf)
-        return marts.customer_ltv_daily(i.items, i.options, distributed=False)
-
     def trends(spark, sf):
         i = Inputs(spark, sf)
         return marts.sales_trends(i.items, method="union")
@@ -54,7 +50,6 @@ def _literal_queries():
         return marts.loyalty_location_discount(i.items, i.options, method="union")
 
     return {
-        "customer_ltv_daily__single_partition_ntile": ltv,
         "sales_trends__union": trends,
         "sales_trends__grouping_sets": trends_gs,
         "loyalty_location_discount__union": metrics,

@@ -33,12 +33,14 @@ def clean_label(c: str | Column) -> Column:
 
 
 def _whole(c: str | Column, kind: str) -> Column:
-    """Text -> integer as a non-ANSI cast takes it: an optional sign, digits and
-    an optional fraction, which is cut off; other text (exponents too) and
-    numbers out of range -> NULL."""
+    """Text -> integer as a non-ANSI cast takes it: an optional sign and digits,
+    of a fraction only the part before the point ('.' is 0); other text
+    (exponents too) and numbers out of range -> NULL. Plain integers take one
+    strict cast; only what that rejects is looked at by pattern."""
     t = F.trim(col_(c))
-    digits = F.regexp_replace(F.regexp_extract(t, r"^[+-]?[0-9]*", 0), "^[+-]?$", "0")
-    return F.when(t.rlike(r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$"), digits.try_cast(kind))
+    before = F.substring_index(t, ".", 1)
+    cut = F.coalesce(before.try_cast(kind), F.when(~before.rlike("[0-9]"), F.lit(0).cast(kind)))
+    return F.coalesce(t.try_cast(kind), F.when(t.rlike(r"^[\x00-\x20]*[+-]?[0-9]*[.][0-9]*[\x00-\x20]*$"), cut))
 
 
 def safe_int(c: str | Column) -> Column:
@@ -58,11 +60,14 @@ def safe_price(c: str | Column) -> Column:
     """Tolerant text -> exact price. Text that is no finite double -> NULL; a
     float suffix ('5d', '5f') is part of a number, as in a cast to double.
     What PRICE cannot hold (over 17 digits before the point) raises under ANSI;
-    digits after the tenth behind the point are rounded."""
+    digits after the tenth behind the point are rounded. Plain numbers take two
+    strict casts; only a finite number that PRICE rejects has its suffix cut, or
+    is a hexadecimal one."""
     t = F.trim(col_(c))
     value = t.try_cast("double")
-    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
-    return F.when(finite, F.regexp_replace(t, "[dDfF]$", "").cast(PRICE))
+    finite = F.abs(value) < F.lit(float("inf"))  # NaN is above every number
+    other = F.when(t.rlike("[xX]"), value.cast(PRICE)).otherwise(F.regexp_replace(t, "[dDfF]$", "").cast(PRICE))
+    return F.when(finite, F.coalesce(t.try_cast(PRICE), other))
 
 
 def safe_date(c: str | Column) -> Column:

@@ -3,11 +3,12 @@
 ``Window.orderBy(...)`` with no ``partitionBy`` moves the whole input into one
 task. Here the total order is split across tasks by *values*:
 
-1. At most P - 1 bounds are rows of the order key, taken from a bounded sample
-   (by hash of the key). Bounds only balance the work; any bounds give the same
-   result.
+1. P - 1 bounds are rows of the order key, from a sample of about ``_PER_PART`` x P
+   rows: those whose key's hash is under a threshold that the row count sets, so
+   tasks keep only what is sampled. P follows the data (``ROWS_PER_PART``).
+   Bounds only balance the work; any bounds give the same result.
 2. A row's part is the number of bounds at or below its key, found by binary
-   search in a literal array. It depends on the row alone, so a task that runs
+   search in a constant array. It depends on the row alone, so a task that runs
    again, or a plan that evaluates the input twice, finds the same parts.
 3. ``row_number`` within a part, plus the rows of earlier parts (one count for
    each part, broadcast), is the global position.
@@ -20,17 +21,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 Order = list[tuple[str, bool]]
 
-#: Parts at most: each bound is one literal in the plan.
-MAX_PARTS = 1024
+#: Rows of a part that are aimed at; there are at least as many parts as shuffle partitions.
+ROWS_PER_PART = 1_000_000
+#: Parts at most. The bounds are one constant of the plan: 16,384 keys are 1 to 2 MB.
+MAX_PARTS = 16_384
 #: Sampled rows for each part.
-_PER_PART = 20
+_PER_PART = 16
 
 
-def _parts(df: DataFrame, num_parts: int | None) -> int:
-    return min(MAX_PARTS, int(num_parts or df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _parts(df: DataFrame, num_parts: int | None, rows: int) -> int:
+    if num_parts:
+        return num_parts
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_PARTS, max(least, -(-rows // ROWS_PER_PART)))
 
 
 def sort_columns(order: Order) -> list[Column]:
@@ -47,21 +54,32 @@ def _key(order: Order) -> Column:
     return F.struct(*fields)
 
 
-def _bounds(df: DataFrame, order: Order, parts: int) -> tuple[Column, int] | None:
-    """An array literal of at most ``parts - 1`` keys, ascending, and its size."""
+def sampled(keys: DataFrame, rows: int, want: int) -> DataFrame:
+    """About ``want`` of ``rows`` keys ``k``, chosen by value: the same ones whenever the plan runs."""
+    if rows <= want:
+        return keys
+    below = -(1 << 63) + (1 << 64) * want // rows  # of the 2^64 hashes, the share want / rows
+    return keys.where(F.xxhash64("k") < F.lit(below))
+
+
+def _bounds(df: DataFrame, order: Order, num_parts: int | None) -> tuple[Column, int] | None:
+    """An array constant of the bounds, ascending, and its size."""
+    rows = df.count()
+    want = _PER_PART * _parts(df, num_parts, rows)
     keys = df.select(_key(order).alias("k"))
-    sample = keys.orderBy(F.xxhash64("k")).limit(_PER_PART * parts).orderBy("k").collect()
-    step = max(1, -(-len(sample) // parts))
-    kinds = [(f.name, f.dataType) for f in keys.schema["k"].dataType.fields]
-    chosen = [r["k"] for r in sample[step::step]]
+    kind = keys.schema["k"].dataType
+    # one text a key: exact for every type that orders here, and one constant for the plan
+    sample = [r[0] for r in sampled(keys, rows, want).orderBy("k").select(F.to_json("k")).collect()]
+    parts = min(_parts(df, num_parts, rows), len(sample))
+    chosen = [sample[i * len(sample) // parts] for i in range(1, parts)]
     if not chosen:
         return None
-    return F.array(*(F.struct(*(F.lit(k[n]).cast(t).alias(n) for n, t in kinds)) for k in chosen)), len(chosen)
+    return F.from_json(F.lit(f"[{','.join(chosen)}]"), ArrayType(kind)), len(chosen)
 
 
 def with_part(df: DataFrame, order: Order, num_parts: int | None = None, part_col: str = "_part") -> DataFrame:
     """Add the number of the row's part: parts are ranges of ``order``."""
-    found = _bounds(df, order, _parts(df, num_parts))
+    found = _bounds(df, order, num_parts)
     if found is None:
         return df.withColumn(part_col, F.lit(0))
     bounds, n = found
@@ -142,11 +160,6 @@ def global_dense_rank(
     return df.join(ranked, F.col(value_col).eqNullSafe(F.col("_rv")), "left").drop("_rv")
 
 
-def plain_ntile(df: DataFrame, k: int, order: Order, out_col: str = "ntile") -> DataFrame:
-    """Single-partition reference form (tests / tiny inputs only)."""
-    return df.withColumn(out_col, F.ntile(k).over(Window.orderBy(*sort_columns(order))))
-
-
 def distributed_lag(
     df: DataFrame,
     partition_cols: list[str],

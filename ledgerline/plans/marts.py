@@ -40,7 +40,6 @@ def customer_ltv_daily(
     items: DataFrame,
     options: DataFrame,
     thresholds: Thresholds = DEFAULT_THRESHOLDS,
-    distributed: bool = True,
     audit: bool = False,
     orders: DataFrame | None = None,
 ) -> DataFrame:
@@ -48,7 +47,7 @@ def customer_ltv_daily(
     per pipeline run and shared with M2); built from items/options if None."""
     orders = orders if orders is not None else customer_orders(items, options)
     daily = revenue.daily_customer_revenue(orders)
-    out = customers.customer_ltv_daily(daily, thresholds, distributed).select(*LTV_COLUMNS)
+    out = customers.customer_ltv_daily(daily, thresholds).select(*LTV_COLUMNS)
     out = _doubles(out, ["daily_revenue", "customer_ltv_to_date"])
     return out.withColumn("gold_processed_timestamp", F.current_timestamp()) if audit else out
 

@@ -1,12 +1,22 @@
-"""Work tables: a DataFrame written once to the shared folder and read again."""
+"""Work tables: a DataFrame written once to the shared folder and read again.
+
+``run_folder`` gives a run its own folder for them and removes it when the run
+has succeeded. Outside a run they lie under the shared folder itself.
+"""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_folder: ContextVar[str | None] = ContextVar("ledgerline_work_folder", default=None)
+_checkpoints: ContextVar[list[str] | None] = ContextVar("ledgerline_checkpoints", default=None)
+
 
 def configured_dir(spark: SparkSession) -> str | None:
     """The shared folder that ``spark.checkpoint.dir`` names, if any."""
@@ -29,10 +39,46 @@ def work_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+@contextmanager
+def run_folder(spark: SparkSession, path: str) -> Iterator[str]:
+    """Work tables made inside the block lie in ``path``. It and the checkpoints
+    of the block are removed at its end. After a failure ``path`` stays until
+    the next run of its root removes it."""
+    made: list[str] = []
+    tokens = _folder.set(path.rstrip("/")), _checkpoints.set(made)
+    try:
+        yield path
+    finally:
+        _folder.reset(tokens[0])
+        _checkpoints.reset(tokens[1])
+        for checkpoint in made:
+            delete_folder(spark, checkpoint)
+    delete_folder(spark, path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written table: evaluated once however often it is read, and
     the lineage of what follows ends at its files."""
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/work-{name}-{uuid.uuid4().hex}"
+    path = f"{_folder.get() or work_dir(spark)}/work-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def placed(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` and checkpointed in the shared folder. Unlike a
+    table of files the checkpoint keeps the placement, so aggregates, windows
+    and joins on the keys read it without a shuffle."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(work_dir(spark))
+    out = df.repartition(*keys).checkpoint()
+    file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if _checkpoints.get() is not None and file.isDefined():
+        _checkpoints.get().append(file.get())
+    return out

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators import ranking
+from tests.helpers.plain_windows import plain_ntile
 
 
 def _data(spark, n, distinct_values, seed, with_null=False):
@@ -25,7 +26,7 @@ def _data(spark, n, distinct_values, seed, with_null=False):
 def test_global_ntile_matches_window(spark, n, distinct, parts, k):
     df = _data(spark, n, distinct, seed=n * 31 + k, with_null=n > 10)
     order = [("v", False), ("u", True)]
-    want = {r.u: r.b for r in ranking.plain_ntile(df, k, order, "b").collect()}
+    want = {r.u: r.b for r in plain_ntile(df, k, order, "b").collect()}
     got = {r.u: r.b for r in ranking.global_ntile(df, k, order, "b", num_parts=parts).collect()}
     assert got == want
 
@@ -108,3 +109,25 @@ def test_positions_with_payload_and_without_exchange_reuse(spark, reuse, aqe):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_sampling_keeps_a_share_in_every_task(spark):
+    """At 1,000 partitions no task keeps more than a few rows of a sample of 2,000."""
+    n, want = 400_000, 2_000
+    keys = spark.range(0, n, 1, 1000).select(F.struct(F.col("id").alias("v")).alias("k"))
+    per_task = ranking.sampled(keys, n, want).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    total = sum(r["count"] for r in per_task)
+    assert 0.8 * want < total < 1.2 * want and max(r["count"] for r in per_task) < 20
+    assert ranking.sampled(keys, 10, 10) is keys  # as few rows as wanted: all
+
+
+def test_parts_follow_the_data(spark, monkeypatch):
+    df = spark.range(3000).select(F.concat(F.lit("u'\"\\"), "id").alias("u"), (F.col("id") % 7).cast("decimal(18,2)").alias("v"))
+    monkeypatch.setattr(ranking, "ROWS_PER_PART", 30)
+    tagged = ranking.with_part(df, [("v", False), ("u", True)])
+    counts = [r["count"] for r in tagged.groupBy("_part").count().collect()]
+    assert len(counts) == 100 and max(counts) < 120
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan  # the bounds are one constant
+    monkeypatch.setattr(ranking, "MAX_PARTS", 10)
+    assert ranking.with_part(df, [("v", False), ("u", True)]).select("_part").distinct().count() == 10

@@ -5,8 +5,10 @@ import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.operators import customers
+from tests.helpers.plain_windows import plain_ntile
 
 AS_OF = dt.date(2024, 7, 1)
 
@@ -98,6 +100,24 @@ def test_clv_distributed_equals_plain(spark):
     from ledgerline.operators import revenue
 
     daily = revenue.daily_customer_revenue(o)
-    a = customers.clv_groups(daily, distributed=True, num_parts=7)
-    b = customers.clv_groups(daily, distributed=False)
-    assert _rows(a) == _rows(b)
+    got = customers.clv_groups(daily, num_parts=7)
+    totals = daily.groupBy("user_id").agg(F.sum("daily_revenue").alias("total_ltv"))
+    want = plain_ntile(totals, 5, [("total_ltv", False), ("user_id", True)], "clv_rank_bucket")
+    assert _rows(got.drop("clv_group")) == _rows(want)
+
+
+def test_daily_rows_are_placed_by_user_once(spark):
+    """Behind the checkpoint only the groups move: totals, window and join read the placement."""
+    from ledgerline.operators import revenue
+
+    daily = revenue.daily_customer_revenue(_orders(spark, 8))
+    out = customers.customer_ltv_daily(daily)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    read = plan[plan.index("Window") :]
+    assert "Scan ExistingRDD" in plan or "RDDScan" in plan
+    left = [line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line]
+    assert len(left) <= 1, plan  # the side of the groups
+    window_side = read[: read.index("ExistingRDD")]
+    assert "Exchange" not in window_side, plan
+    want = customers.running_ltv(daily).join(customers.clv_groups(daily).select("user_id", "clv_group"), "user_id")
+    assert _rows(out) == _rows(want.select(*out.columns))
