@@ -41,17 +41,12 @@ def _literal_queries():
         i = Inputs(spark, sf)
         return marts.sales_trends(i.items, method="union")
 
-    def trends_gs(spark, sf):
-        i = Inputs(spark, sf)
-        return marts.sales_trends(i.items, method="grouping_sets")
-
     def metrics(spark, sf):
         i = Inputs(spark, sf)
         return marts.loyalty_location_discount(i.items, i.options, method="union")
 
     return {
         "sales_trends__union": trends,
-        "sales_trends__grouping_sets": trends_gs,
         "loyalty_location_discount__union": metrics,
     }
 

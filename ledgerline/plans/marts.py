@@ -76,7 +76,7 @@ def customer_segments(
     return out.withColumn("gold_processed_timestamp", F.current_timestamp()) if audit else out
 
 
-def sales_trends(items: DataFrame, method: str = "stacked", audit: bool = False) -> DataFrame:
+def sales_trends(items: DataFrame, method: str = "levels", audit: bool = False) -> DataFrame:
     """M3."""
     out = _doubles(trends.sales_trends(items, method=method), ["total_revenue"])
     return out.withColumn("gold_processed_timestamp", F.current_timestamp()) if audit else out

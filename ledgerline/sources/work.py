@@ -15,7 +15,6 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _folder: ContextVar[str | None] = ContextVar("ledgerline_work_folder", default=None)
-_checkpoints: ContextVar[list[str] | None] = ContextVar("ledgerline_checkpoints", default=None)
 
 
 def configured_dir(spark: SparkSession) -> str | None:
@@ -46,18 +45,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def run_folder(spark: SparkSession, path: str) -> Iterator[str]:
-    """Work tables made inside the block lie in ``path``. It and the checkpoints
-    of the block are removed at its end. After a failure ``path`` stays until
-    the next run of its root removes it."""
-    made: list[str] = []
-    tokens = _folder.set(path.rstrip("/")), _checkpoints.set(made)
+    """Work tables made inside the block lie in ``path``, which is removed at
+    its end. After a failure it stays until the next run of its root."""
+    token = _folder.set(path.rstrip("/"))
     try:
         yield path
     finally:
-        _folder.reset(tokens[0])
-        _checkpoints.reset(tokens[1])
-        for checkpoint in made:
-            delete_folder(spark, checkpoint)
+        _folder.reset(token)
     delete_folder(spark, path)
 
 
@@ -71,14 +65,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def placed(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` dealt by ``keys`` and checkpointed in the shared folder. Unlike a
-    table of files the checkpoint keeps the placement, so aggregates, windows
-    and joins on the keys read it without a shuffle."""
+    """``df`` as a written table bucketed by ``keys``, one file a bucket, so that
+    aggregates, windows and joins on the keys read it without a shuffle. A
+    bucket is read by one task: for keys whose rows are bounded. The catalog
+    entry that a bucketed write needs is dropped at once; the files stay."""
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(work_dir(spark))
-    out = df.repartition(*keys).checkpoint()
-    file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
-    if _checkpoints.get() is not None and file.isDefined():
-        _checkpoints.get().append(file.get())
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"ledgerline_work_{uuid.uuid4().hex}"
+    path = f"{_folder.get() or work_dir(spark)}/work-{name}"
+    dealt = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    dealt.option("path", path).format("parquet").saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
     return out

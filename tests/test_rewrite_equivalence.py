@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import customers
+from ledgerline.sources import work
 from tests.helpers.plain_windows import plain_ntile
 
 AS_OF = dt.date(2024, 7, 1)
@@ -107,17 +108,18 @@ def test_clv_distributed_equals_plain(spark):
 
 
 def test_daily_rows_are_placed_by_user_once(spark):
-    """Behind the checkpoint only the groups move: totals, window and join read the placement."""
+    """Totals, window and join read the placement; in the join only the groups move."""
     from ledgerline.operators import revenue
 
     daily = revenue.daily_customer_revenue(_orders(spark, 8))
     out = customers.customer_ltv_daily(daily)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    read = plan[plan.index("Window") :]
-    assert "Scan ExistingRDD" in plan or "RDDScan" in plan
-    left = [line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line]
-    assert len(left) <= 1, plan  # the side of the groups
-    window_side = read[: read.index("ExistingRDD")]
-    assert "Exchange" not in window_side, plan
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line]
+    assert len(moved) <= 1, plan  # the side of the groups
+    running = customers.running_ltv(work.placed(daily, "user_id"))
+    assert "Exchange" not in running._jdf.queryExecution().executedPlan().toString()
+    totals = work.placed(daily, "user_id").groupBy("user_id").agg(F.sum("daily_revenue"))
+    assert "Exchange" not in totals._jdf.queryExecution().executedPlan().toString()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("ledgerline_work")]
     want = customers.running_ltv(daily).join(customers.clv_groups(daily).select("user_id", "clv_group"), "user_id")
     assert _rows(out) == _rows(want.select(*out.columns))

@@ -1,7 +1,9 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import GOLDEN_AS_OF
 from ledgerline.operators import metrics, trends
@@ -28,8 +30,42 @@ def test_pizza_daily_row(golden):
 
 def test_trend_plans_agree(golden):
     want = _rows(trends.sales_trends(golden["items"], method="union"))
-    assert want == _rows(trends.sales_trends(golden["items"], method="stacked"))
-    assert want == _rows(trends.sales_trends(golden["items"], method="grouping_sets"))
+    assert want == _rows(trends.sales_trends(golden["items"]))
+
+
+def _plain_trends(items):
+    """Distinct counts of each period by themselves."""
+    out = []
+    for p in trends.PERIOD_TYPES:
+        value = trends._period_value(p).alias("period_value")
+        groups = trends.trend_base(items).groupBy(value, *trends.TREND_KEYS).agg(
+            F.round(F.sum("item_gross_amount"), 2), F.countDistinct("order_id"), F.countDistinct("user_id")
+        )
+        out += [(p, *r) for r in groups.collect()]
+    return sorted(out, key=str)
+
+
+def test_trends_equal_distinct_counts_of_each_period(spark):
+    """Orders that span days and weeks, NULL users and keys, one user with a third of the lines, and the
+    last days of December, whose key is that of the first week of the same year."""
+    rng = random.Random(4)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=d) for d in (*range(40), 363, 364, 365)]
+    rows = [
+        (
+            rng.choice(days), f"o{rng.randrange(150)}", "hot" if k % 3 == 0 else rng.choice([None, "u1", "u2", "u3"]),
+            rng.choice(["R1", None]), rng.choice(["pizza", "salad"]), "USD", Decimal(rng.randrange(-500, 5000)) / 100,
+        )
+        for k in range(900)
+    ]
+    schema = "order_date date, order_id string, user_id string, restaurant_id string, item_category string, currency string, item_gross_amount decimal(18,2)"
+    items = spark.createDataFrame(rows + [(None, "o1", "u1", "R1", "x", "USD", None), (days[0], None, "u1", "R1", "x", "USD", None)], schema)
+    assert sorted(map(tuple, trends.sales_trends(items).collect()), key=str) == _plain_trends(items)
+
+
+def test_trends_move_each_member_twice(golden):
+    """Two rows a line to the first aggregate; behind it only the placement and the small last aggregate shuffle."""
+    plan = trends.sales_trends(golden["items"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3 and "Expand" not in plan
 
 
 def test_rollup_revenue_equal_over_periods(golden):
