@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import money_round
 
+# Fixed grains: what the marts group by.
 CUSTOMER_GRAIN = ("user_id", "order_id", "order_date")
 STORE_GRAIN = (
     "order_id",
@@ -76,18 +77,30 @@ def order_revenue(
     """Orders at ``keys`` grain with item, option and total revenue (exact
     decimal). ``with_discount`` adds ``discount_amount`` and ``has_discount``
     (an order is discounted when its discount sum is below 0)."""
-    it = item_revenue(items, keys, line_count)
-    op = option_revenue(options, with_discount)
-    out = (
-        it.join(op, on="order_id", how="left")
-        .withColumn("option_revenue", F.coalesce(F.col("option_revenue"), F.lit(0)))
-        .withColumn("order_total_revenue", money_round(F.col("item_revenue") + F.col("option_revenue")))
-    )
+    joined = item_revenue(items, keys, line_count).join(option_revenue(options, with_discount), "order_id", "left")
+    none = F.lit(0)
+    option = F.coalesce("option_revenue", none)
+    columns = {
+        "option_revenue": option,
+        "order_total_revenue": money_round(F.col("item_revenue") + option),
+    }
     if with_discount:
-        out = out.withColumn("discount_amount", F.coalesce(F.col("discount_amount"), F.lit(0))).withColumn(
-            "has_discount", F.col("discount_amount") < 0
-        )
-    return out
+        discount = F.coalesce("discount_amount", none)
+        columns |= {"discount_amount": discount, "has_discount": discount < 0}
+    return joined.withColumns(columns)
+
+
+def customer_orders(store_orders: DataFrame) -> DataFrame:
+    """Customer-grain orders rolled up from store-grain ones (J1-J3 without a
+    second pass over the lines). The store grain refines the customer grain, and
+    sums are exact, so item revenue adds up; an order's option revenue stands
+    whole in each of its rows, so any of them has it."""
+    required = [F.col(k).isNotNull() for k in CUSTOMER_GRAIN]
+    rows = store_orders.filter(required[0] & required[1] & required[2])
+    item, option = F.sum("item_revenue"), F.max("option_revenue")
+    return rows.groupBy(*CUSTOMER_GRAIN).agg(
+        item.alias("item_revenue"), option.alias("option_revenue"), money_round(item + option).alias("order_total_revenue")
+    )
 
 
 def daily_customer_revenue(orders: DataFrame) -> DataFrame:

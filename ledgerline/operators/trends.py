@@ -90,9 +90,24 @@ def _measures():
     ]
 
 
+_MEMBER = [*TREND_KEYS, "kind", "id"]
+
+
+def _placed_members(items: DataFrame) -> DataFrame:
+    return _members(trend_base(items), TREND_KEYS).repartition(*_MEMBER)
+
+
+def _rolled_up(members: DataFrame, periods: list[str]) -> DataFrame:
+    """Members with period columns -> measures per period. The first aggregate finds the
+    members' placement and shuffles nothing."""
+    own = members.groupBy(*periods, *_MEMBER).agg(F.sum("amount").alias("amount"))
+    return own.groupBy(*periods, *TREND_KEYS).agg(*_measures())
+
+
 def sales_period(items: DataFrame, period_type: str, iso_year: bool = False) -> DataFrame:
     """One period type."""
-    return sales_trends(items, (period_type,), iso_year=iso_year)
+    dated = _placed_members(items).withColumn("period_value", _period_value(period_type, iso_year))
+    return _rolled_up(dated, ["period_value"]).withColumn("period_type", F.lit(period_type)).select(*TREND_COLUMNS)
 
 
 def sales_trends(
@@ -103,21 +118,12 @@ def sales_trends(
 ) -> DataFrame:
     """M3: the union of the period rollups."""
     if method == "union":
-        parts = [sales_period(items, p, iso_year) for p in period_types]
-        return reduce(DataFrame.unionByName, parts)
-    member = [*TREND_KEYS, "kind", "id"]
-    members = _members(trend_base(items), TREND_KEYS).repartition(*member)
+        return reduce(DataFrame.unionByName, (sales_period(items, p, iso_year) for p in period_types))
     periods = F.array(
         *[F.struct(F.lit(p).alias("period_type"), _period_value(p, iso_year).alias("period_value")) for p in period_types]
     )
-    periods_of_members = (
-        members.select(*member, "amount", F.inline(periods))
-        .groupBy("period_type", "period_value", *member)
-        .agg(F.sum("amount").alias("amount"))
-    )
-    return (
-        periods_of_members.groupBy("period_type", "period_value", *TREND_KEYS).agg(*_measures()).select(*TREND_COLUMNS)
-    )
+    dated = _placed_members(items).select(*_MEMBER, "amount", F.inline(periods))
+    return _rolled_up(dated, ["period_type", "period_value"]).select(*TREND_COLUMNS)
 
 
 SEASON_KEYS = ["day_of_week", "day_type", "is_holiday", "currency"]

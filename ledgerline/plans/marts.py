@@ -83,9 +83,14 @@ def sales_trends(items: DataFrame, method: str = "levels", audit: bool = False)
 
 
 def loyalty_location_discount(
-    items: DataFrame, options: DataFrame, method: str = "stacked", audit: bool = False
+    items: DataFrame,
+    options: DataFrame,
+    method: str = "stacked",
+    audit: bool = False,
+    orders: DataFrame | None = None,
 ) -> DataFrame:
-    """M4."""
-    out = metrics.loyalty_location_discount(store_orders(items, options), method)
+    """M4. ``orders``: precomputed store-grain orders."""
+    orders = orders if orders is not None else store_orders(items, options)
+    out = metrics.loyalty_location_discount(orders, method)
     out = _doubles(out, ["total_revenue", "average_order_value"])
     return out.withColumn("gold_processed_timestamp", F.current_timestamp()) if audit else out

@@ -1,17 +1,22 @@
 """Layer pipeline (S11): bronze -> silver -> gold, stop on the first failure.
 
 Layers exchange data only through storage: each layer reads the folders the
-previous one wrote, so a failed run restarts from the last written layer, the
-lineage of a gold plan never reaches back into the source database, and a lost
-executor only re-runs work inside the current layer. Every write goes to a new
-versioned folder; the gold names in the catalog are replaced one by one, each
-in one operation, only after all marts of the run are written and their checks
-have passed. A run that fails a check raises and publishes nothing.
+previous one wrote, so the lineage of a gold plan never reaches back into the
+source database, and a lost executor only re-runs work inside the current
+layer. Every table is written to a new versioned folder and entered in the run's
+ledger, with its check figures, which the writing job itself observed. A failed
+run is resumed from there (``resume``): tables in the ledger are taken over, and
+its date stays the one it began with.
+
+All marts are published at once, by one pointer under ``<root>/gold``
+(``catalog.current``), and then as views one by one, only after all are written
+and their checks have passed. A run that fails a check raises and publishes
+nothing.
 
 The root folder must be shared storage visible to every executor (object store
 or distributed file system), never a machine-local temporary folder. One run
 per root at a time: retention keeps the newest versions and the published ones,
-so a concurrent second run's unpublished folders could be pruned.
+and a run removes the work folders of others.
 """
 
 from __future__ import annotations
@@ -22,12 +27,14 @@ from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.config import DEFAULT_THRESHOLDS, Thresholds
-from ledgerline.operators import silver
+from ledgerline.operators import revenue, silver
 from ledgerline.plans import marts, quality
-from ledgerline.schemas import require_bronze_columns
-from ledgerline.sources import catalog, ingest, sink
+from ledgerline.plans.ledger import RunLedger, unfinished
+from ledgerline.schemas import GOLD, require_bronze_columns
+from ledgerline.sources import catalog, ingest, sink, store, work
 
 BRONZE_SOURCES = {
     "order_items": "dbo.order_items",
@@ -91,30 +98,80 @@ def run(
     version: str | None = None,
     retain_versions: int | None = None,
     parallel: bool = True,
+    resume: bool = False,
 ) -> RunResult:
     """Run all layers. ``sources`` maps each bronze table name
     (order_items, order_item_options, date_dim) to a zero-argument function
     returning the source DataFrame (e.g. ``ingest.read_source`` over JDBC).
+    ``as_of``: the session's date when the run began if None.
     ``retain_versions``: after a successful publish, keep only this many
     versions per layer table (the published ones are never deleted).
     ``parallel``: the writes of one layer run as concurrent Spark jobs (they
     are independent); layers stay barriers and the first failure stops the
-    run before the next layer starts."""
-    v = version or sink.new_version_id()
-    res = RunResult(version=v)
+    run before the next layer starts.
+    ``resume``: go on with ``version``, or with the newest run that has not
+    published; a new run if there is none."""
     root = root.rstrip("/")
+    open_runs = unfinished(spark, root) if resume else []
+    v = version or (open_runs[-1] if open_runs else sink.new_version_id())
+    ledger = RunLedger(spark, root, v)
+    today = as_of or spark.range(1).select(F.current_date()).first()[0]
+    as_of = ledger.settings({"as_of": str(today)})["as_of"]
+    for other in store.names(spark, f"{root}/work"):
+        if other != f"v={v}":
+            store.delete(spark, f"{root}/work/{other}")  # a failed run's
+    with work.run_folder(spark, f"{root}/work/v={v}"):
+        return _run(spark, sources, root, database, as_of, thresholds, gold_format, retain_versions, parallel, ledger)
+
+
+def _run(
+    spark: SparkSession,
+    sources: dict[str, Callable[[], DataFrame]],
+    root: str,
+    database: str,
+    as_of: str,
+    thresholds: Thresholds,
+    gold_format: str,
+    retain_versions: int | None,
+    parallel: bool,
+    ledger: RunLedger,
+) -> RunResult:
+    v = ledger.version
+    res = RunResult(version=v)
+    metrics: dict[str, dict] = {}
     layer = _run_layer if parallel else _run_layer_serial
 
+    def written(key: str, build: Callable[[], DataFrame], write: Callable[[DataFrame], str], folder: str) -> dict:
+        """The table's ledger entry; the table is built and written only if it has none."""
+        found = ledger.committed(key)
+        if found is None:
+            if gold_format != "delta" or not key.startswith("gold."):
+                store.delete(spark, folder)  # what a failed job may have left
+            df, taken = quality.observed(build(), key.split(".", 1)[1])
+            path = write(df)
+            found = ledger.commit(key, path, taken())
+        return found
+
+    def run_layer(jobs: dict[str, Callable[[], dict]]) -> None:
+        for key, found in layer(jobs).items():
+            res.paths[key] = found["path"]
+            metrics[key] = found["metrics"]
+
+    def to_layer(name: str, table: str, build: Callable[[], DataFrame]) -> Callable[[], dict]:
+        folder = f"{root}/{name}/{table}/v={v}"
+        write = lambda df: sink.write_layer(df, f"{root}/{name}", table, version=v)
+        return lambda: written(f"{name}.{table}", build, write, folder)
+
     # bronze: source -> parquet + audit columns
-    def bronze_job(name: str, table: str) -> Callable[[], str]:
-        def job() -> str:
+    def bronze(name: str, table: str) -> Callable[[], DataFrame]:
+        def build() -> DataFrame:
             src = sources[name]()
             require_bronze_columns(src, name)
-            return sink.write_layer(ingest.add_audit(src, table), f"{root}/bronze", name, version=v)
+            return ingest.add_audit(src, table)
 
-        return job
+        return build
 
-    res.paths.update(layer({f"bronze.{n}": bronze_job(n, t) for n, t in BRONZE_SOURCES.items()}))
+    run_layer({f"bronze.{n}": to_layer("bronze", n, bronze(n, t)) for n, t in BRONZE_SOURCES.items()})
 
     # silver: bronze folders -> cleaned parquet
     cleaners = {
@@ -123,56 +180,71 @@ def run(
         "date_dim": silver.date_dim,
     }
 
-    def silver_job(name: str, clean: Callable[..., DataFrame]) -> Callable[[], str]:
-        def job() -> str:
-            bronze = sink.read_layer(spark, res.paths[f"bronze.{name}"])
-            return sink.write_layer(clean(bronze, audit=True), f"{root}/silver", name, version=v)
-
-        return job
-
-    res.paths.update(layer({f"silver.{n}": silver_job(n, c) for n, c in cleaners.items()}))
-
-    # gold: silver folders -> marts. The customer-grain order revenue feeds
-    # both customer marts: it is computed once (one shuffle of the lines),
-    # written to this run's work folder (cutting the lineage) and read by both.
-    items = sink.read_layer(spark, res.paths["silver.order_items"])
-    options = sink.read_layer(spark, res.paths["silver.order_item_options"])
-    res.paths["work.customer_orders"] = sink.write_layer(
-        marts.customer_orders(items, options), f"{root}/work", "customer_orders", version=v
-    )
-    orders = sink.read_layer(spark, res.paths["work.customer_orders"])
-    gold = {
-        "customer_ltv_daily": marts.customer_ltv_daily(items, options, thresholds, audit=True, orders=orders),
-        "customer_segments": marts.customer_segments(items, options, as_of, thresholds, audit=True, orders=orders),
-        "sales_trends": marts.sales_trends(items, audit=True),
-        "loyalty_location_discount": marts.loyalty_location_discount(items, options, audit=True),
-    }
-
-    def gold_job(name: str, df: DataFrame) -> Callable[[], str]:
-        # partition columns first: the writer needs that order, and the key
-        # order within each partition folder survives
-        sorted_df = df.sortWithinPartitions(*(GOLD_PARTITIONS[name] or []), *GOLD_SORT[name])
-        return lambda: sink.write_mart(sorted_df, f"{root}/gold", name, gold_format, GOLD_PARTITIONS[name], version=v)
-
-    res.paths.update(layer({f"gold.{n}": gold_job(n, df) for n, df in gold.items()}))
-
-    # checks over what was written, before anything is published
-    written = {
-        k: _read(spark, p, gold[k.split(".", 1)[1]] if k.startswith("gold.") else None, gold_format)
-        for k, p in res.paths.items()
-        if not k.startswith("work.")
-    }
-    res.checks = _evaluated(quality.layer_checks(written))
-    res.reconciliation = _evaluated(
-        quality.reconciliation({k.split(".", 1)[1]: df for k, df in written.items() if k.startswith("gold.")})
-    )
+    def cleaned(name: str, clean: Callable[..., DataFrame]) -> Callable[[], DataFrame]:
+        return lambda: clean(sink.read_layer(spark, res.paths[f"bronze.{name}"]), audit=True)
+
+    run_layer({f"silver.{n}": to_layer("silver", n, cleaned(n, c)) for n, c in cleaners.items()})
+
+    # gold: silver folders -> marts. The lines are aggregated to orders once, at
+    # the store grain, and written to the run's work folder; the customer grain
+    # is rolled up from there and shared by both customer marts.
+    read = lambda key: sink.read_layer(spark, res.paths[key])
+
+    def to_work(table: str, build: Callable[[], DataFrame]) -> None:
+        folder = f"{root}/work/v={v}/{table}"
+
+        def write(df: DataFrame) -> str:
+            df.write.parquet(folder)
+            return folder
+
+        run_layer({f"work.{table}": lambda: written(f"work.{table}", build, write, folder)})
+
+    marts_left = [n for n in GOLD_PARTITIONS if ledger.committed(f"gold.{n}") is None]
+    gold: dict[str, DataFrame] = {}
+    if marts_left:
+        items, options = read("silver.order_items"), read("silver.order_item_options")
+        to_work("store_orders", lambda: marts.store_orders(items, options))
+        to_work("customer_orders", lambda: revenue.customer_orders(read("work.store_orders")))
+        orders = read("work.customer_orders")
+        builders = {
+            "customer_ltv_daily": lambda: marts.customer_ltv_daily(items, options, thresholds, audit=True, orders=orders),
+            "customer_segments": lambda: marts.customer_segments(items, options, as_of, thresholds, audit=True, orders=orders),
+            "sales_trends": lambda: marts.sales_trends(items, audit=True),
+            "loyalty_location_discount": lambda: marts.loyalty_location_discount(
+                items, options, audit=True, orders=read("work.store_orders")
+            ),
+        }
+        gold = {n: builders[n]() for n in marts_left}
+
+    def to_gold(name: str) -> Callable[[], dict]:
+        def write(df: DataFrame) -> str:
+            # partition columns first: the writer needs that order, and the key
+            # order within each partition folder survives
+            ordered = df.sortWithinPartitions(*(GOLD_PARTITIONS[name] or []), *GOLD_SORT[name])
+            return sink.write_mart(ordered, f"{root}/gold", name, gold_format, GOLD_PARTITIONS[name], version=v)
+
+        return lambda: written(f"gold.{name}", lambda: gold[name], write, f"{root}/gold/{name}/v={v}")
+
+    run_layer({f"gold.{n}": to_gold(n) for n in GOLD_PARTITIONS})
+    for key in [k for k in res.paths if k.startswith("work.")]:
+        del res.paths[key], metrics[key]  # they go with the run's work folder
+
+    # checks over what was observed, before anything is published
+    res.checks = quality.checks_of(spark, metrics)
+    marts_metrics = {n: metrics[f"gold.{n}"] for n in GOLD_PARTITIONS}
+    res.reconciliation = quality.reconciliation_of(spark, marts_metrics)
     failed = [f"{r['check']}: {r['detail']}" for r in res.reconciliation.collect() if not r["consistent"]]
     if failed:
         raise RuntimeError(f"run {v} is not published; checks failed: {'; '.join(failed)}")
 
-    # publish: the catalog names become this run's folders
-    for name, df in gold.items():
-        catalog.register(spark, database, name, res.paths[f"gold.{name}"], gold_format, df.schema)
+    # publish: all marts at once by the pointer, then the names of the catalog
+    schemas = {n: GOLD[n] for n in GOLD_PARTITIONS}
+    catalog.publish(
+        spark, f"{root}/gold", v, {n: (res.paths[f"gold.{n}"], gold_format, schemas[n]) for n in GOLD_PARTITIONS}
+    )
+    for name, schema in schemas.items():
+        catalog.register(spark, database, name, res.paths[f"gold.{name}"], gold_format, schema)
+    ledger.publish()
 
     # retention: bounded storage for the versioned layers
     if retain_versions:
@@ -183,16 +255,3 @@ def run(
                 continue
             sink.prune_versions(spark, f"{root}/{layer_name}", name, retain_versions, published)
     return res
-
-
-def _read(spark: SparkSession, path: str, like: DataFrame | None, fmt: str) -> DataFrame:
-    if like is None:
-        return sink.read_layer(spark, path)
-    if fmt != "parquet":
-        return sink.read_layer(spark, path, fmt)
-    return spark.read.schema(like.schema).parquet(path)
-
-
-def _evaluated(rows: DataFrame) -> DataFrame:
-    """A check's few rows, computed once."""
-    return rows.sparkSession.createDataFrame(rows.collect(), rows.schema)

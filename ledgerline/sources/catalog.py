@@ -1,13 +1,22 @@
-"""Catalog registration of layer tables (S8, S9) and SQL access."""
+"""Catalog registration of layer tables (S8, S9) and SQL access.
+
+``register`` re-points single names. What has to be read together is published
+by ``publish``: one pointer file names the version of all tables at once, and
+``current`` gives a reader that version's tables, whatever is published
+meanwhile.
+"""
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ledgerline.sources import store
+
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -46,3 +55,31 @@ def mart_query(spark: SparkSession, sql: str, args: dict | None = None) -> DataF
     e.g. ``mart_query(spark, "SELECT * FROM gold.sales_trends WHERE
     period_type = :p", {"p": "weekly"})``."""
     return spark.sql(sql, args=args or {})
+
+
+_POINTER = "_current.json"
+
+
+def publish(spark: SparkSession, root: str, version: str, tables: dict[str, tuple[str, str, StructType]]) -> None:
+    """Makes ``version`` the current one of all ``tables`` (name: path, format,
+    schema) under ``root`` in one step."""
+    entries = {t: {"path": p, "format": f, "schema": s.json()} for t, (p, f, s) in tables.items()}
+    store.write_json(spark, f"{root}/{_POINTER}", {"version": version, "tables": entries})
+
+
+def current(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of the current version under ``root``. The pointer is read
+    once, so they are of one version and stay so."""
+    found = store.read_json(spark, f"{root}/{_POINTER}")
+    if found is None:
+        raise LookupError(f"nothing is published under {root}")
+    return {
+        t: spark.read.schema(StructType.fromJson(json.loads(e["schema"]))).format(e["format"]).load(e["path"])
+        for t, e in found["tables"].items()
+    }
+
+
+def use_current(spark: SparkSession, root: str) -> None:
+    """The tables of the current version as temporary views of this session, for SQL."""
+    for name, df in current(spark, root).items():
+        df.createOrReplaceTempView(_ident(name))

@@ -1,15 +1,13 @@
 """Bronze ingestion: full-table reads from an operational database over JDBC,
 plus audit columns.
 
-The source reads a table in a single JDBC query. Here the read can be split:
-with ``partition_column``/``lower_bound``/``upper_bound``/``num_partitions``
-Spark issues ``num_partitions`` range queries in parallel (one per task), so a
-large table is not pulled through one connection. Bounds only decide the split
-points; rows outside them are still read (by the first/last partition).
-
-For text keys (order ids are text in the source), pass ``predicates``: one
-WHERE clause per task, which together must cover every row exactly once, e.g.
-``hash_predicates("ABS(CHECKSUM(ORDER_ID))", 64)`` for a SQL Server source.
+The source reads a table in a single JDBC query. Here the read is split into one
+query a task, each with its own WHERE clause: ranges of a numeric column
+(``partition_column`` with bounds, which only decide the split points: rows
+outside them and NULLs are read too), or, for text keys (order ids are text in
+the source), ``predicates``, e.g. ``hash_predicates("CHECKSUM(ORDER_ID)", 64)``
+for a SQL Server source. The clauses must match every row exactly once;
+``cover`` counts the rows that they don't over any table.
 """
 
 from __future__ import annotations
@@ -28,8 +26,8 @@ class JdbcSource:
     password: str | None = None
     driver: str | None = None
     partition_column: str | None = None
-    lower_bound: int | str | None = None
-    upper_bound: int | str | None = None
+    lower_bound: int | None = None
+    upper_bound: int | None = None
     num_partitions: int | None = None
     fetch_size: int = 10_000
     predicates: tuple[str, ...] = ()
@@ -51,33 +49,55 @@ class JdbcSource:
         if self.partition_column:
             if self.lower_bound is None or self.upper_bound is None or not self.num_partitions:
                 raise ValueError("partitioned JDBC read needs lower_bound, upper_bound and num_partitions")
-            opts.update(
-                partitionColumn=self.partition_column,
-                lowerBound=str(self.lower_bound),
-                upperBound=str(self.upper_bound),
-                numPartitions=str(self.num_partitions),
-            )
         opts.update(self.extra)
         return opts
 
+    def clauses(self) -> tuple[str, ...]:
+        """One WHERE clause a task; none for a single task."""
+        if self.partition_column:
+            return range_predicates(self.partition_column, self.lower_bound, self.upper_bound, self.num_partitions)
+        return self.predicates
+
+
+def range_predicates(column: str, lower: int, upper: int, parts: int) -> tuple[str, ...]:
+    """``parts`` ranges of a numeric column with equal steps between the bounds.
+    The first range is open below and takes the NULLs, the last is open above."""
+    if parts < 1 or upper < lower:
+        raise ValueError("range_predicates needs parts >= 1 and lower <= upper")
+    cuts = sorted({lower + (upper - lower) * i // parts for i in range(1, parts)})
+    if not cuts:
+        return ("1 = 1",)
+    inner = tuple(f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:], strict=False))
+    return (f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}")
+
 
 def hash_predicates(hash_expr: str, buckets: int) -> tuple[str, ...]:
-    """One predicate per bucket of a non-negative integer hash expression
-    evaluated by the database; together they cover every row exactly once
-    (rows whose key is NULL get their own predicate)."""
+    """One predicate per bucket of an integer hash expression evaluated by the
+    database, negative values included, and one for a NULL hash."""
     if buckets < 1:
         raise ValueError("buckets must be >= 1")
-    preds = tuple(f"({hash_expr}) % {buckets} = {k}" for k in range(buckets))
-    return preds + (f"({hash_expr}) IS NULL",)
+    bucket = f"((({hash_expr}) % {buckets}) + {buckets}) % {buckets}"
+    return (*(f"{bucket} = {k}" for k in range(buckets)), f"({hash_expr}) IS NULL")
+
+
+def cover(table: DataFrame, clauses: tuple[str, ...]) -> DataFrame:
+    """One row: rows, never (rows that no clause matches), repeated (rows that
+    several match). A clause that is NULL for a row does not match it, as in WHERE."""
+    matches = sum((F.expr(f"CASE WHEN {c} THEN 1 ELSE 0 END") for c in clauses), F.lit(0))
+    return table.select(matches.alias("m")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(F.col("m") == 0, 1)).alias("never"),
+        F.count(F.when(F.col("m") > 1, 1)).alias("repeated"),
+    )
 
 
 def read_source(spark: SparkSession, source: JdbcSource) -> DataFrame:
     """One source table as a DataFrame (schema from JDBC metadata)."""
-    if source.predicates:
-        opts = source.options()
+    opts = source.options()
+    if clauses := source.clauses():
         url, table = opts.pop("url"), opts.pop("dbtable")
-        return spark.read.jdbc(url, table, predicates=list(source.predicates), properties=opts)
-    return spark.read.format("jdbc").options(**source.options()).load()
+        return spark.read.jdbc(url, table, predicates=list(clauses), properties=opts)
+    return spark.read.format("jdbc").options(**opts).load()
 
 
 def add_audit(df: DataFrame, source_table: str, timestamp: bool = True) -> DataFrame:

@@ -14,6 +14,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.sources import store
+
 _folder: ContextVar[str | None] = ContextVar("ledgerline_work_folder", default=None)
 
 
@@ -38,11 +40,6 @@ def work_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
-
-
 @contextmanager
 def run_folder(spark: SparkSession, path: str) -> Iterator[str]:
     """Work tables made inside the block lie in ``path``, which is removed at
@@ -52,7 +49,7 @@ def run_folder(spark: SparkSession, path: str) -> Iterator[str]:
         yield path
     finally:
         _folder.reset(token)
-    delete_folder(spark, path)
+    store.delete(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
