@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from . import common
 from .bpe import Encoder
-from .token_counts import kept
 
 #: Bytes of text (as counted in code points) that are aligned at once in a task.
 CHUNK = 1 << 20
@@ -178,7 +177,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """
 
     def run(batches):
-        side_a, side_b = kept("align", (path_a, path_b), lambda: (byte_level(path_a), sentence_pieces(path_b)))
+        side_a, side_b = common.kept("align", (path_a, path_b), lambda: (byte_level(path_a), sentence_pieces(path_b)))
         for batch in batches:
             ids, texts, size = [], [], 0
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .token_counts import groups, kept, pre_tokens, splitter, tokenizer
+from .token_counts import groups, pre_tokens, splitter, tokenizer
 
 #: No pair: over every (rank, position).
 NONE = 1 << 62
@@ -351,8 +351,8 @@ def _batches(rows, names, types):
             held, size = [], 0
 
 
-def _slices(batch: pa.RecordBatch):
-    """The rows of a batch as lists (doc_id, texts) of about CHUNK code points of text."""
+def slices(batch: pa.RecordBatch):
+    """The rows of a batch (doc_id, text) as lists of ids and of texts, of about CHUNK code points each."""
     ids, texts, size = [], [], 0
     for i, text in zip(batch.column(0), batch.column(1), strict=True):
         ids.append(i.as_py())
@@ -376,8 +376,8 @@ def encode(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
     names, types = ["doc_id", "ids"], [pa.int64(), pa.binary()]
 
     def run(batches):
-        encoder = kept("bpe", path, lambda: Encoder(path))
-        pieces = ((i, ids) for b in batches for own, texts in _slices(b) for i, ids in zip(own, encoder.many(texts), strict=True))
+        encoder = common.kept("bpe", path, lambda: Encoder(path))
+        pieces = ((i, ids) for b in batches for own, texts in slices(b) for i, ids in zip(own, encoder.many(texts), strict=True))
         if not decoded:
             yield from _batches(pieces, names, types)
         else:
@@ -397,7 +397,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     the vocabulary lacks raises."""
 
     def run(batches):
-        vocabulary = kept("bpe", path, lambda: Encoder(path)).vocabulary
+        vocabulary = common.kept("bpe", path, lambda: Encoder(path)).vocabulary
         for b in batches:
             rows = zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
             texts = ((i, ids, _text(vocabulary, ids)) for i, ids in rows)

@@ -8,6 +8,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,21 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+_kept: dict[str, tuple] = {}
+
+
+def kept(kind: str, key, make):
+    """What ``make`` gives, kept in this Python worker across tasks: caches and tables of one operator. There is
+    one place for all: when another ``kind`` or ``key`` is asked for, what was kept before goes, so caches of
+    operators that ran earlier in the application don't pile up."""
+    if _kept.get("own", (None, None, None))[:2] != (kind, key):
+        _kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _kept["own"] = kind, key, make()
+    return _kept["own"][2]
+
+
 def row_key() -> Column:
     """64-bit identity of a document row. Repeated rows share it, and as they have one
     text, whatever is computed for the key holds for each of them."""

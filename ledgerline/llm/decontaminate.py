@@ -58,12 +58,12 @@ class Features(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint16, count=len(words))
 
 
-#: Kept in a Python worker across tasks.
-FEATURE_OF = Features()
+def _kept_features() -> Features:
+    return common.kept("features", None, Features)
 
 
 def _ids(batches):
-    features = FEATURE_OF
+    features = _kept_features()
     for b in batches:
         rows = [features.of(t.split()).tobytes() for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
@@ -320,7 +320,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) ->
 
     def run(batches):
         space, items = shared.value
-        features = FEATURE_OF
+        features = _kept_features()
         names = ("cosine", "covered", "answered")
         kind = pa.list_(pa.struct([("item_id", pa.int64()), *((c, pa.float64()) for c in names)]))
         for b in batches:

@@ -71,7 +71,7 @@ def fingerprint(docs: DataFrame, k: int = K) -> DataFrame:
     shingles) of every row; null texts are empty, with an empty fingerprint."""
 
     def run(batches):
-        cache = shingles.WORDS
+        cache = shingles.kept_words()
         for b in batches:
             found = [sketch(s, k, cache) for s in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -130,7 +130,7 @@ def with_next(docs: DataFrame, parts: int | None = None, k: int = K) -> DataFram
     rows = rows.repartition(parts, "part").sortWithinPartitions("part", "guest", "has", "id", "h")
 
     def run(batches):
-        cache = shingles.WORDS
+        cache = shingles.kept_words()
         held = None  # the last document with its sketch, still without its next
 
         def done(doc_id, text, own, following, next_own):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .token_counts import Encoded, kept, splitter, tokenizer
+from .bpe import Encoder, slices
 
 BUCKETS = 256
 
@@ -62,30 +62,23 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int,
 
 def tokenize(docs: DataFrame, path: str, size: int, end_id: int, with_ids: bool = False) -> DataFrame:
     """The pieces of at most ``size`` ids of each document: doc_id, piece, start, length, ids_crc32
-    (and ids). The vocabulary drops white space, so words between spaces are encoded alone and
-    kept in a bounded cache in the worker."""
+    (and ids). Words that a task hasn't seen are encoded for many documents at once."""
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if with_ids else 5]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    end = pack_ids([end_id])
 
     def run(batches):
-        def make():
-            t = tokenizer(path)
-            return Encoded(
-                lambda s: pack_ids(t.encode(s, add_special_tokens=False).ids), splitter(path), b"".join, ""
-            )
-
-        ids = kept("ids", path, make)
-        end = pack_ids([end_id])
+        encoder = common.kept("bpe", path, lambda: Encoder(path))
         for b in batches:
-            rows = []
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                own = b"".join(map(ids.__getitem__, text.split(" "))) + end
-                for i, at in enumerate(range(0, len(own), 4 * size)):
-                    part = own[at : at + 4 * size]
-                    rows.append((doc_id, i, at // 4, len(part) // 4, zlib.crc32(part), part))
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            cols = list(zip(*rows, strict=True)) or [()] * 6
-            n = 6 if with_ids else 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols[:n], types, strict=False)], names[:n])
+            for doc_ids, texts in slices(b):
+                rows = []
+                for doc_id, ids in zip(doc_ids, encoder.many(texts), strict=True):
+                    own = ids + end
+                    for i, at in enumerate(range(0, len(own), 4 * size)):
+                        part = own[at : at + 4 * size]
+                        rows.append((doc_id, i, at // 4, len(part) // 4, zlib.crc32(part), part))
+                columns = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types, strict=False)][: len(names)], names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)

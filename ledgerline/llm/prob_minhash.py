@@ -95,7 +95,7 @@ def sketch_texts(texts: list[str], cache: shingles.WordHashes) -> tuple[np.ndarr
 
 
 def _sketches(batches):
-    cache = shingles.WORDS
+    cache = shingles.kept_words()
     for b in batches:
         sig, ids = sketch_texts(b.column("text").to_pylist(), cache)
         bands = np.zeros((len(sig), 2 * M // ROWS), dtype=_U)
@@ -232,7 +232,7 @@ def _verified(least: float):
     spanning forest of the links."""
 
     def run(batches):
-        cache, out = shingles.WORDS, []
+        cache, out = shingles.kept_words(), []
 
         def close(cell, keys, blocks, sets):
             first = blocks.count(cell[1]) if cell[1] != cell[2] else 0

@@ -5,9 +5,10 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from . import common
 from .suffix_dedup import _mix
 
-CACHE = 500_000
+CACHE = 300_000
 
 
 class WordHashes(dict):
@@ -21,11 +22,12 @@ class WordHashes(dict):
         return h
 
 
-#: Kept in a Python worker across tasks.
-WORDS = WordHashes()
+def kept_words() -> WordHashes:
+    """The cache that this Python worker keeps across tasks."""
+    return common.kept("words", None, WordHashes)
 
 
-def word_hashes(words: list[str], cache: WordHashes = WORDS) -> np.ndarray:
+def word_hashes(words: list[str], cache: WordHashes) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .common import kept
 
 #: Groups longer than this are encoded but not kept, so caches stay bounded in bytes too.
 LONGEST = 64
@@ -87,16 +88,6 @@ class Encoded(dict):
         return got
 
 
-_kept: dict[str, tuple] = {}
-
-
-def kept(kind: str, key, make):
-    """What ``make`` gives, kept in this Python worker across tasks until ``key`` changes."""
-    if kind not in _kept or _kept[kind][0] != key:
-        _kept[kind] = key, make()
-    return _kept[kind][1]
-
-
 def tokenizer(path: str):
     from tokenizers import Tokenizer
 

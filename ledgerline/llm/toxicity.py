@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .token_counts import kept
 
 MAX_TRAIN = 4_000
 N_FEATURES = 512
@@ -190,7 +189,7 @@ def classify(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame
 
     def run(batches):
         chain = broadcast.value
-        known = kept("toxicity", job, lambda: Known(chain.index))
+        known = common.kept("toxicity", job, lambda: Known(chain.index))
         for b in batches:
             p = chain.score(b.column("text").to_pylist(), known)
             yield pa.RecordBatch.from_arrays(
