@@ -11,6 +11,11 @@ From each position the shortest run of at least ``min_words`` words is what has
 A run of n lines with 2^t <= n < 2^(t+1) is named by two ranks of level t that cover it. The
 union of the repeated runs' later copies is every maximal repeated run but its first copy.
 Ranks are positions, not hashes, so equality is exact but for the 128-bit line IDs.
+
+What moves: all lines once, as IDs combined in each task, to find those that repeat. A bit
+table of these (``BITS``, whatever the corpus) lets the second cut of the texts keep the
+repeated lines and few others; only these are joined with their ranks. In each level the
+positions are placed by document once, where a task finds the ranks further on by position.
 """
 
 from __future__ import annotations
@@ -26,22 +31,31 @@ from pyspark.sql import functions as F
 from . import common
 
 MIN_WORDS = 30
+#: Bits of the table of repeated line IDs: 8 MB, as words of 4 kB. Lines that meet a wrong bit cost a join, no more.
+BITS = 1 << 26
 
 
-def _lines(min_words: int):
-    """A row for each line: its ID, and how many lines from it hold ``min_words`` words (0: too few)."""
+def _lines(min_words: int, bits=None):
+    """A row for each line: its ID, and how many lines from it hold ``min_words`` words (0: too few). With
+    ``bits`` (a broadcast table of IDs that repeat) only lines that may be in it."""
 
     def run(batches):
+        table = None if bits is None else bits.value
         for b in batches:
             parts = []
             for doc, k, text in zip(*(b.column(c).to_pylist() for c in ("id", "k", "text")), strict=True):
                 lines = text.split("\n")
                 ids = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.encode()) for x in lines), dtype="<i8").reshape(-1, 2)
+                at = np.arange(len(lines))
+                if table is not None:
+                    at = np.flatnonzero(_held(table, ids[:, 0]))
+                    if not len(at):
+                        continue
                 words = np.cumsum([0, *(len(x.split()) for x in lines)])
                 n = np.searchsorted(words, words[:-1] + min_words) - np.arange(len(lines))
                 n[words[:-1] + min_words > words[-1]] = 0
-                same = np.ones(len(lines), dtype=np.int64)
-                parts.append((same * doc, same * k, np.arange(len(lines)), ids[:, 0], ids[:, 1], n))
+                same = np.ones(len(at), dtype=np.int64)
+                parts.append((same * doc, same * k, at, ids[at, 0], ids[at, 1], n[at]))
             if parts:
                 cols = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*parts, strict=True)]
                 yield pa.RecordBatch.from_arrays(cols, ["id", "k", "i", "a", "b", "n"])
@@ -49,11 +63,80 @@ def _lines(min_words: int):
     return run
 
 
+LINES = "id long, k long, i long, a long, b long, n long"
+
+
+def _held(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    bit = ids & (BITS - 1)
+    return (table[bit >> 3] >> (bit & 7)) & 1 > 0
+
+
+def _bit_table(ids: DataFrame) -> np.ndarray:
+    """The bits of the IDs ``a``, combined in each task: at most BITS / 32,768 words of 4 kB reach the driver."""
+    bit = F.col("a").bitwiseAND(BITS - 1)
+    word = F.bitmap_bucket_number(bit + 1)  # buckets count from 1
+    found = ids.groupBy(word.alias("word")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit + 1)).alias("bits"))
+    table = np.zeros(BITS // 8, dtype=np.uint8)
+    for r in found.collect():
+        table[(r["word"] - 1) * 4096 : r["word"] * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return table
+
+
+def _first(df: DataFrame, same: list[str]) -> DataFrame:
+    """``same`` and the earliest place, for what stands at two places at least. Repeated rows of one document
+    stand at one place. Combined in each task, so a hot group costs it one row."""
+    ends = df.groupBy(*same).agg(F.min(_place()).alias("rank"), F.max(_place()).alias("_last"))
+    return ends.where("rank < _last").drop("_last")
+
+
+def _named(rank: str = "rank") -> list:
+    return [F.col(f"{rank}.{c}").alias(r) for c, r in zip(("id", "k", "i"), RANK, strict=True)]
+
+
 def _ranked(df: DataFrame, same: list[str]) -> DataFrame:
-    """The positions that share ``same`` with another one, with their rank. Aggregates first, so a
-    hot group costs one row for each map task, and joins in a way that AQE can split."""
-    first = df.groupBy(*same).agg(F.min(_place()).alias("rank"), F.count(F.lit(1)).alias("_c")).where("_c > 1").drop("_c")
-    return df.join(first, same).drop(*same)
+    """The positions of ``df`` (id, k, i, n and ``same``) that share ``same`` with another one, with their rank."""
+    first = _first(df, same).select(*(F.col(c).alias(f"_{c}") for c in same), *_named())
+    return df.select("id", "k", "i", "n", *(F.col(c).alias(f"own_{c}") for c in same)).join(
+        first, [F.col(f"own_{c}") == F.col(f"_{c}") for c in same]
+    ).select(*LEVEL)
+
+
+#: A rank is the place it names; AFTER is the rank ``span`` lines on, TAIL the one that ends the shortest run.
+RANK, AFTER, TAIL = (["rid", "rk", "ri"], ["aid", "ak", "ai"], ["tid", "tk", "ti"])
+LEVEL = ["id", "k", "i", "n", *RANK]
+
+
+def _further(span: int):
+    """For rows (LEVEL) sorted by document and position: adds AFTER, and TAIL where the shortest run has
+    ``span`` to 2 ``span`` - 1 lines; null where the line there doesn't repeat."""
+
+    def add(t: pa.Table) -> pa.RecordBatch:
+        c = {x: t[x].to_numpy() for x in LEVEL}
+        new = (c["id"][1:] != c["id"][:-1]) | (c["k"][1:] != c["k"][:-1])
+        at = (np.concatenate([[0], np.cumsum(new)]) << 40) + c["i"]  # ascending over all documents of the table
+
+        def ranks(lines, wanted):
+            found = np.minimum(np.searchsorted(at, at + lines), len(at) - 1)
+            missing = ~(wanted & (at[found] == at + lines))
+            return [pa.array(c[r][found], pa.int64(), mask=missing) for r in RANK]
+
+        run_ends = (c["n"] >= span) & (c["n"] < 2 * span)
+        columns = [pa.array(c[x]) for x in LEVEL] + ranks(span, True) + ranks(c["n"] - span, run_ends)
+        return pa.RecordBatch.from_arrays(columns, [*LEVEL, *AFTER, *TAIL])
+
+    def run(batches):
+        held = None
+        for b in batches:
+            held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            doc, k = held["id"].to_numpy(), held["k"].to_numpy()
+            begins = np.flatnonzero((doc[1:] != doc[:-1]) | (k[1:] != k[:-1])) + 1
+            if len(begins):  # all but the last document is whole
+                yield add(held.slice(0, begins[-1]))
+                held = held.slice(begins[-1])
+        if held is not None and len(held):
+            yield add(held)
+
+    return run
 
 
 def _place() -> Column:
@@ -72,27 +155,28 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """k (row key), i, n: the runs of n lines from line i that occur at an earlier place too."""
-    spark = docs.sparkSession
-    lines = _keyed(docs).select("id", "k", "text").mapInArrow(
-        _lines(min_words), "id long, k long, i long, a long, b long, n long"
-    )
+    texts = _keyed(docs).select("id", "k", "text")
+    first = common.written(_first(texts.mapInArrow(_lines(min_words), LINES), ["a", "b"]), "line-ids")
+    bits = docs.sparkSession.sparkContext.broadcast(_bit_table(first))
+    level = texts.mapInArrow(_lines(min_words, bits), LINES).join(first, ["a", "b"]).select("id", "k", "i", "n", *_named())
     # rows with the same id and text are one document
-    level, span = common.written(_ranked(lines.distinct(), ["a", "b"]), "line-ranks"), 1
+    level, span = common.written(level.dropDuplicates(["id", "k", "i"]), "line-ranks"), 1
+    schema = ", ".join(f"{c} long" for c in (*LEVEL, *AFTER, *TAIL))
     found = None
     while True:
-        own = level.where((F.col("n") >= span) & (F.col("n") < 2 * span))
-        last = level.select("id", "k", F.col("i").alias("j"), F.col("rank").alias("tail"))
-        runs = own.withColumn("j", F.col("i") + F.col("n") - span).join(last, ["id", "k", "j"])
-        first = runs.groupBy("n", "rank", "tail").agg(F.min(_place()).alias("first"))
-        later = runs.join(first, ["n", "rank", "tail"]).where(F.col("first") < _place()).select("k", "i", "n")
+        placed = level.repartition("id", "k").sortWithinPartitions("id", "k", "i").mapInArrow(_further(span), schema)
+        placed = common.written(placed, "line-pairs")
+        runs = placed.where("tid is not null")
+        named = ["n", *RANK, *TAIL]
+        earliest = runs.groupBy(*named).agg(F.min(_place()).alias("first"))
+        later = runs.join(earliest, named).where(F.col("first") < _place()).select("k", "i", "n")
         later = common.written(later, "line-runs")
         found = later if found is None else found.unionByName(later)
         longest = level.agg(F.max("n")).first()[0]
         if longest is None or longest < 2 * span:
             return found
-        on = level.select("id", "k", (F.col("i") - span).alias("i"), F.col("rank").alias("tail"))
-        pairs = level.withColumnRenamed("rank", "head").join(on, ["id", "k", "i"])
-        level, span = common.written(_ranked(pairs, ["head", "tail"]), "line-ranks"), 2 * span
+        level = common.written(_ranked(placed.where("aid is not null"), [*RANK, *AFTER]), "line-ranks")
+        span *= 2
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
