@@ -73,6 +73,17 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
+def least_hashes(df: DataFrame, rows: int, order: Column, want: int) -> DataFrame:
+    """The ``want`` of about ``rows`` rows with the least 64-bit hash ``order`` (or all, if they are few). Rows
+    over a threshold that the count sets are dropped first, so each task keeps its share of the sample and
+    not ``want`` rows."""
+    ordered = df
+    share = 1.1 * want + 10 * want**0.5
+    if rows > share:
+        ordered = df.where(order < F.lit(-(1 << 63) + int((1 << 64) * (share / rows))))
+    return ordered.orderBy(order).limit(want)
+
+
 def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose ``keys`` occur at least twice. Counts are combined before the
     shuffle, and the semi-join is one that AQE can split at a hot key."""

@@ -121,9 +121,9 @@ class Model:
         return sorted({w for gram, _ in self.weights for w in gram.split(" ")} - self.usual)
 
 
-def fit(paras: DataFrame, copies: int = 40, seed: int = 1) -> Model:
-    """``paras`` (k, paragraph, w): the corpus. Training rows are its sample and, for each template,
-    ``copies`` versions with about a quarter of the words left out."""
+def fit(paras: DataFrame, n_paragraphs: int, copies: int = 40, seed: int = 1) -> Model:
+    """``paras`` (k, paragraph, w): the corpus, of about ``n_paragraphs`` lines with words. Training rows are a
+    sample of whole lines and, for each template, ``copies`` versions with about a quarter of the words left out."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizer
 
@@ -134,12 +134,10 @@ def fit(paras: DataFrame, copies: int = 40, seed: int = 1) -> Model:
     every = F.broadcast(known.agg(F.collect_list("template").alias("all")))  # one row
     order = F.xxhash64("k", "paragraph")
     negatives = (
-        paras.where(F.size("w") > 0)
-        .orderBy(order, "k", "paragraph")
-        .limit(MAX_NEGATIVES)
+        common.least_hashes(paras.where(F.size("w") > 0), n_paragraphs, order, MAX_NEGATIVES)
         .join(every)
         .where(~alike)
-        .select(F.lit(0.0).alias("label"), F.slice("w", 1, 64).alias("w"), order.alias("h"))
+        .select(F.lit(0.0).alias("label"), "w", order.alias("h"))
     )
     label = F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")) - 1
     chance = lambda w, i: F.pmod(F.xxhash64(w, i, F.col("copy"), F.lit(seed)), F.lit(100)) >= 25
@@ -192,13 +190,16 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, paragraph (line number from 0), family, probability, similarity, confirmed: every paragraph
     that the classifier gives a licence family.
 
-    ``similarity``: the larger, over the family's templates, of the mean of the shares of shared
-    words. Null and empty texts have no findings; rows that repeat id and text have them each.
+    ``similarity``: the largest, over the family's templates and the paragraph's stretches of a template's
+    length, of the mean of the shares of shared words; so a notice inside a long line is confirmed. Null and empty texts have no findings; rows that repeat id and text have them each.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", common.row_key().alias("k"))
     paras = paragraphs(docs.select("k", "text").where("text is not null"))
-    model = model or fit(paras)
+    if model is None:  # lines are counted whole; only the sampled ones are cut into words
+        with_words = F.filter(F.split("text", "\n", -1), lambda line: line.rlike("[A-Za-z0-9]"))
+        count = docs.where("text is not null").agg(F.sum(F.size(with_words))).first()[0]
+        model = fit(paras, count or 0)
     if not model.weights:
         return spark.createDataFrame([], FOUND)
     n = len(model.intercepts)
@@ -223,11 +224,19 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     )
     named = named.select("k", "paragraph", "best.family", F.col("best.p").alias("probability"))
     templates = _templates(spark).groupBy("family").agg(F.collect_list("template").alias("templates"))
-    shared = lambda t: F.size(F.array_intersect("w", t))
+    # the stretch of the paragraph, as long as the template, that shares most with it
+    starts = lambda t: F.sequence(
+        F.lit(0), F.greatest(F.size("w") - F.size(t), F.lit(0)), F.greatest(F.floor(F.size(t) / 4), F.lit(1)).cast("int")
+    )
+    stretches = lambda t: F.array_append(
+        F.transform(starts(t), lambda at: F.slice("w", at + 1, F.size(t))),
+        F.slice("w", F.greatest(F.size("w") - F.size(t), F.lit(0)) + 1, F.size(t)),
+    )
+    alike = lambda t, own: 0.5 * F.size(F.array_intersect(own, t)) * (
+        1 / F.size(F.array_distinct(t)) + 1 / F.size(F.array_distinct(own))
+    )
     similar = F.array_max(
-        F.transform(
-            "templates", lambda t: 0.5 * (shared(t) / F.size(F.array_distinct(t)) + shared(t) / F.size(F.array_distinct("w")))
-        )
+        F.transform("templates", lambda t: F.array_max(F.transform(stretches(t), lambda own: alike(t, own))))
     )
     found = (
         named.join(near, ["k", "paragraph"])

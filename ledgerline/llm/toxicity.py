@@ -23,6 +23,7 @@ from . import common
 
 MAX_TRAIN = 4_000
 N_FEATURES = 512
+MAX_LANGUAGES = 16
 FOLDS = 4
 BEGINNINGS = (3, 4, 5, 6, 7)
 CACHE = 500_000
@@ -149,8 +150,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_featur
     named = labels.select("doc_id", *(labels[c].cast("int").alias(f"y{j}") for j, c in enumerate(categories)))
     named = named.dropna().dropDuplicates(["doc_id"])
     present = docs.where(F.col("text").isNotNull()).select("doc_id")
-    order = F.xxhash64("doc_id")
-    chosen = named.join(present, "doc_id", "left_semi").withColumn("order", order).orderBy("order", "doc_id").limit(max_train)
+    usable = named.join(present, "doc_id", "left_semi").withColumn("order", F.xxhash64("doc_id"))
+    chosen = common.least_hashes(usable, usable.count(), F.col("order"), max_train)
     sample = docs.select("doc_id", "text").where(F.col("text").isNotNull())
     sample = common.written(sample.join(F.broadcast(chosen), "doc_id"), "train").repartition(8, "order")  # max_train rows
     schema = ", ".join(["f long", "n long", *(f"c{j} long" for j in range(m))])
@@ -204,14 +205,15 @@ def classify(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame
     return own.mapInArrow(run, f"row {kind}, probabilities array<double>, toxic boolean")
 
 
-def categories(docs: DataFrame, labels: DataFrame, least: int = 5) -> DataFrame:
-    """doc_id, toxicity by language (languages with at least ``least`` toxic documents, most first), toxic.
+def categories(docs: DataFrame, labels: DataFrame, least: int = 5, max_languages: int = MAX_LANGUAGES) -> DataFrame:
+    """doc_id, toxicity by language (languages with at least ``least`` toxic documents, most first, at most
+    ``max_languages`` of them: each is a link of the chain), toxic. Others count in the last link, as all do.
 
     The table has one toxicity label; abuse in each language has words of its own, so these are
     the categories, and toxicity as such is the last link."""
     named = labels.select("doc_id", "toxic").join(docs.select("doc_id", "lang"), "doc_id").where("toxic is not null")
     langs = named.where("toxic = 1 and lang is not null").groupBy("lang").count().where(F.col("count") >= least)
-    langs = [r[0] for r in langs.orderBy(F.desc("count"), "lang").limit(16).collect()]
+    langs = [r[0] for r in langs.orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
     return named.select(
         "doc_id", *(((F.col("toxic") == 1) & (F.col("lang") == x)).cast("int").alias(f"toxic_{x}") for x in langs), "toxic"
     )

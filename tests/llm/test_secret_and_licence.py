@@ -72,6 +72,9 @@ def test_licences_are_found_and_prose_is_left(spark):
             lines.insert(1, license_scan.TEMPLATES[family][0])
             want[i] = (1, family)
         pairs.append((i, "\n".join(lines)))
+    inside = license_scan.TEMPLATES[sorted(license_scan.TEMPLATES)[0]][0]
+    pairs.append((899, f"{' '.join(prose * 40)} {inside} {' '.join(prose * 40)}"))  # a notice inside a long line
+    want[899] = (0, sorted(license_scan.TEMPLATES)[0])
     pairs += [(900, None), (901, ""), (902, " \n\n ")]
     got = license_scan.scan(documents(spark, pairs)).collect()
     confirmed = {r["doc_id"]: (r["paragraph"], r["family"]) for r in got if r["confirmed"]}
