@@ -14,8 +14,6 @@ counts below that of every broadcast pair, so no key of it can hold a large shar
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -23,7 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .bpe import Encoder
+from .bpe import Encoder, look_up
+from .token_counts import groups
 
 #: Bytes of text (as counted in code points) that are aligned at once in a task.
 CHUNK = 1 << 20
@@ -36,41 +35,55 @@ SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups s
 
 
 class Side:
-    """One tokenizer: texts to ids (one array for all, and how many each has), the bytes of each id, and the
-    ids as text with what may follow them."""
+    """One tokenizer over space + text: texts to ids (little-endian 32-bit), the bytes of each id, and the ids
+    as text with what may follow them."""
 
     def __init__(self, encode, token_bytes: list[bytes]) -> None:
         self.encode, self.bytes = encode, token_bytes
         self.length = np.array([len(x) for x in token_bytes], dtype=np.int64)
         self.then = {c: np.array([f"{i}{c}" for i in range(len(token_bytes))], dtype=object) for c in ",|;"}
 
+    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and how many each has."""
+        found = self.encode(texts)
+        return np.frombuffer(b"".join(found), "<u4").astype(np.int64), np.array([len(x) // 4 for x in found], np.int64)
 
-def byte_level(path: str) -> Side:
-    """A byte-level BPE of ``tokenizers`` over space + text; special strings are plain text."""
-    encoder = Encoder(path, special=False)
+    def exact(self, texts: list[str], tokens: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether the joined bytes of each text's tokens are space + text (False for empty texts)."""
+        found, end = tokens.tolist(), np.cumsum(n).tolist()
+        same = np.zeros(len(texts), dtype=bool)
+        for i, text in enumerate(texts):
+            own = found[end[i - 1] if i else 0 : end[i]]
+            same[i] = bool(text) and b"".join(map(self.bytes.__getitem__, own)) == (" " + text).encode()
+        return same
 
-    def encode(texts: list[str]):
-        found = encoder.many([" " + x if x else "" for x in texts])
-        return np.frombuffer(b"".join(found), "<u4").astype(np.int64), np.array([len(x) // 4 for x in found], np.int64)
 
+def byte_level(path: str) -> Side:
+    """A byte-level BPE of ``tokenizers``; special strings are plain text."""
+    encoder = Encoder(path, special=False)
     v = encoder.vocabulary
-    return Side(encode, [v.token_bytes(i) if i in v.token_of else b"" for i in range(max(v.token_of) + 1)])
+    known = [v.token_bytes(i) if i in v.token_of else b"" for i in range(max(v.token_of) + 1)]
+    return Side(lambda texts: encoder.many([" " + x if x else "" for x in texts]), known)
 
 
 def sentence_pieces(path: str) -> Side:
-    """A sentencepiece model over the text, to which it adds the space itself."""
+    """A sentencepiece model, which adds the space itself. No piece of a vocabulary without spaces inside pieces
+    reaches from a character over a space, so what lies between is encoded by itself, once."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    known = []
-    for i in range(sp.get_piece_size()):
-        piece = sp.id_to_piece(i)
-        known.append(bytes([int(piece[3:5], 16)]) if sp.is_byte(i) else piece.replace("\u2581", " ").encode())
-
-    def encode(texts: list[str]):
-        found = sp.encode(texts, num_threads=1)
-        n = np.array([len(x) for x in found], np.int64)
-        return np.fromiter(chain.from_iterable(found), np.int64, n.sum()), n
+    pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
+    known = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(pieces)]
+    ids = lambda found: np.array(found, "<u4").tobytes()
+    if any("\u2581" in p.lstrip("\u2581") for p in pieces):
+        return Side(lambda texts: list(map(ids, sp.encode(texts, num_threads=1))), known)
+    groups_known = {"": ids([sp.piece_to_id("\u2581")])}
+
+    def encode(texts: list[str]) -> list[bytes]:
+        lists = [groups(" " + t)[1] if t else [] for t in texts]
+        out = look_up(groups_known, lists, lambda new: list(map(ids, sp.encode(new, num_threads=1))))
+        groups_known.setdefault("", ids([sp.piece_to_id("\u2581")]))
+        return out
 
     return Side(encode, known)
 
@@ -130,21 +143,11 @@ def _written_groups(a, b, group_a, group_b, side_a: Side, side_b: Side) -> np.nd
     return out
 
 
-def _exact(texts: list[str], tokens: np.ndarray, n: np.ndarray, side: Side) -> np.ndarray:
-    """Whether the joined bytes of each text's tokens are space + text (False for empty texts)."""
-    found, end = tokens.tolist(), np.cumsum(n).tolist()
-    same = np.zeros(len(texts), dtype=bool)
-    for i, text in enumerate(texts):
-        own = found[end[i - 1] if i else 0 : end[i]]
-        same[i] = bool(text) and b"".join(map(side.bytes.__getitem__, own)) == (" " + text).encode()
-    return same
-
-
 def _chunk(ids: list, texts: list[str], side_a: Side, side_b: Side) -> pa.RecordBatch:
     n = len(texts)
-    a, n_a = side_a.encode(texts)
-    b, n_b = side_b.encode(texts)
-    same = _exact(texts, a, n_a, side_a) & _exact(texts, b, n_b, side_b)
+    a, n_a = side_a.tokens(texts)
+    b, n_b = side_b.tokens(texts)
+    same = side_a.exact(texts, a, n_a) & side_b.exact(texts, b, n_b)
     a, b = a[np.repeat(same, n_a)], b[np.repeat(same, n_b)]
     n_a, n_b = n_a * same, n_b * same
     n_groups, n_links, written = np.zeros(n, np.int64), np.zeros(n, np.int64), [""] * n

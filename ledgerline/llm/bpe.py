@@ -311,22 +311,30 @@ class Encoder:
         return list(map(bytes.__add__, heads, self._looked_up(" ", [rest for _, rest in cut])))
 
     def _looked_up(self, lead: str, lists: list[list[str]]) -> list[bytes]:
-        known = self.known[lead]
-        new = list(set().union(*lists) - known.keys())
-        if new:
-            split = self.vocabulary.splits([lead + g for g in new])
-            unseen = {p for own in split for p in own if p.__class__ is str} - self.pieces.keys()
-            self.pieces.update(self.vocabulary.pre_tokens(list(unseen)))
-            ids = self.pieces
-            for g, own in zip(new, split, strict=True):
-                known[g] = b"".join([ids[p] if p.__class__ is str else p.to_bytes(4, "little") for p in own])
-        out = [b"".join(map(known.__getitem__, own)) for own in lists]
-        if new:
-            _trim(known, new)
-            _trim(self.pieces, unseen)
+        return look_up(self.known[lead], lists, lambda new: self._encoded([lead + g for g in new]))
+
+    def _encoded(self, stretches: list[str]) -> list[bytes]:
+        split = self.vocabulary.splits(stretches)
+        unseen = {p for own in split for p in own if p.__class__ is str} - self.pieces.keys()
+        self.pieces.update(self.vocabulary.pre_tokens(list(unseen)))
+        ids = self.pieces
+        out = [b"".join([ids[p] if p.__class__ is str else p.to_bytes(4, "little") for p in own]) for own in split]
+        _trim(ids, unseen)
         return out
 
 
+def look_up(known: dict[str, bytes], lists: list[list[str]], encoded) -> list[bytes]:
+    """The joined ids of each list of groups; those not ``known`` come from ``encoded`` in one call and are
+    kept, within bounds."""
+    new = list(set().union(*lists) - known.keys())
+    if new:
+        known.update(zip(new, encoded(new), strict=True))
+    out = [b"".join(map(known.__getitem__, own)) for own in lists]
+    if new:
+        _trim(known, new)
+    return out
+
+
 def _trim(cache: dict[str, bytes], new) -> None:
     """Forgets the new entries that are long, and the oldest half of all once there are ``CACHE``."""
     for key in new:
