@@ -16,6 +16,8 @@ What moves: all lines once, as IDs combined in each task, to find those that rep
 table of these (``BITS``, whatever the corpus) lets the second cut of the texts keep the
 repeated lines and few others; only these are joined with their ranks. In each level the
 positions are placed by document once, where a task finds the ranks further on by position.
+At the end a like table of the documents that lose lines tells which texts have to meet
+their runs; the others stay where they are.
 """
 
 from __future__ import annotations
@@ -71,17 +73,30 @@ def _held(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (table[bit >> 3] >> (bit & 7)) & 1 > 0
 
 
-def _bit_table(ids: DataFrame) -> np.ndarray:
-    """The bits of the IDs ``a``, combined in each task: at most BITS / 32,768 words of 4 kB reach the driver."""
-    bit = F.col("a").bitwiseAND(BITS - 1)
-    word = F.bitmap_bucket_number(bit + 1)  # buckets count from 1
-    found = ids.groupBy(word.alias("word")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit + 1)).alias("bits"))
+def _bit_words(ids: DataFrame, column: str) -> DataFrame:
+    """word, bits of the column's low bits, combined in each task: at most BITS / 32,768 rows of 4 kB."""
+    bit = F.col(column).bitwiseAND(BITS - 1) + 1  # buckets count from 1
+    word = F.bitmap_bucket_number(bit)
+    return ids.groupBy(word.alias("word")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+
+
+def _bit_table(ids: DataFrame, column: str) -> np.ndarray:
     table = np.zeros(BITS // 8, dtype=np.uint8)
-    for r in found.collect():
+    for r in _bit_words(ids, column).collect():
         table[(r["word"] - 1) * 4096 : r["word"] * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
     return table
 
 
+def _marked(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``df`` with ``hit``: whether the column's bit is among those of ``ids``, whose words are broadcast (8 MB at most)."""
+    bit = F.col(column).bitwiseAND(BITS - 1) + 1
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    words = F.broadcast(_bit_words(ids, column))
+    hit = F.coalesce(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1, F.lit(False))
+    return df.withColumn("word", F.bitmap_bucket_number(bit)).join(words, "word", "left").withColumn("hit", hit).drop("word", "bits")
+
+
 def _first(df: DataFrame, same: list[str]) -> DataFrame:
     """``same`` and the earliest place, for what stands at two places at least. Repeated rows of one document
     stand at one place. Combined in each task, so a hot group costs it one row."""
@@ -157,7 +172,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """k (row key), i, n: the runs of n lines from line i that occur at an earlier place too."""
     texts = _keyed(docs).select("id", "k", "text")
     first = common.written(_first(texts.mapInArrow(_lines(min_words), LINES), ["a", "b"]), "line-ids")
-    bits = docs.sparkSession.sparkContext.broadcast(_bit_table(first))
+    bits = docs.sparkSession.sparkContext.broadcast(_bit_table(first, "a"))
     level = texts.mapInArrow(_lines(min_words, bits), LINES).join(first, ["a", "b"]).select("id", "k", "i", "n", *_named())
     # rows with the same id and text are one document
     level, span = common.written(level.dropDuplicates(["id", "k", "i"]), "line-ranks"), 1
@@ -188,7 +203,12 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     is one empty line. Rows that repeat id and text are one document: each gets its result.
     """
     runs = repeats(docs, min_words).groupBy("k").agg(F.collect_list(F.struct("i", "n")).alias("gone"))
+    runs = common.written(runs, "line-gone")
     keyed = _keyed(docs)
+    marked = _marked(keyed, "k", runs)
+    # one plan at every size: texts that lose lines are dealt to their runs by key
+    losing = marked.where("hit").join(runs.hint("merge"), "k", "left").select("row", "text", "gone")
+    whole = marked.where("not hit").select("row", "text", F.lit(None).cast(runs.schema["gone"].dataType).alias("gone"))
 
     def cut(batches):
         for b in batches:
@@ -212,7 +232,7 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             )
 
     kind = keyed.schema["row"].dataType.simpleString()
-    return keyed.join(runs, "k", "left").select("row", "text", "gone").mapInArrow(
+    return losing.unionByName(whole).mapInArrow(
         cut, f"row {kind}, text string, n_lines long, n_removed long, runs array<struct<line: long, lines: long>>"
     )
 

@@ -8,12 +8,16 @@ Jaccard similarity. With all weights 1 they agree with the Jaccard similarity of
 have a signature of either kind, the same one where no shingle repeats.
 
 Equal word sequences are one text from the start; only its representative is compared.
-In a band's bucket, all signatures meet, and what leaves is a spanning forest of the pairs
-that may be alike. It only says which texts belong together: within each such group every
-pair is then verified on whole texts, so no link depends on which pairs the forest took.
-Buckets of over ``HOT`` texts and groups of over ``BLOCK`` are cut into blocks, and every
-two blocks meet in a task. Links are counted where they are verified, and a spanning forest
-of them is joined into classes by hooking on to smaller ids and pointer jumping.
+In a band's bucket all signatures meet, and what leaves is a spanning forest of the pairs
+that may be alike. It only says which texts belong together: within each such group
+the pairs are then verified on whole texts, so no link depends on which pairs a forest took.
+
+Neither step compares all pairs of a large group (``_met``). Its texts are dealt to blocks, in
+several ways, and meet within them; what is found joins them into components. Only texts
+outside the largest component of their group are then held against all its blocks: of two
+texts still apart, at least one is among these, so none that are alike stay apart. A group of
+n near copies costs n comparisons with a block and few more. Components come from hooking
+on to smaller ids and pointer jumping.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, shingles
@@ -33,6 +37,8 @@ CANDIDATE = 0.72
 #: Texts of a block in a band's bucket; texts and characters of a block in a group that is verified.
 HOT = 2_000
 BLOCK, CHARS = 1_000, 8_000_000
+#: Ways in which the texts of a large bucket or group are dealt to blocks.
+DEALS = 4
 AT_ONCE = 200_000
 _U = np.uint64
 
@@ -113,45 +119,61 @@ def _sketches(batches):
         )
 
 
-def spanning(sig: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Pairs of a spanning forest over all pairs that agree in at least ``least`` components of
-    either signature. Each text that is reached meets all that are not."""
+def spanning(sig: np.ndarray, label: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Pairs of a spanning forest over all pairs that agree in at least ``least`` components of either
+    signature. Texts of one label are joined already. Each text that is reached meets all that are not."""
     left, rest, reached, pairs = np.arange(len(sig)), sig, [], []
+
+    def take(own: np.ndarray) -> None:
+        nonlocal left, rest
+        together = np.isin(label[left], label[left[own]])  # with all that they are joined to
+        reached.extend(left[together].tolist())
+        left, rest = left[~together], rest[~together]
+
     while len(left):
         if not reached:  # a new tree
-            reached.append(int(left[0]))
-            left, rest = left[1:], rest[1:]
+            take(np.arange(1))
             continue
         i = reached.pop()
         near = np.count_nonzero((rest == sig[i]).reshape(len(rest), -1, M), axis=2).max(axis=1) >= least
         if near.any():
-            pairs += [(i, j) for j in left[near].tolist()]
-            reached += left[near].tolist()
-            left, rest = left[~near], rest[~near]
+            new = left[near]
+            _, first = np.unique(label[new], return_index=True)
+            pairs += [(i, j) for j in new[first].tolist()]
+            take(near)
     return pairs
 
 
-def _forests(batches):
-    """Rows sorted by cell, which is a bucket or two blocks of one. Gives the pairs of its forest."""
-    least = int(CANDIDATE * M)
-    out: list[tuple[int, int]] = []
+def _cells(columns: list[str], close):
+    """Rows sorted by cell (root, x, y) and side: calls ``close`` with the columns of each cell as lists, and yields
+    what it appends to its last argument as pairs (a, b)."""
 
-    def close(keys, sigs):
-        sig = np.frombuffer(b"".join(sigs), dtype=np.uint8).reshape(len(sigs), 2 * M)
-        out.extend((keys[i], keys[j]) for i, j in spanning(sig, least))
-
-    cell, keys, sigs = None, [], []
-    for b in batches:
-        for *at, k, sig in zip(*(b.column(c).to_pylist() for c in ("band", "x", "y", "k", "sig")), strict=True):
-            if at != cell:
-                close(keys, sigs)
-                cell, keys, sigs = at, [], []
-            keys.append(k)
-            sigs.append(sig)
+    def run(batches):
+        out: list[tuple[int, int]] = []
+        cell, held = None, []
+        for b in batches:
+            for *at, row in zip(
+                *(b.column(c).to_pylist() for c in ("root", "x", "y")),
+                zip(*(b.column(c).to_pylist() for c in columns), strict=True),
+                strict=True,
+            ):
+                if at != cell:
+                    if held:
+                        close(*zip(*held, strict=True), out)
+                    cell, held = at, []
+                held.append(row)
+            yield _longs(out, ["a", "b"])
+            out.clear()
+        if held:
+            close(*zip(*held, strict=True), out)
         yield _longs(out, ["a", "b"])
-        out.clear()
-    close(keys, sigs)
-    yield _longs(out, ["a", "b"])
+
+    return run
+
+
+def _forest(side, k, label, sig, out) -> None:
+    sig = np.frombuffer(b"".join(sig), dtype=np.uint8).reshape(len(k), 2 * M)
+    out.extend((k[i], k[j]) for i, j in spanning(sig, np.unique(label, return_inverse=True)[1], int(CANDIDATE * M)))
 
 
 def _longs(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -159,23 +181,62 @@ def _longs(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
 
+def _met(members: DataFrame, payload: DataFrame, ids: DataFrame, compared: str, compare) -> DataFrame:
+    """Pairs (a, b) that ``compare`` finds, enough of them to connect all that it would find among all pairs of
+    each group. ``members``: root, k, blocks (into which a group of that size is cut); ``payload``: k, ``compared``;
+    ``ids``: k, id. ``compare`` takes the columns of a cell sorted by side."""
+    spark = members.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = ["side", "k", "label", compared]
+    found = None
+
+    def of(rows: DataFrame) -> None:
+        nonlocal found
+        rows = rows.join(payload, "k").repartition(parts, "root", "x", "y").sortWithinPartitions("root", "x", "y", "side", "k")
+        pairs = rows.select("root", "x", "y", *columns).mapInArrow(_cells(columns, compare), "a long, b long")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+        new = common.written(pairs, f"pairs-{compared}")
+        found = new if found is None else found.unionByName(new)
+
+    def block(deal) -> Column:
+        return F.pmod(F.xxhash64("k", deal), "blocks")
+
+    # within blocks: a group that fits one block is done; others are dealt in several ways
+    deal = F.explode(F.sequence(F.lit(0), F.when(F.col("blocks") > 1, DEALS - 1).otherwise(0)))
+    of(
+        members.select("root", "k", "blocks", deal.alias("deal")).select(
+            "root", "k", block(F.col("deal")).alias("x"), F.col("deal").cast("long").alias("y"),
+            F.lit(0).alias("side"), F.col("k").alias("label"),
+        )
+    )
+    large = members.where("blocks > 1")
+    if not large.limit(1).count():
+        return found
+    # what is outside its group's largest component meets all blocks
+    named = large.join(classes(found, ids).select("k", F.col("root").alias("label")), "k", "left")
+    named = common.written(named.withColumn("label", F.coalesce("label", "k")), f"named-{compared}")
+    sizes = named.groupBy("root", "label").agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.groupBy("root").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("all"))
+    # a block for about as many of those apart as a block has texts of the group
+    apart_blocks = F.ceil((F.col("all") - F.col("most.n")) * F.col("blocks") / F.col("all")).cast("long")
+    split = named.join(most, "root").where(F.col("all") > F.col("most.n"))
+    split = split.select("root", "k", "label", "blocks", apart_blocks.alias("others"), (F.col("label") != F.col("most.label")).alias("apart"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = split.select("root", "k", "label", block(F.lit(0)).alias("x"), every("others").alias("y"), F.lit(1).alias("side"))
+    far = split.where("apart").select("root", "k", "label", "others", every("blocks").alias("x"))
+    far = far.select("root", "k", "label", "x", F.pmod(F.xxhash64("k", F.lit(-1)), "others").alias("y"), F.lit(0).alias("side"))
+    of(own.unionByName(far.select(*own.columns)))
+    return found
+
+
 def candidates(reps: DataFrame) -> DataFrame:
-    """a, b: distinct pairs of keys of ``reps`` (k, sig, bands) that may be alike, enough of them to connect
+    """a, b: distinct pairs of keys of ``reps`` (k, id, sig, bands) that may be alike, enough of them to connect
     all that share a band and agree in ``CANDIDATE`` of their components."""
-    n = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = reps.select("k", F.explode("bands").alias("band"))
-    counts = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = reps.select("k", F.explode("bands").alias("root"))
+    counts = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / HOT).cast("long")
-    rows = rows.join(counts, "band").select("band", "k", blocks.alias("blocks"))
-    block = F.pmod(F.xxhash64("k", "band"), "blocks")
-    rows = rows.select("band", "k", "blocks", block.alias("block"))
-    rows = rows.select("band", "k", "blocks", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    rows = rows.where("blocks = 1 or block <> other")  # two blocks that meet are compared within, too
-    rows = rows.select("band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "k")
-    rows = rows.join(reps.select("k", "sig"), "k")
-    rows = rows.repartition(n, "band", "x", "y").sortWithinPartitions("band", "x", "y", "k")
-    pairs = rows.select("band", "x", "y", "k", "sig").mapInArrow(_forests, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    rows = common.written(rows.join(counts, "root").select("root", "k", blocks.alias("blocks")), "buckets")
+    return _met(rows, reps.select("k", "sig"), reps.select("k", "id"), "sig", _forest)
 
 
 def similarity(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> tuple[float, float]:
@@ -228,58 +289,31 @@ def linked(shingle: list[np.ndarray], count: list[np.ndarray], first: int, least
 
 
 def _verified(least: float):
-    """Rows sorted by cell (root, x, y) and block. Gives (a, null, n): n links of a text; and (a, b, null): a
-    spanning forest of the links."""
-
-    def run(batches):
-        cache, out = shingles.kept_words(), []
-
-        def close(cell, keys, blocks, sets):
-            first = blocks.count(cell[1]) if cell[1] != cell[2] else 0
-            if cell[1] != cell[2] and first in (0, len(keys)):  # one block is empty
-                return
-            label, n = np.arange(len(keys)), np.zeros(len(keys), dtype=np.int64)
-            for i, js in linked(*zip(*sets, strict=True), first, least):
-                n[i] += len(js)
-                n[js] += 1
-                while len(js := js[label[js] != label[i]]):
-                    out.append((keys[i], keys[js[0]], None))
-                    label[label == label[js[0]]] = label[i]
-            out.extend((keys[i], None, int(n[i])) for i in np.flatnonzero(n).tolist())
-
-        cell, keys, blocks, sets = None, [], [], []
-        names = ("root", "x", "y", "block", "k", "text")
-        for b in batches:
-            for *at, block, k, text in zip(*(b.column(c).to_pylist() for c in names), strict=True):
-                if at != cell:
-                    if cell:
-                        close(cell, keys, blocks, sets)
-                    cell, keys, blocks, sets = at, [], [], []
-                keys.append(k)
-                blocks.append(block)
-                sets.append(np.unique(shingles.of(shingles.word_hashes(text.split(), cache), SIZE), return_counts=True))
-            yield _longs(out, ["a", "b", "n"])
-            out.clear()
-        if cell:
-            close(cell, keys, blocks, sets)
-        yield _longs(out, ["a", "b", "n"])
-
-    return run
-
-
-def links(groups: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """(a, null, n): how many texts of its group (k, root) a text (k, text) is linked to, in parts; and (a, b, null):
-    links that connect all that are linked. All pairs of a group are verified, in one task for each two blocks."""
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Links of a cell that connect all that are linked: of its texts among each other, or, where it has two sides,
+    of those of side 0 to those of side 1."""
+
+    def close(side, k, label, text, out) -> None:
+        first = side.count(0) if side[-1] else 0
+        if side[-1] and first in (0, len(k)):  # one side is empty
+            return
+        cache = shingles.kept_words()
+        sets = [np.unique(shingles.of(shingles.word_hashes(t.split(), cache), SIZE), return_counts=True) for t in text]
+        label = np.unique(label, return_inverse=True)[1]
+        for i, js in linked(*zip(*sets, strict=True), first, least):
+            while len(js := js[label[js] != label[i]]):
+                out.append((k[i], k[js[0]]))
+                label[label == label[js[0]]] = label[i]
+
+    return close
+
+
+def links(groups: DataFrame, texts: DataFrame, ids: DataFrame, least: float) -> DataFrame:
+    """(a, b): links that connect all linked texts (k, text) of each group (k, root)."""
     members = groups.select("k", "root").join(texts.select("k", F.length("text").alias("chars")), "k")
     size = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("chars") / CHARS), F.lit(1)).cast("long")
-    rows = members.drop("chars").join(size.select("root", blocks.alias("blocks")), "root")
-    rows = rows.select("k", "root", "blocks", F.pmod(F.xxhash64("k", "root"), "blocks").alias("block"))
-    rows = rows.select("k", "root", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("k", "root", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    rows = rows.join(texts, "k").repartition(parts, "root", "x", "y").sortWithinPartitions("root", "x", "y", "block", "k")
-    return rows.select("root", "x", "y", "block", "k", "text").mapInArrow(_verified(least), "a long, b long, n long")
+    members = common.written(members.join(size.select("root", blocks.alias("blocks")), "root").drop("chars"), "members")
+    return _met(members, texts, ids, "text", _verified(least))
 
 
 def classes(links: DataFrame, ids: DataFrame) -> DataFrame:
@@ -318,7 +352,7 @@ def classes(links: DataFrame, ids: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """row (the columns given), class_id (least doc_id of the class), root (row key of the one that stays), k,
-    n_links (texts that this text was found alike to, its copies not counted), stays.
+    n_texts (different texts of the class), stays.
 
     Two texts are linked if the Jaccard similarity of their sets of five-word shingles, or the
     probability Jaccard similarity of their counted shingles, is at least ``least``; classes are
@@ -338,21 +372,21 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
         F.min(F.struct("id", "k")).alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands")
     )
     reps = common.written(reps.select("content", "rep.id", "rep.k", "sig", "bands"), "texts")
-    groups = classes(common.written(candidates(reps.select("k", "sig", "bands")), "pairs"), reps.select("k", "id"))
+    ids = reps.select("k", "id")
+    groups = classes(candidates(reps.select("k", "id", "sig", "bands")), ids)
     texts = keyed.select("k", "text").join(groups.select("k"), "k").dropDuplicates(["k"])
-    found = common.written(links(groups, common.written(texts, "compared"), least), "links")
-    roots = classes(found.where("b is not null").select("a", "b"), reps.select("k", "id"))
-    n_links = found.where("b is null").groupBy(F.col("a").alias("k")).agg(F.sum("n").alias("n_links"))
-    known = (
-        reps.select("content", "id", "k")
-        .join(roots, "k", "left")
-        .join(n_links, "k", "left")
-        .select("content", F.coalesce("root", "k").alias("root"), F.coalesce("root_id", "id").alias("class_id"),
-                F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    )
+    roots = classes(links(groups, common.written(texts, "compared"), ids, least), ids)
+    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n_texts"))
+    roots = roots.join(sizes, "root")
+    known = reps.select("content", "id", "k").join(roots, "k", "left").select(
+        "content",
+        F.coalesce("root", "k").alias("root"),
+        F.coalesce("root_id", "id").alias("class_id"),
+        F.coalesce("n_texts", F.lit(1)).cast("long").alias("n_texts"),
+    )
     placed = sketches.select("k", "content").distinct().join(known, "content").drop("content")
     none = F.when(F.col("class_id") > -(2**63), F.col("class_id"))
-    return keyed.select("row", "k").join(placed, "k").select("row", "k", "root", none.alias("class_id"), "n_links")
+    return keyed.select("row", "k").join(placed, "k").select("row", "k", "root", none.alias("class_id"), "n_texts")
 
 
 def keep_one(found: DataFrame) -> DataFrame:
@@ -362,4 +396,4 @@ def keep_one(found: DataFrame) -> DataFrame:
 
 def op2_prob_minhash(spark, sf_dir) -> DataFrame:
     found = near_duplicates(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("row.doc_id", "class_id", "n_links", (F.col("k") == F.col("root")).alias("stays"))
+    return found.select("row.doc_id", "class_id", "n_texts", (F.col("k") == F.col("root")).alias("stays"))
