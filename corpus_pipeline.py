@@ -15,7 +15,8 @@ from ledgerline.llm import common, decontaminate, line_dedup, packing, prob_minh
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain doesn't call toxic."""
+    """Documents that the classifier chain doesn't call toxic. Null and empty texts stay (they have no word that
+    tells), repeated rows are judged alike; without usable labels all documents stay."""
     common.ship(spark)
     chain = toxicity.fit(docs, toxicity.categories(docs, common.table(spark, sf_dir, "labels")))
     return toxicity.classify(docs, chain).where(~F.col("toxic")).select("row.*")
@@ -33,20 +34,22 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one of the least doc_id."""
+    """One document of each class of near-duplicates, the one of the least doc_id (null ids first); of repeated
+    rows one. Null and empty texts are one class."""
     common.ship(spark)
     return prob_minhash.keep_one(prob_minhash.near_duplicates(docs)).select("row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item was found."""
+    """Documents in which no benchmark item was found. Null and empty texts stay; without items all stay."""
     common.ship(spark)
     found = decontaminate.find_leaks(docs, common.table(spark, sf_dir, "benchmark"))
     return found.where(F.size("leaks") == 0).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences."""
+    """The pieces of all documents with their places in sequences. A null or empty text is its end id alone,
+    repeated rows are packed each; no documents give no rows."""
     common.ship(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
@@ -59,7 +62,8 @@ STAGES = [
     ("best_fit_packing", pack),
 ]
 
-#: Trained and hashed stages have no SQL; tests hold each stage against brute force.
+#: Trained and hashed stages have no SQL. Tests hold each operator against brute force or held-out labels, and the
+#: stages against planted cases.
 ORACLE_SQL = None
 
 
