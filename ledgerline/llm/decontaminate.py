@@ -2,10 +2,10 @@
 
 1. Words of all documents become hashed features; their document frequency is counted over
    passages of ``PASSAGE`` words of the whole corpus.
-2. A randomised SVD of the TF-IDF matrix A of all passages: tasks add up their part of
-   A^T A G for a random G (features x RANK), the driver orthonormalises the sum to Q, and a
-   second pass over A gives A^T A Q and with it singular values and vectors. What meets on
-   the driver is features x RANK numbers, whatever the corpus.
+2. A randomised SVD of the TF-IDF matrix A of all passages: for a random orthonormal Q
+   (features x RANK) tasks add up their part of Y = A^T A Q in one pass over A, and
+   Y (Q^T Y)^-1 Y^T stands for A^T A (Nystroem), whose singular values and vectors follow.
+   What meets on the driver is features x RANK numbers, whatever the corpus.
 3. Documents are folded in: windows of several lengths, every ``STEP`` words, become vectors
    in the space of singular vectors, scaled by the singular values; so do benchmark items.
    Pairs of a cosine of at least ``COSINE`` are candidates. A cosine doesn't bound what two
@@ -66,7 +66,13 @@ def _ids(batches):
     features = _kept_features()
     for b in batches:
         rows = [features.of(t.split()).tobytes() for t in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
+        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(rows, pa.binary())], ["row", "ids"])
+
+
+def featured(docs: DataFrame) -> DataFrame:
+    """row (the columns given), ids (features of the words), written: texts are cut into words once."""
+    own = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    return common.written(own.mapInArrow(_ids, f"row {own.schema['row'].dataType.simpleString()}, ids binary"), "features")
 
 
 def _chunks(batch):
@@ -153,24 +159,25 @@ def _times(ids: DataFrame, weights, q: np.ndarray) -> np.ndarray:
     return out
 
 
-def fold(docs: DataFrame, rank: int = RANK, iterations: int = 1) -> np.ndarray:
-    """Features x (rank - COMMON): what an occurrence of each feature adds to a text's latent vector."""
-    text = docs.select(F.col("text")).where("text is not null")
-    ids = common.written(text.mapInArrow(_ids, "ids binary"), "features")
+def fold(ids: DataFrame, rank: int = RANK, iterations: int = 1) -> np.ndarray:
+    """Features x (rank - COMMON): what an occurrence of each feature adds to a text's latent vector. ``ids``: the
+    features of all documents; each iteration is a pass over them."""
     counts = ids.mapInArrow(_frequencies, "feature long, n long").groupBy("feature").agg(F.sum("n")).collect()
     n = np.zeros(FEATURES)
     for f, c in counts:  # at most one row for each feature
         n[f] = c
     idf = np.where(n > 0, np.log((n[0] + 1) / np.maximum(n, 1)) + 0.1, 0).astype(np.float32)
     idf[0] = 0
-    weights = docs.sparkSession.sparkContext.broadcast(idf)
-    q = np.random.default_rng(7).normal(size=(FEATURES, rank))
-    for _ in range(iterations):  # more of them bring the values of a flat spectrum nearer to the exact ones
+    weights = ids.sparkSession.sparkContext.broadcast(idf)
+    q = np.linalg.qr(np.random.default_rng(7).normal(size=(FEATURES, rank)))[0]
+    for _ in range(iterations - 1):  # more of them bring the values of a flat spectrum nearer to the exact ones
         q = np.linalg.qr(_times(ids, weights, q))[0]
-    again = _times(ids, weights, q)
-    values, turn = np.linalg.eigh((q.T @ again + again.T @ q) / 2)
-    values = np.sqrt(np.maximum(values, 1e-9 * max(values.max(), 1e-9)))
-    space = (idf[:, None] * (q @ turn) / values)[:, : rank - COMMON]  # ascending: the leading ones are last
+    y = _times(ids, weights, q)
+    inner, turn = np.linalg.eigh((q.T @ y + y.T @ q) / 2)
+    root = y @ turn / np.sqrt(np.maximum(inner, 1e-9 * max(inner.max(), 1e-9)))  # A^T A is about root root^T
+    squares, turn = np.linalg.eigh(root.T @ root)
+    squares = np.maximum(squares, 1e-9 * max(squares.max(), 1e-9))
+    space = (idf[:, None] * (root @ turn) / squares)[:, : rank - COMMON]  # ascending: the leading ones are last
     return np.ascontiguousarray(space, dtype=np.float32)
 
 
@@ -258,43 +265,47 @@ class Items:
         return share, answered, share >= COVERED or share >= NEARLY and answered >= ANSWER
 
 
-def leaks_of(text: str, features: Features, space: np.ndarray, items: Items, cosine: float):
+def leaks_of(text: str, ids: np.ndarray, space: np.ndarray, items: Items, cosine: float):
     """(item number, cosine, share, answer's share) of the best window of each item found in the text."""
-    words = text.split()
-    ids = features.of(words)
     if not len(ids) or not len(items.ids):
         return []
+    words: list[str] = []  # only of texts with a candidate
+
+    def normal_words(start: int, end: int) -> list[str]:
+        if not words:
+            words.extend(text.split())
+        return [x for word in words[start:end] if (x := normal(word))]
+
     found: dict[int, tuple[float, float, float]] = {}
     reach = WINDOWS[-1][0] * STEP
     for base in range(0, len(ids), AT_ONCE):  # with enough of what follows for windows that begin here
         part = ids[base : base + AT_ONCE + reach]
         steps = np.add.reduceat(space[part], np.arange(0, len(part), STEP), axis=0)
-        sums = np.concatenate([np.zeros((1, space.shape[1])), np.cumsum(steps, axis=0, dtype=np.float64)])
+        sums = np.concatenate([np.zeros((1, space.shape[1]), np.float32), np.cumsum(steps, axis=0)])
         for (length, stride), (own, vectors) in zip(WINDOWS, items.parts, strict=True):
             first = np.arange(0, max(len(steps) - length, 0) + stride, stride)
             first = np.minimum(first, max(len(steps) - length, 0))
             last = np.minimum(first + length, len(steps))
-            v = (sums[last] - sums[first]).astype(np.float32)
-            v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+            v = sums[last] - sums[first]
+            norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-9)
             for lo in range(0, len(own), 4096):
                 like = v @ vectors[:, lo : lo + 4096]
-                for w, j in np.argwhere(like >= cosine).tolist():
+                for w, j in np.argwhere(like >= cosine * norm[:, None]).tolist():
                     i = int(own[lo + j])
                     more = STEP + max(0, (len(items.words[i]) - length * STEP + 1) // 2)
-                    start, end = base + int(first[w]) * STEP - more, base + int(last[w]) * STEP + more
-                    if not items.may_be(i, ids[max(start, 0) : end].tolist()):
+                    start, end = max(base + int(first[w]) * STEP - more, 0), base + int(last[w]) * STEP + more
+                    if not items.may_be(i, ids[start:end].tolist()):
                         continue
-                    window = [x for word in words[max(start, 0) : end] if (x := normal(word))]
-                    share, answered, leak = items.check(i, window)
+                    share, answered, leak = items.check(i, normal_words(start, end))
                     if leak and share > found.get(i, (0, 0))[1]:
-                        found[i] = (float(like[w, j]), share, answered)
+                        found[i] = (float(like[w, j] / norm[w]), share, answered)
     for i in items.shared(ids).tolist():
         for start, end in items.windows(i, ids):
             if found.get(i, (0, 0))[1] == 1:
                 break
             if not items.may_be(i, ids[start:end].tolist()):
                 continue
-            share, answered, leak = items.check(i, [x for word in words[start:end] if (x := normal(word))])
+            share, answered, leak = items.check(i, normal_words(start, end))
             if leak and share > found.get(i, (0, 0))[1]:
                 v = space[ids[start:end]].sum(axis=0)
                 found[i] = (float(v @ items.vectors[i] / max(np.linalg.norm(v), 1e-9)), share, answered)
@@ -314,24 +325,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) ->
     rows = benchmark.select("item_id", "text").where("text is not null").orderBy("item_id", "text").limit(MAX_ITEMS + 1).collect()
     if len(rows) > MAX_ITEMS:
         raise ValueError(f"more than {MAX_ITEMS} benchmark items; search them in parts")
-    space = fold(docs)
+    ids = featured(docs)
+    space = fold(ids.select("ids"))
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((space, Items([tuple(r) for r in rows], space)))
 
     def run(batches):
         space, items = shared.value
-        features = _kept_features()
         names = ("cosine", "covered", "answered")
         kind = pa.list_(pa.struct([("item_id", pa.int64()), *((c, pa.float64()) for c in names)]))
         for b in batches:
-            out = [
-                [{"item_id": items.ids[i], **dict(zip(names, x, strict=True))} for i, *x in leaks_of(t, features, space, items, cosine)]
-                for t in b.column("text").to_pylist()
-            ]
+            texts, out = b.column("row").field("text").to_pylist(), []
+            for t, own in zip(texts, b.column("ids").to_pylist(), strict=True):
+                found = leaks_of(t or "", np.frombuffer(own, dtype=np.uint16), space, items, cosine)
+                out.append([{"item_id": items.ids[i], **dict(zip(names, x, strict=True))} for i, *x in found])
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, kind)], ["row", "leaks"])
 
-    own = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    return own.mapInArrow(run, f"row {own.schema['row'].dataType.simpleString()}, leaks {LEAKS}")
+    return ids.mapInArrow(run, f"row {ids.schema['row'].dataType.simpleString()}, leaks {LEAKS}")
 
 
 def op8_decontaminate(spark, sf_dir) -> DataFrame:

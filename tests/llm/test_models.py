@@ -45,6 +45,32 @@ def test_chain_takes_odd_inputs(spark):
     assert toxicity.classify(documents(spark, []), chain).collect() == []
 
 
+def test_scores_equal_plain_python(spark):
+    """Every document's probabilities by loops over words, beginnings and links, without caches or arrays."""
+    rows = toxic_cases()[:200]
+    docs = documents(spark, [(r[0], r[1]) for r in rows] + [(500, None), (501, ""), (502, "en" * 5000), (3, rows[3][1])])
+    labels = spark.createDataFrame([(r[0], r[3], r[0] % 2) for r in rows], "doc_id long, odd int, toxic int")
+    chain = toxicity.fit(docs, labels)
+    for r in toxicity.classify(docs, chain).collect():
+        own = {chain.index[f] for w in (r["row"]["text"] or "").split() for f in toxicity.features(w) if f in chain.index}
+        p = []
+        for weights in chain.links:
+            w = weights.astype(float).tolist()
+            z = sum(w[i] for i in own) + sum(a * b for a, b in zip(w[len(chain.index) :], p, strict=False)) + w[-1]
+            p.append(1 / (1 + math.exp(-z)))
+        assert np.allclose(r["probabilities"], p, atol=1e-4) and r["toxic"] == (r["probabilities"][-1] >= 0.5)
+
+
+def test_sample_is_that_of_the_least_hashes(spark):
+    from ledgerline.llm import common
+
+    df = spark.range(0, 50_000, 1, 40).select("id", F.xxhash64("id").alias("h"))
+    want = [r["id"] for r in df.orderBy("h").limit(300).collect()]
+    got = common.least_hashes(df, df.count(), F.col("h"), 300)
+    assert [r["id"] for r in got.orderBy("h").collect()] == want
+    assert common.least_hashes(df.limit(5), 5, F.col("h"), 300).count() == 5
+
+
 def test_later_links_use_earlier_probabilities():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2, (400, 6)).astype(np.float32)
@@ -124,7 +150,7 @@ def test_leaks_of_any_length_equal_brute_force():
                 length = max(len(items.words[j]), 4 * decontaminate.STEP)
                 if any(items.check(j, doc[a : a + length])[2] for a in range(max(len(doc) - length, 0) + 1)):
                     want.add(j)
-            got = {x[0] for x in decontaminate.leaks_of(" ".join(doc), features, space, items, decontaminate.COSINE)}
+            got = {x[0] for x in decontaminate.leaks_of(" ".join(doc), features.of(doc), space, items, decontaminate.COSINE)}
             assert i in want and want <= got
             recall += len(want)
     assert recall >= 63
@@ -134,7 +160,7 @@ def test_fold_is_the_svd(spark):
     """Latent vectors of passages agree with a dense SVD of the same matrix, up to rotation in sign."""
     docs, _, _ = leak_cases()
     table = spark.createDataFrame([(i, " ".join(t.split()[:32])) for i, t in docs], "doc_id long, text string")
-    space = decontaminate.fold(table, rank=40, iterations=4)
+    space = decontaminate.fold(decontaminate.featured(table).select("ids"), rank=40, iterations=4)
     features = decontaminate.Features()
     rows = [features.of(t.split()[:32]) for _, t in docs]
     n = np.zeros(decontaminate.FEATURES)

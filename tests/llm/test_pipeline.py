@@ -62,3 +62,21 @@ def test_run_is_its_stages(spark, folder):
     out = corpus_pipeline.run(spark, folder[0])
     assert out.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 2048
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity" and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_stages_take_odd_documents(spark, folder):
+    """No documents, a very long text, repeated rows, null ids, and columns with names that operators use."""
+    top, _ = folder
+    odd = spark.createDataFrame(
+        [(None, "a b"), (7, None), (7, None), (8, "x y z " * 40_000), (9, "x y z " * 40_000)], "doc_id long, text string"
+    )
+    for name in ("lang", "source", "row", "id", "k", "root", "n", "ids", "gone", "word"):
+        odd = odd.withColumn(name, F.lit("v"))
+    odd = odd.withColumn("n_chars", F.lit(1).cast("long"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, top)
+        assert out.dtypes == odd.dtypes, name
+        assert out.count() == (3 if name == "minhash_near_dedup" else 5), name
+        assert stage(spark, odd.limit(0), top).collect() == []
+    assert corpus_pipeline.pack(spark, odd, top).where("doc_id = 7").count() == 2
+    assert corpus_pipeline.pack(spark, odd.limit(0), top).collect() == []
