@@ -30,10 +30,10 @@ SIDE_BY_SIDE = 64
 #: Code points of text that are encoded at once.
 CHUNK = 1 << 20
 #: Entries that a worker keeps of either kind, groups and pre-tokens, and the longest kept.
-CACHE = 200_000
+CACHE = 150_000
 LONGEST = 64
 #: Bytes of output after which a batch ends, so that batches of long texts stay small.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 _space = re.compile(r"\s")
 

@@ -91,10 +91,17 @@ def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(twice, keys, "left_semi")
 
 
+#: Rows of an Arrow batch at most. Texts of some kB make batches of a few MB, on both sides of a Python worker.
+BATCH_ROWS = 2_000
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, whose Python need not have it on its path.
-    Once per application."""
+    """Sends this package to the executors, whose Python need not have it on its path (once per application), and
+    bounds the rows of the session's Arrow batches."""
     sc = spark.sparkContext
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
     if getattr(sc, "_llm_shipped", False):
         return
     top = Path(__file__).resolve().parents[1]
