@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .bpe import Encoder, look_up
+from .bpe import Encoder, Recent, look_up
 from .token_counts import groups
 
 #: Bytes of text (as counted in code points) that are aligned at once in a task.
@@ -77,15 +77,12 @@ def sentence_pieces(path: str) -> Side:
     ids = lambda found: np.array(found, "<u4").tobytes()
     if any("\u2581" in p.lstrip("\u2581") for p in pieces):
         return Side(lambda texts: list(map(ids, sp.encode(texts, num_threads=1))), known)
-    groups_known = {"": ids([sp.piece_to_id("\u2581")])}
+    known_groups, space = Recent(), ids([sp.piece_to_id("\u2581")])
 
-    def encode(texts: list[str]) -> list[bytes]:
-        lists = [groups(" " + t)[1] if t else [] for t in texts]
-        out = look_up(groups_known, lists, lambda new: list(map(ids, sp.encode(new, num_threads=1))))
-        groups_known.setdefault("", ids([sp.piece_to_id("\u2581")]))
-        return out
+    def encoded(new: list[str]) -> list[bytes]:  # an empty group is a single space, which no text stands for
+        return [ids(x) if g else space for g, x in zip(new, sp.encode(new, num_threads=1), strict=True)]
 
-    return Side(encode, known)
+    return Side(lambda texts: look_up(known_groups, [groups(" " + t)[1] if t else [] for t in texts], encoded), known)
 
 
 def components(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

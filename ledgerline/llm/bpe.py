@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import re
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -29,8 +29,8 @@ NONE = 1 << 62
 SIDE_BY_SIDE = 64
 #: Code points of text that are encoded at once.
 CHUNK = 1 << 20
-#: Entries that a worker keeps of either kind, groups and pre-tokens, and the longest kept.
-CACHE = 150_000
+#: Entries that a worker keeps of either kind, groups and pre-tokens (and those of one chunk), and the longest kept.
+CACHE = 300_000
 LONGEST = 64
 #: Bytes of output after which a batch ends, so that batches of long texts stay small.
 BATCH_BYTES = 8 << 20
@@ -289,8 +289,8 @@ class Encoder:
 
     def __init__(self, path: str, special: bool = True) -> None:
         self.vocabulary = Vocabulary(path, special)
-        self.pieces: dict[str, bytes] = {}
-        self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}  # by what stands before the group
+        self.pieces = Recent()
+        self.known = {"": Recent(), " ": Recent()}  # by what stands before the group
 
     def many(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -315,34 +315,49 @@ class Encoder:
 
     def _encoded(self, stretches: list[str]) -> list[bytes]:
         split = self.vocabulary.splits(stretches)
-        unseen = {p for own in split for p in own if p.__class__ is str} - self.pieces.keys()
-        self.pieces.update(self.vocabulary.pre_tokens(list(unseen)))
-        ids = self.pieces
+        unseen = self.pieces.missing({p for own in split for p in own if p.__class__ is str})
+        ids = self.pieces.used
+        ids.update(self.vocabulary.pre_tokens(unseen))
         out = [b"".join([ids[p] if p.__class__ is str else p.to_bytes(4, "little") for p in own]) for own in split]
-        _trim(ids, unseen)
+        self.pieces.forget(unseen)
         return out
 
 
-def look_up(known: dict[str, bytes], lists: list[list[str]], encoded) -> list[bytes]:
-    """The joined ids of each list of groups; those not ``known`` come from ``encoded`` in one call and are
-    kept, within bounds."""
-    new = list(set().union(*lists) - known.keys())
-    if new:
-        known.update(zip(new, encoded(new), strict=True))
-    out = [b"".join(map(known.__getitem__, own)) for own in lists]
-    if new:
-        _trim(known, new)
-    return out
+class Recent:
+    """What was looked up lately, in two generations: once the younger has half of ``CACHE`` entries it becomes
+    the older, whose entries go with the next turn unless they are used again."""
+
+    def __init__(self) -> None:
+        self.used: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def __len__(self) -> int:
+        return len(self.used) + len(self.before)
 
+    def missing(self, wanted: set[str]) -> list[str]:
+        """Those of ``wanted`` that are to be worked out; all others are in ``used`` then."""
+        if len(self.used) > CACHE // 2:
+            self.used, self.before = {}, self.used
+        new = wanted - self.used.keys()
+        again = new & self.before.keys()
+        self.used.update((k, self.before[k]) for k in again)
+        return list(new - again)
 
-def _trim(cache: dict[str, bytes], new) -> None:
-    """Forgets the new entries that are long, and the oldest half of all once there are ``CACHE``."""
-    for key in new:
-        if len(key) > LONGEST:
-            del cache[key]
-    if len(cache) > CACHE:
-        for key in list(islice(cache, len(cache) - CACHE // 2)):
-            del cache[key]
+    def forget(self, new: list[str]) -> None:
+        """Long entries aren't kept."""
+        for key in new:
+            if len(key) > LONGEST:
+                del self.used[key]
+
+
+def look_up(known: Recent, lists: list[list[str]], encoded) -> list[bytes]:
+    """The joined ids of each list of groups; those not ``known`` come from ``encoded`` in one call."""
+    new = known.missing(set().union(*lists))
+    if new:
+        known.used.update(zip(new, encoded(new), strict=True))
+    out = [b"".join(map(known.used.__getitem__, own)) for own in lists]
+    known.forget(new)
+    return out
 
 
 def _batches(rows, names, types):
