@@ -27,19 +27,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.config import DAILY, MONTHLY, WEEKLY
 from ledgerline.functions.columns import AMOUNT, money_round, year_month_key, year_week_key
+from ledgerline.schemas import mart_columns
 
 PERIOD_TYPES = (DAILY, WEEKLY, MONTHLY)
 TREND_KEYS = ["restaurant_id", "item_category", "currency"]
-TREND_COLUMNS = [
-    "period_type",
-    "period_value",
-    "restaurant_id",
-    "item_category",
-    "currency",
-    "total_revenue",
-    "order_count",
-    "customer_count",
-]
+TREND_COLUMNS = mart_columns("sales_trends")
 
 
 def _period_value(period_type: str, iso_year: bool = False):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.config import AT_RISK, INACTIVE
 from ledgerline.operators.metrics import DISCOUNT, LOCATION, LOYALTY
+from ledgerline.schemas import mart_columns
 
 _CENTS = "decimal(20,2)"
 
@@ -54,6 +55,7 @@ def _count_by(df: DataFrame, label: str) -> DataFrame:
 
 # ---------------------------------------------------------------- V1 segmentation
 
+# Fixed: what the view shows.
 SEGMENTATION_COLUMNS = [
     "user_id",
     "recency_days",
@@ -87,6 +89,7 @@ def segmentation_kpis(view: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------- V2 churn
 
+# Fixed: what the view shows.
 CHURN_COLUMNS = [
     "user_id",
     "recency_days",
@@ -124,16 +127,7 @@ def churn_kpis(view: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------- V3 sales
 
-SALES_COLUMNS = [
-    "period_type",
-    "period_value",
-    "restaurant_id",
-    "item_category",
-    "currency",
-    "total_revenue",
-    "order_count",
-    "customer_count",
-]
+SALES_COLUMNS = mart_columns("sales_trends")
 
 
 def sales(trends: DataFrame, period_type: str) -> DataFrame:

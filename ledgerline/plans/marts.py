@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.config import DEFAULT_THRESHOLDS, Thresholds
 from ledgerline.functions.columns import money_to_double as _doubles
 from ledgerline.operators import customers, metrics, revenue, trends
+from ledgerline.schemas import mart_columns
 
 
 def customer_orders(items: DataFrame, options: DataFrame, line_count: bool = False) -> DataFrame:
@@ -25,15 +26,7 @@ def store_orders(items: DataFrame, options: DataFrame) -> DataFrame:
     return revenue.order_revenue(items, options, revenue.STORE_GRAIN, with_discount=True)
 
 
-LTV_COLUMNS = [
-    "user_id",
-    "order_date",
-    "daily_revenue",
-    "daily_order_count",
-    "customer_ltv_to_date",
-    "lifetime_order_count_to_date",
-    "clv_group",
-]
+LTV_COLUMNS = mart_columns("customer_ltv_daily")
 
 
 def customer_ltv_daily(

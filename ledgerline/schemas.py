@@ -173,6 +173,11 @@ GOLD = {
 }
 
 
+def mart_columns(mart: str) -> list[str]:
+    """The columns of a gold mart without its audit column."""
+    return [n for n in GOLD[mart].names if n != "gold_processed_timestamp"]
+
+
 def names_and_types(schema: T.StructType) -> list[tuple[str, str]]:
     """(name, simpleString type) pairs, ignoring nullability."""
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
