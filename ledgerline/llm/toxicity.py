@@ -70,7 +70,7 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 15
     n, d = x.shape
     w = np.zeros(d + 1, dtype=np.float32)
     if not 0 < y.sum() < n:
-        w[-1] = 8.0 if n and y.all() else -8.0
+        w[-1] = -8.0
         return w
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (n - y.sum())).astype(np.float32)
     v = np.random.default_rng(1).normal(size=d).astype(np.float32)
