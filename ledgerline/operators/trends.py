@@ -5,14 +5,15 @@ Item revenue only (options are not included, unlike the other marts). Rows with
 a NULL order or date are dropped; NULL users are kept (the distinct customer
 count ignores them). The weekly key joins the calendar year to the ISO week.
 
-Distinct orders and users can't be added up from days to weeks, so both are kept
-as members: a line gives two rows, its order with the amount and its user, and
-one aggregate makes them one row per (day, keys, member). Placed by (keys,
-member), each then finds its own days, weeks and months without another shuffle,
-and counting members per period is a small aggregate. Against distinct counts
-over three copies of each line (nine rows a line before the first aggregate), two
-rows a line reach the first aggregate and at most two per (day, keys, order) move.
-A hot group is spread over its members, a hot user is bounded by the calendar.
+Distinct orders and users can't be added up from days to weeks. A line therefore
+says for its order, and then for its user, whether it is the first of the day, week
+and month within (keys, order) and (keys, user): these marks add up. Lines move
+once to their orders and once to their users, each time as one row that a task
+sorts by member and day (sorts spill; no map of members is held). Only the last
+aggregate, over lines that became rows per period, has a hash map, of the task's
+groups. A hot group is spread over its members. A member's lines are split by
+calendar year, in which days, months and weeks (calendar year and ISO week) lie
+whole, and lines without a user by order.
 
 ``method="union"`` gives each period its own plan: a filter on one period type
 prunes the others, so dashboard views over the live plan use it.
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.config import DAILY, MONTHLY, WEEKLY
@@ -34,8 +35,8 @@ TREND_KEYS = ["restaurant_id", "item_category", "currency"]
 TREND_COLUMNS = mart_columns("sales_trends")
 
 
-def _period_value(period_type: str, iso_year: bool = False):
-    d = F.col("order_date")
+def _period_value(period_type: str, iso_year: bool = False, day: Column | None = None):
+    d = F.col("order_date") if day is None else day
     if period_type == DAILY:
         return d.cast("string")
     if period_type == WEEKLY:
@@ -51,6 +52,84 @@ def trend_base(items: DataFrame) -> DataFrame:
     )
 
 
+def _firsts(lines: DataFrame, member: list[str], period_types: tuple[str, ...], iso_year: bool, mark: str) -> DataFrame:
+    """Adds ``<mark>_<period type>``: whether the line is the first of its period within ``member`` and the keys.
+
+    By day, equal days and months stand together, and so do weeks, but for a calendar
+    year's last days in ISO week 1 and its first ones in week 52 or 53: a key met
+    again in December stood on a day of January before."""
+    day = F.col("order_date")
+    by_day = Window.partitionBy(*member, *TREND_KEYS).orderBy("order_date")
+    before = by_day.rowsBetween(Window.unboundedPreceding, -1)
+    met = {"_last": F.lag(day).over(by_day)}
+    if WEEKLY in period_types:
+        january, week = F.month(day) == 1, F.weekofyear(day)
+        met |= {
+            "_week_1": F.max(F.when(january & (week == 1), day)).over(before),
+            "_week_52": F.max(F.when(january & (week >= 52), day)).over(before),
+        }
+
+    def first(period_type: str) -> Column:
+        value = _period_value(period_type, iso_year)
+        earlier = met if period_type == WEEKLY else ["_last"]
+        same = [F.coalesce(_period_value(period_type, iso_year, F.col(c)) == value, F.lit(False)) for c in earlier]
+        return ~reduce(Column.__or__, same)
+
+    return lines.withColumns(met).withColumns({f"{mark}_{p}": first(p) for p in period_types}).drop(*met)
+
+
+def _marked(items: DataFrame, period_types: tuple[str, ...], iso_year: bool) -> DataFrame:
+    """Lines with the marks of their orders (``o_``) and users (``u_``)."""
+    lines = trend_base(items).withColumn("guest", F.when(F.col("user_id").isNull(), F.xxhash64("order_id")))
+    span = []
+    if not iso_year:  # an ISO year's weeks cross calendar years
+        lines, span = lines.withColumn("year", F.year("order_date")), ["year"]
+    lines = _firsts(lines, ["order_id", *span], period_types, iso_year, "o").drop("order_id")
+    return _firsts(lines, ["user_id", "guest", *span], period_types, iso_year, "u")
+
+
+def _rolled_up(items: DataFrame, period_types: tuple[str, ...], iso_year: bool) -> DataFrame:
+    known = F.col("user_id").isNotNull()
+    periods = F.array(
+        *(
+            F.struct(
+                F.lit(p).alias("period_type"),
+                _period_value(p, iso_year).alias("period_value"),
+                F.col(f"o_{p}").alias("new_order"),
+                (F.col(f"u_{p}") & known).alias("new_user"),
+            )
+            for p in period_types
+        )
+    )
+    rows = _marked(items, period_types, iso_year).select(*TREND_KEYS, "item_gross_amount", F.inline(periods))
+    return (
+        rows.groupBy("period_type", "period_value", *TREND_KEYS)
+        .agg(
+            money_round(F.sum("item_gross_amount")).alias("total_revenue"),
+            F.count_if("new_order").alias("order_count"),
+            F.count_if("new_user").alias("customer_count"),
+        )
+        .select(*TREND_COLUMNS)
+    )
+
+
+def sales_period(items: DataFrame, period_type: str, iso_year: bool = False) -> DataFrame:
+    """One period type."""
+    return _rolled_up(items, (period_type,), iso_year)
+
+
+def sales_trends(
+    items: DataFrame,
+    period_types: tuple[str, ...] = PERIOD_TYPES,
+    method: str = "levels",
+    iso_year: bool = False,
+) -> DataFrame:
+    """M3: the union of the period rollups."""
+    if method == "union":
+        return reduce(DataFrame.unionByName, (sales_period(items, p, iso_year) for p in period_types))
+    return _rolled_up(items, tuple(period_types), iso_year)
+
+
 ORDER, USER, DAY = "o", "u", "d"
 
 
@@ -82,42 +161,6 @@ def _measures():
     ]
 
 
-_MEMBER = [*TREND_KEYS, "kind", "id"]
-
-
-def _placed_members(items: DataFrame) -> DataFrame:
-    return _members(trend_base(items), TREND_KEYS).repartition(*_MEMBER)
-
-
-def _rolled_up(members: DataFrame, periods: list[str]) -> DataFrame:
-    """Members with period columns -> measures per period. The first aggregate finds the
-    members' placement and shuffles nothing."""
-    own = members.groupBy(*periods, *_MEMBER).agg(F.sum("amount").alias("amount"))
-    return own.groupBy(*periods, *TREND_KEYS).agg(*_measures())
-
-
-def sales_period(items: DataFrame, period_type: str, iso_year: bool = False) -> DataFrame:
-    """One period type."""
-    dated = _placed_members(items).withColumn("period_value", _period_value(period_type, iso_year))
-    return _rolled_up(dated, ["period_value"]).withColumn("period_type", F.lit(period_type)).select(*TREND_COLUMNS)
-
-
-def sales_trends(
-    items: DataFrame,
-    period_types: tuple[str, ...] = PERIOD_TYPES,
-    method: str = "levels",
-    iso_year: bool = False,
-) -> DataFrame:
-    """M3: the union of the period rollups."""
-    if method == "union":
-        return reduce(DataFrame.unionByName, (sales_period(items, p, iso_year) for p in period_types))
-    periods = F.array(
-        *[F.struct(F.lit(p).alias("period_type"), _period_value(p, iso_year).alias("period_value")) for p in period_types]
-    )
-    dated = _placed_members(items).select(*_MEMBER, "amount", F.inline(periods))
-    return _rolled_up(dated, ["period_type", "period_value"]).select(*TREND_COLUMNS)
-
-
 SEASON_KEYS = ["day_of_week", "day_type", "is_holiday", "currency"]
 
 
