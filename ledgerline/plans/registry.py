@@ -17,6 +17,7 @@ from ledgerline.functions.columns import money_to_double as _dbl
 from ledgerline.operators import customers, metrics, revenue, silver, trends
 from ledgerline.plans import dashboard, marts, quality
 from ledgerline.sources import catalog, ingest, testdata
+from ledgerline.sources.work import materialize, placed
 
 
 @dataclass
@@ -357,18 +358,25 @@ def _d_disc_kpis(i: Inputs) -> DataFrame:
 
 @register("quality_layer_checks")
 def _quality(i: Inputs) -> DataFrame:
+    """The checks of a run's tables. As in a run, what several tables come from is
+    written once: the lines' columns that marts read, placed by order, and the
+    orders at both grains."""
+    columns = (*revenue.STORE_GRAIN, "item_category", "item_gross_amount")
+    items = placed(i.items.select(*columns), "order_id")
+    store_orders = materialize(marts.store_orders(items, i.options), "store-orders")
+    orders = materialize(revenue.customer_orders(store_orders), "customer-orders")
     return quality.layer_checks(
         {
             "bronze.order_items": i.bronze_items,
-            "silver.order_items": i.items,
+            "silver.order_items": items,
             "silver.order_item_options": i.options,
             "silver.date_dim": i.dates,
         },
         {
-            "gold.customer_ltv_daily": i.ltv_mart,
-            "gold.customer_segments": i.segments_mart,
-            "gold.sales_trends": i.trends_mart,
-            "gold.loyalty_location_discount": i.metrics_mart,
+            "gold.customer_ltv_daily": marts.customer_ltv_daily(items, i.options, orders=orders),
+            "gold.customer_segments": marts.customer_segments(items, i.options, TESTDATA_AS_OF, orders=orders),
+            "gold.sales_trends": marts.sales_trends(items),
+            "gold.loyalty_location_discount": marts.loyalty_location_discount(items, i.options, orders=store_orders),
         },
     )
 
