@@ -88,34 +88,23 @@ def _marked(items: DataFrame, period_types: tuple[str, ...], iso_year: bool) ->
     return _firsts(lines, ["user_id", "guest", *span], period_types, iso_year, "u")
 
 
-def _rolled_up(items: DataFrame, period_types: tuple[str, ...], iso_year: bool) -> DataFrame:
-    known = F.col("user_id").isNotNull()
-    periods = F.array(
-        *(
-            F.struct(
-                F.lit(p).alias("period_type"),
-                _period_value(p, iso_year).alias("period_value"),
-                F.col(f"o_{p}").alias("new_order"),
-                (F.col(f"u_{p}") & known).alias("new_user"),
-            )
-            for p in period_types
-        )
-    )
-    rows = _marked(items, period_types, iso_year).select(*TREND_KEYS, "item_gross_amount", F.inline(periods))
-    return (
-        rows.groupBy("period_type", "period_value", *TREND_KEYS)
-        .agg(
-            money_round(F.sum("item_gross_amount")).alias("total_revenue"),
-            F.count_if("new_order").alias("order_count"),
-            F.count_if("new_user").alias("customer_count"),
-        )
-        .select(*TREND_COLUMNS)
+def _marks(period_type: str) -> tuple[Column, Column]:
+    return F.col(f"o_{period_type}").alias("new_order"), (F.col(f"u_{period_type}") & F.col("user_id").isNotNull()).alias("new_user")
+
+
+def _measures_of(rows: DataFrame, *periods: str) -> DataFrame:
+    return rows.groupBy(*periods, *TREND_KEYS).agg(
+        money_round(F.sum("item_gross_amount")).alias("total_revenue"),
+        F.count_if("new_order").alias("order_count"),
+        F.count_if("new_user").alias("customer_count"),
     )
 
 
 def sales_period(items: DataFrame, period_type: str, iso_year: bool = False) -> DataFrame:
     """One period type."""
-    return _rolled_up(items, (period_type,), iso_year)
+    value = _period_value(period_type, iso_year).alias("period_value")
+    rows = _marked(items, (period_type,), iso_year).select(*TREND_KEYS, "item_gross_amount", value, *_marks(period_type))
+    return _measures_of(rows, "period_value").withColumn("period_type", F.lit(period_type)).select(*TREND_COLUMNS)
 
 
 def sales_trends(
@@ -127,7 +116,11 @@ def sales_trends(
     """M3: the union of the period rollups."""
     if method == "union":
         return reduce(DataFrame.unionByName, (sales_period(items, p, iso_year) for p in period_types))
-    return _rolled_up(items, tuple(period_types), iso_year)
+    periods = F.array(
+        *(F.struct(F.lit(p).alias("period_type"), _period_value(p, iso_year).alias("period_value"), *_marks(p)) for p in period_types)
+    )
+    rows = _marked(items, period_types, iso_year).select(*TREND_KEYS, "item_gross_amount", F.inline(periods))
+    return _measures_of(rows, "period_type", "period_value").select(*TREND_COLUMNS)
 
 
 ORDER, USER, DAY = "o", "u", "d"
