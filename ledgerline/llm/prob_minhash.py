@@ -8,8 +8,9 @@ Jaccard similarity. With all weights 1 they agree with the Jaccard similarity of
 have a signature of either kind, the same one where no shingle repeats.
 
 Equal word sequences are one text from the start; only its representative is compared.
-In a band's bucket all signatures meet, and what leaves is a spanning forest of the pairs
-that may be alike. It only says which texts belong together: within each such group
+In a band's bucket all signatures meet, and what leaves is which of them are connected by pairs that
+may be alike: each component's least key with each of its others, so that the many buckets of a group of
+near copies name mostly the same pairs. It only says which texts belong together: within each such group
 the pairs are then verified on whole texts, so no link depends on which pairs a forest took.
 
 Neither step compares all pairs of a large group (``_met``). Its texts are dealt to blocks, in
@@ -25,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, shingles
@@ -144,6 +145,25 @@ def spanning(sig: np.ndarray, label: np.ndarray, least: int) -> list[tuple[int,
     return pairs
 
 
+def _stars(label: tuple[int, ...], pairs: list[tuple[int, int]], out: list[tuple[int, int]]) -> None:
+    """Adds to ``out`` what ``pairs`` of places join, as pairs of labels: the least label of each component with each
+    of its others. A text is in many buckets: those that see the same component name the same pairs."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in up:
+            if up[x] in up:
+                up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for i, j in pairs:
+        a, b = top(label[i]), top(label[j])
+        if a != b:
+            up[max(a, b)] = min(a, b)
+    out.extend((top(x), x) for x in up)
+
+
 def _cells(columns: list[str], close):
     """Rows sorted by cell (root, x, y) and side: calls ``close`` with the columns of each cell as lists, and yields
     what it appends to its last argument as pairs (a, b)."""
@@ -173,7 +193,7 @@ def _cells(columns: list[str], close):
 
 def _forest(side, k, label, sig, out) -> None:
     sig = np.frombuffer(b"".join(sig), dtype=np.uint8).reshape(len(k), 2 * M)
-    out.extend((k[i], k[j]) for i, j in spanning(sig, np.unique(label, return_inverse=True)[1], int(CANDIDATE * M)))
+    _stars(label, spanning(sig, np.unique(label, return_inverse=True)[1], int(CANDIDATE * M)), out)
 
 
 def _longs(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -182,20 +202,20 @@ def _longs(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 
 def _met(members: DataFrame, payload: DataFrame, ids: DataFrame, compared: str, compare) -> DataFrame:
-    """Pairs (a, b) that ``compare`` finds, enough of them to connect all that it would find among all pairs of
-    each group. ``members``: root, k, blocks (into which a group of that size is cut); ``payload``: k, ``compared``;
+    """Pairs (a, b), a the least of some that ``compare`` connects and b another one, enough of them to connect all
+    that it would find among all pairs of each group. ``members``: root, k, blocks (into which a group of that size is cut); ``payload``: k, ``compared``;
     ``ids``: k, id. ``compare`` takes the columns of a cell sorted by side."""
     spark = members.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = ["side", "k", "label", compared]
     found = None
 
-    def of(rows: DataFrame) -> None:
+    def of(rows: DataFrame, fewer=lambda pairs: pairs) -> None:
         nonlocal found
         rows = rows.join(payload, "k").repartition(parts, "root", "x", "y").sortWithinPartitions("root", "x", "y", "side", "k")
         pairs = rows.select("root", "x", "y", *columns).mapInArrow(_cells(columns, compare), "a long, b long")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-        new = common.written(pairs, f"pairs-{compared}")
+        new = common.written(fewer(pairs), f"pairs-{compared}")
         found = new if found is None else found.unionByName(new)
 
     def block(deal) -> Column:
@@ -207,7 +227,8 @@ def _met(members: DataFrame, payload: DataFrame, ids: DataFrame, compared: str,
         members.select("root", "k", "blocks", deal.alias("deal")).select(
             "root", "k", block(F.col("deal")).alias("x"), F.col("deal").cast("long").alias("y"),
             F.lit(0).alias("side"), F.col("k").alias("label"),
-        )
+        ),
+        _fewer,
     )
     large = members.where("blocks > 1")
     if not large.limit(1).count():
@@ -229,9 +250,19 @@ def _met(members: DataFrame, payload: DataFrame, ids: DataFrame, compared: str,
     return found
 
 
+def _fewer(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b), a the lesser, that connect what ``pairs`` do: each b keeps its least a, and the others it
+    has, which near copies have in common, are paired with that one instead. A text has one a for each of its cells
+    at most, so no window is large."""
+    least = F.min("a").over(Window.partitionBy("b"))
+    return pairs.select("a", "b", least.alias("least")).select(
+        F.col("least").alias("a"), F.when(F.col("a") > F.col("least"), F.col("a")).otherwise(F.col("b")).alias("b")
+    ).distinct()
+
+
 def candidates(reps: DataFrame) -> DataFrame:
-    """a, b: distinct pairs of keys of ``reps`` (k, id, sig, bands) that may be alike, enough of them to connect
-    all that share a band and agree in ``CANDIDATE`` of their components."""
+    """a, b: distinct pairs of keys of ``reps`` (k, id, sig, bands) that pairs which may be alike connect, enough of
+    them to connect all that share a band and agree in ``CANDIDATE`` of their components."""
     rows = reps.select("k", F.explode("bands").alias("root"))
     counts = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / HOT).cast("long")
@@ -289,7 +320,7 @@ def linked(shingle: list[np.ndarray], count: list[np.ndarray], first: int, least
 
 
 def _verified(least: float):
-    """Links of a cell that connect all that are linked: of its texts among each other, or, where it has two sides,
+    """Pairs that connect all that are linked in a cell: of its texts among each other, or, where it has two sides,
     of those of side 0 to those of side 1."""
 
     def close(side, k, label, text, out) -> None:
@@ -298,17 +329,18 @@ def _verified(least: float):
             return
         cache = shingles.kept_words()
         sets = [np.unique(shingles.of(shingles.word_hashes(t.split(), cache), SIZE), return_counts=True) for t in text]
-        label = np.unique(label, return_inverse=True)[1]
+        joined, pairs = np.unique(label, return_inverse=True)[1], []
         for i, js in linked(*zip(*sets, strict=True), first, least):
-            while len(js := js[label[js] != label[i]]):
-                out.append((k[i], k[js[0]]))
-                label[label == label[js[0]]] = label[i]
+            while len(js := js[joined[js] != joined[i]]):
+                pairs.append((i, int(js[0])))
+                joined[joined == joined[js[0]]] = joined[i]
+        _stars(label, pairs, out)
 
     return close
 
 
 def links(groups: DataFrame, texts: DataFrame, ids: DataFrame, least: float) -> DataFrame:
-    """(a, b): links that connect all linked texts (k, text) of each group (k, root)."""
+    """(a, b): pairs that connect all linked texts (k, text) of each group (k, root), and no others."""
     members = groups.select("k", "root").join(texts.select("k", F.length("text").alias("chars")), "k")
     size = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("chars") / CHARS), F.lit(1)).cast("long")

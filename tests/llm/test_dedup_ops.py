@@ -214,6 +214,26 @@ def test_near_copies_cost_in_proportion(spark, monkeypatch):
     assert large < 3 * small
 
 
+def test_buckets_of_near_copies_name_the_same_pairs(spark, monkeypatch):
+    """The pairs that components are made of: a few for each near copy, not one for each of its buckets and deals."""
+    rng = random.Random(23)
+    base = [f"w{rng.randrange(3000)}" for _ in range(120)]
+    pairs = [(n, edited(base, rng.sample(range(120), 2), n)) for n in range(240)]
+    monkeypatch.setattr(prob_minhash, "HOT", 60)
+    monkeypatch.setattr(prob_minhash, "BLOCK", 60)
+    rows = []
+    real = prob_minhash.classes
+    monkeypatch.setattr(prob_minhash, "classes", lambda links, ids: rows.append(links.count()) or real(links, ids))
+    assert found_classes(prob_minhash.near_duplicates(documents(spark, pairs))) == brute_classes(pairs)
+    assert max(rows) < 3 * len(pairs)
+
+
+def test_stars_join_labels():
+    out = []
+    prob_minhash._stars((5, 5, 9, 2, 7, 8), [(0, 2), (3, 2), (4, 5)], out)
+    assert sorted(out) == [(2, 5), (2, 9), (7, 8)]
+
+
 def test_chained_edits_over_blocks(spark, monkeypatch):
     """Chains in which only texts a few edits apart are alike, many of them in one bucket, cut into blocks."""
     rng = random.Random(11)
