@@ -37,6 +37,10 @@ COVERED, NEARLY, ANSWER = 0.75, 0.6, 0.8
 MAX_ITEMS = 100_000
 CACHE = 500_000
 AT_ONCE = 25_600
+#: Cells of texts and items that are counted at once.
+COUNTED = 4_000_000
+#: Items whose cosines are computed at once.
+ITEMS = 4_096
 
 
 def normal(word: str) -> str:
@@ -75,34 +79,32 @@ def featured(docs: DataFrame) -> DataFrame:
     return common.written(own.mapInArrow(_ids, f"row {own.schema['row'].dataType.simpleString()}, ids binary"), "features")
 
 
-def _chunks(batch):
-    """Words of a batch's texts in parts of bounded size, with the places where passages begin."""
-    held, starts, size = [], [], 0
+def _padded(batch):
+    """The passages of a batch's texts, one row each, in parts of bounded size; a text's last one is filled up with
+    feature 0."""
+    held, size = [], 0
     for ids in batch.column("ids").to_pylist():
         f = np.frombuffer(ids, dtype=np.uint16)
         for at in range(0, len(f), AT_ONCE):  # a multiple of PASSAGE
             part = f[at : at + AT_ONCE]
-            held.append(part)
-            starts.append(np.arange(size, size + len(part), PASSAGE))
-            size += len(part)
+            held += [part, np.zeros(-len(part) % PASSAGE, dtype=np.uint16)]
+            size += len(part) + len(held[-1])
             if size >= AT_ONCE:
-                yield np.concatenate(held), np.concatenate(starts)
-                held, starts, size = [], [], 0
+                yield np.concatenate(held).reshape(-1, PASSAGE)
+                held, size = [], 0
     if held:
-        yield np.concatenate(held), np.concatenate(starts)
-
-
-def _passage_of(n: int, starts: np.ndarray) -> np.ndarray:
-    return np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
+        yield np.concatenate(held).reshape(-1, PASSAGE)
 
 
 def _frequencies(batches):
     n, total = np.zeros(FEATURES, dtype=np.int64), 0
     for b in batches:
-        for feature, starts in _chunks(b):
-            cells = np.unique(_passage_of(len(feature), starts) * FEATURES + feature)
-            n += np.bincount(cells % FEATURES, minlength=FEATURES)
-            total += len(starts)
+        for feature in _padded(b):
+            feature.sort(axis=1)
+            new = np.ones(feature.shape, dtype=bool)
+            new[:, 1:] = feature[:, 1:] != feature[:, :-1]
+            n += np.bincount(feature[new], minlength=FEATURES)
+            total += len(feature)
     n[0] = total
     at = np.flatnonzero(n)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["feature", "n"])
@@ -115,16 +117,15 @@ def _product(weights, basis):
     def run(batches):
         idf = weights.value
         q = idf[:, None] * basis.value
-        out = np.zeros(q.shape, dtype=np.float32)
+        out = np.zeros(q.shape[::-1])
         for b in batches:
-            for feature, starts in _chunks(b):
-                square = np.maximum(np.add.reduceat(idf[feature] ** 2, starts), 1e-9)
-                row = np.add.reduceat(q[feature], starts) / square[:, None]
-                order = np.argsort(feature, kind="stable")
-                own = feature[order]
-                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                out[own[first]] += np.add.reduceat(row[_passage_of(len(feature), starts)[order]], first)
-        out *= idf[:, None]
+            for feature in _padded(b):
+                square = np.maximum((idf[feature] ** 2).sum(axis=1), 1e-9)
+                rows = (q[feature].sum(axis=1) / square[:, None]).T.astype(np.float64)
+                words = feature.ravel().astype(np.int64)
+                for own, row in zip(out, rows, strict=True):
+                    own += np.bincount(words, weights=np.repeat(row, PASSAGE), minlength=FEATURES)
+        out = np.ascontiguousarray((out * idf).T, dtype=np.float32)
         yield _blocks_batch({i: out[i * BLOCK : i * BLOCK + BLOCK] for i in range(FEATURES // BLOCK)})
 
     return run
@@ -223,6 +224,8 @@ class Items:
         )
         self.posted, self.times = cells % max(len(v), 1), n
         self.start = np.searchsorted(cells, np.arange(FEATURES + 1) * len(v))
+        self.posts = np.diff(self.start) > 0
+        self.posts[0] = False
         self.parts = []  # for each kind of window: numbers and vectors of its items
         for k, (length, _) in enumerate(WINDOWS):
             low = 0 if k == 0 else 0.6 * length * STEP
@@ -234,13 +237,24 @@ class Items:
         """Words of a window in which the item may be."""
         return max(len(self.words[i]) * 5 // 4, 4 * STEP) + 2 * STEP
 
-    def shared(self, ids: np.ndarray) -> np.ndarray:
-        """Numbers of the items of which a text has at least the share ``NEARLY`` of words, in any order."""
-        there, n = np.unique(ids[ids > 0], return_counts=True)
-        many = self.start[there + 1] - self.start[there] if len(there) else n
-        at = np.repeat(self.start[there] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        both = np.bincount(self.posted[at], weights=np.minimum(self.times[at], np.repeat(n, many)), minlength=len(self.size))
-        return np.flatnonzero(both >= NEARLY * self.size - 1e-9)
+    def shared(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Of which items each text has at least the share ``NEARLY`` of words, in any order: text * items + item."""
+        items, out = len(self.size), [np.zeros(0, dtype=np.int64)]
+        at_once = max(1, COUNTED // max(items, 1))
+        for low in range(0, len(texts), at_once):
+            own = texts[low : low + at_once]
+            text = np.repeat(np.arange(len(own)), [len(x) for x in own])
+            ids = np.concatenate(own)
+            posted = self.posts[ids]
+            there, n = np.unique(text[posted] * FEATURES + ids[posted], return_counts=True)
+            text, ids = np.divmod(there, FEATURES)
+            many = self.start[ids + 1] - self.start[ids]
+            at = np.repeat(self.start[ids] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            cell = np.repeat(text * items, many) + self.posted[at]
+            both = np.bincount(cell, weights=np.minimum(self.times[at], np.repeat(n, many)), minlength=len(own) * items)
+            enough = both.reshape(len(own), items) >= NEARLY * self.size - 1e-9
+            out.append(np.flatnonzero(enough) + low * items)
+        return np.concatenate(out)
 
     def windows(self, i: int, ids: np.ndarray) -> list[tuple[int, int]]:
         """Windows of the text, one of which holds each run of ``reach`` words that may be a leak of the item."""
@@ -265,51 +279,89 @@ class Items:
         return share, answered, share >= COVERED or share >= NEARLY and answered >= ANSWER
 
 
-def leaks_of(text: str, ids: np.ndarray, space: np.ndarray, items: Items, cosine: float):
-    """(item number, cosine, share, answer's share) of the best window of each item found in the text."""
-    if not len(ids) or not len(items.ids):
-        return []
-    words: list[str] = []  # only of texts with a candidate
-
-    def normal_words(start: int, end: int) -> list[str]:
-        if not words:
-            words.extend(text.split())
-        return [x for word in words[start:end] if (x := normal(word))]
-
-    found: dict[int, tuple[float, float, float]] = {}
-    reach = WINDOWS[-1][0] * STEP
-    for base in range(0, len(ids), AT_ONCE):  # with enough of what follows for windows that begin here
-        part = ids[base : base + AT_ONCE + reach]
-        steps = np.add.reduceat(space[part], np.arange(0, len(part), STEP), axis=0)
-        sums = np.concatenate([np.zeros((1, space.shape[1]), np.float32), np.cumsum(steps, axis=0)])
-        for (length, stride), (own, vectors) in zip(WINDOWS, items.parts, strict=True):
-            first = np.arange(0, max(len(steps) - length, 0) + stride, stride)
-            first = np.minimum(first, max(len(steps) - length, 0))
-            last = np.minimum(first + length, len(steps))
-            v = sums[last] - sums[first]
-            norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-9)
-            for lo in range(0, len(own), 4096):
-                like = v @ vectors[:, lo : lo + 4096]
-                for w, j in np.argwhere(like >= cosine * norm[:, None]).tolist():
-                    i = int(own[lo + j])
-                    more = STEP + max(0, (len(items.words[i]) - length * STEP + 1) // 2)
-                    start, end = max(base + int(first[w]) * STEP - more, 0), base + int(last[w]) * STEP + more
-                    if not items.may_be(i, ids[start:end].tolist()):
-                        continue
-                    share, answered, leak = items.check(i, normal_words(start, end))
-                    if leak and share > found.get(i, (0, 0))[1]:
-                        found[i] = (float(like[w, j] / norm[w]), share, answered)
-    for i in items.shared(ids).tolist():
-        for start, end in items.windows(i, ids):
-            if found.get(i, (0, 0))[1] == 1:
+def _similar(parts: list[np.ndarray], space: np.ndarray, items: Items, cosine: float):
+    """For windows of ``parts``, the features of some texts, and items that reach ``cosine``: part, item, cosine, first and
+    last step of the window, number of its kind."""
+    filled = [np.concatenate([x, np.zeros(-len(x) % STEP, dtype=np.uint16)]) for x in parts]
+    steps = space[np.concatenate(filled)].reshape(-1, STEP, space.shape[1]).sum(axis=1)
+    sums = np.concatenate([np.zeros((1, space.shape[1])), np.cumsum(steps, axis=0, dtype=np.float64)])
+    n = np.array([len(x) // STEP for x in filled])
+    begin = np.cumsum(n) - n
+    for kind, ((length, stride), (own, vectors)) in enumerate(zip(WINDOWS, items.parts, strict=True)):
+        end = np.maximum(n - length, 0)
+        many = -(-end // stride) + 1
+        part = np.repeat(np.arange(len(parts)), many)
+        first = np.minimum((np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)) * stride, end[part])
+        last = np.minimum(first + length, n[part])
+        v = (sums[begin[part] + last] - sums[begin[part] + first]).astype(np.float32)
+        norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-9)
+        for lo in range(0, len(own), ITEMS):
+            like = v @ vectors[:, lo : lo + ITEMS]
+            w, j = np.divmod(np.flatnonzero(like >= cosine * norm[:, None]), like.shape[1])
+            yield part[w], own[lo + j], like[w, j] / norm[w], first[w], last[w], kind
+
+
+def _parts(ids: list[np.ndarray]):
+    """Texts in parts of ``AT_ONCE`` words, with enough of what follows for windows that begin in each: lists of (text,
+    first word, features), of about as many words together."""
+    reach, held, size = WINDOWS[-1][0] * STEP, [], 0
+    for text, own in enumerate(ids):
+        for base in range(0, len(own), AT_ONCE):
+            held.append((text, base, own[base : base + AT_ONCE + reach]))
+            size += len(held[-1][2])
+            if size >= AT_ONCE:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def all_leaks(texts: list[str], ids: list[np.ndarray], space: np.ndarray, items: Items, cosine: float):
+    """For each text (item number, cosine, share, answer's share) of the best window of each item found in it."""
+    found: list[dict[int, tuple[float, float, float]]] = [{} for _ in texts]
+    if not items.ids or not texts:
+        return [[] for _ in texts]
+    words: dict[int, list[str]] = {}  # of the last few texts with a candidate
+
+    def normal_words(text: int, start: int, end: int) -> list[str]:
+        if text not in words:
+            if len(words) >= 16:
+                words.clear()
+            words[text] = texts[text].split()
+        return [x for word in words[text][start:end] if (x := normal(word))]
+
+    shared = items.shared(ids)
+    for parts in _parts(ids):
+        text_of, base_of = (np.array(x) for x in list(zip(*parts, strict=True))[:2])
+        for part, item, like, first, last, kind in _similar([x for *_, x in parts], space, items, cosine):
+            # an item of which the text lacks words cannot be in any of its windows
+            cell = text_of[part] * len(items.ids) + item
+            may = np.searchsorted(shared, cell, side="right") > np.searchsorted(shared, cell)
+            rows = zip(*(x[may].tolist() for x in (text_of[part], base_of[part], item, like, first, last)), strict=True)
+            for text, base, i, alike, begin, end in rows:
+                more = STEP + max(0, (len(items.words[i]) - WINDOWS[kind][0] * STEP + 1) // 2)
+                begin, end = max(base + begin * STEP - more, 0), base + end * STEP + more
+                if not items.may_be(i, ids[text][begin:end].tolist()):
+                    continue
+                share, answered, leak = items.check(i, normal_words(text, begin, end))
+                if leak and share > found[text].get(i, (0, 0))[1]:
+                    found[text][i] = (alike, share, answered)
+    for text, i in zip(*(x.tolist() for x in np.divmod(shared, len(items.ids))), strict=True):
+        for begin, end in items.windows(i, ids[text]):
+            if found[text].get(i, (0, 0))[1] == 1:
                 break
-            if not items.may_be(i, ids[start:end].tolist()):
+            if not items.may_be(i, ids[text][begin:end].tolist()):
                 continue
-            share, answered, leak = items.check(i, normal_words(start, end))
-            if leak and share > found.get(i, (0, 0))[1]:
-                v = space[ids[start:end]].sum(axis=0)
-                found[i] = (float(v @ items.vectors[i] / max(np.linalg.norm(v), 1e-9)), share, answered)
-    return [(i, *x) for i, x in sorted(found.items())]
+            share, answered, leak = items.check(i, normal_words(text, begin, end))
+            if leak and share > found[text].get(i, (0, 0))[1]:
+                v = space[ids[text][begin:end]].sum(axis=0)
+                found[text][i] = (float(v @ items.vectors[i] / max(np.linalg.norm(v), 1e-9)), share, answered)
+    return [[(i, *x) for i, x in sorted(own.items())] for own in found]
+
+
+def leaks_of(text: str, ids: np.ndarray, space: np.ndarray, items: Items, cosine: float):
+    """The leaks of one text."""
+    return all_leaks([text], [ids], space, items, cosine)[0]
 
 
 LEAKS = "array<struct<item_id: long, cosine: double, covered: double, answered: double>>"
@@ -335,10 +387,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) ->
         names = ("cosine", "covered", "answered")
         kind = pa.list_(pa.struct([("item_id", pa.int64()), *((c, pa.float64()) for c in names)]))
         for b in batches:
-            texts, out = b.column("row").field("text").to_pylist(), []
-            for t, own in zip(texts, b.column("ids").to_pylist(), strict=True):
-                found = leaks_of(t or "", np.frombuffer(own, dtype=np.uint16), space, items, cosine)
-                out.append([{"item_id": items.ids[i], **dict(zip(names, x, strict=True))} for i, *x in found])
+            texts = [t or "" for t in b.column("row").field("text").to_pylist()]
+            features = [np.frombuffer(own, dtype=np.uint16) for own in b.column("ids").to_pylist()]
+            found = all_leaks(texts, features, space, items, cosine)
+            out = [[{"item_id": items.ids[i], **dict(zip(names, x, strict=True))} for i, *x in own] for own in found]
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, kind)], ["row", "leaks"])
 
     return ids.mapInArrow(run, f"row {ids.schema['row'].dataType.simpleString()}, leaks {LEAKS}")

@@ -156,6 +156,30 @@ def test_leaks_of_any_length_equal_brute_force():
     assert recall >= 63
 
 
+def test_only_items_whose_words_a_text_has_are_checked(monkeypatch):
+    """Texts searched together give what each gives alone, over several parts too; a likeness without shared words
+    costs no check."""
+    rng = random.Random(10)
+    words = [f"{a}{b}{c}" for a in "klmnprst" for b in "aeiou" for c in "rstmn"]
+    items_text = [(n, " ".join(rng.choices(words, k=n))) for n in (12, 30, 45)]
+    docs = [" ".join(rng.choices([f"{w}x" for w in words], k=rng.randrange(1, 90))) for _ in range(40)] + ["", "."]
+    docs[7] += " " + items_text[1][1]
+    docs[9] = " ".join([docs[3]] * 12 + [items_text[2][1], docs[4]])
+    space = np.ones((decontaminate.FEATURES, 56), dtype=np.float32)  # all are alike
+    space[0] = 0
+    items, features = decontaminate.Items(items_text, space), decontaminate.Features()
+    ids = [features.of(t.split()) for t in docs]
+    monkeypatch.setattr(decontaminate, "AT_ONCE", 320)
+    alone = [decontaminate.leaks_of(t, f, space, items, 0.6) for t, f in zip(docs, ids, strict=True)]
+    calls = []
+    real = decontaminate.Items.may_be
+    monkeypatch.setattr(decontaminate.Items, "may_be", lambda self, i, window: calls.append(i) or real(self, i, window))
+    together = decontaminate.all_leaks(docs, ids, space, items, 0.6)
+    assert [[x[0] for x in own] for own in together] == [[x[0] for x in own] for own in alone]
+    assert {n: [x[0] for x in own] for n, own in enumerate(together) if own} == {7: [1], 9: [2]}
+    assert not {0} & set(calls)
+
+
 def test_fold_is_the_svd(spark):
     """Latent vectors of passages agree with a dense SVD of the same matrix, up to rotation in sign."""
     docs, _, _ = leak_cases()
