@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import json
 import re
-from itertools import chain
+import string
+from itertools import chain, filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .token_counts import groups, pre_tokens, splitter, tokenizer
+from .token_counts import pattern, pre_tokens, splitter, tokenizer
 
 #: No pair: over every (rank, position).
 NONE = 1 << 62
@@ -35,7 +36,32 @@ LONGEST = 64
 #: Bytes of output after which a batch ends, so that batches of long texts stay small.
 BATCH_BYTES = 8 << 20
 
+#: Before a stretch that has no space before it. No text holds a surrogate.
+BARE = "\ud800"
+
+#: Marks that are a pre-token of their own behind letters, at the end of a stretch.
+MARKS = {*string.punctuation}
+
 _space = re.compile(r"\s")
+_run = re.compile(r"\s\s")
+_before_run = re.compile(r"(?<=\S)(?=[ \n])")
+
+
+def stretches(text: str) -> list[str]:
+    """The text cut before spaces and line breaks that follow something else than white space. No pre-token reaches
+    over such a place, and none depends on what is before it. A space that begins a stretch is left out, a line break
+    stays, and any other stretch stands behind ``BARE``: ``whole`` gives them back."""
+    if not _run.search(text):
+        first, *rest = (text.replace("\n", " \n") if "\n" in text else text).split(" ")
+    else:
+        first, *rest = _before_run.split(text)
+        rest = [BARE + x if x.startswith(" \n") else x[1:] if x[0] == " " else x for x in rest]
+    return [BARE + first, *rest]
+
+
+def whole(stretch: str) -> str:
+    lead = stretch[:1]
+    return stretch[1:] if lead == BARE else stretch if lead == "\n" else " " + stretch
 
 
 def byte_letters() -> list[str]:
@@ -176,6 +202,20 @@ def merge_side_by_side(symbols: np.ndarray, pairs: Pairs) -> np.ndarray:
                 paths[p] = at >> 1
 
 
+def letters_first(pattern: str) -> str | None:
+    """What may stand before letters in a pre-token ("" or " ?") where a pattern takes all letters in a row, as its first
+    choice but for strings that begin with an apostrophe; None if it isn't known to."""
+    choice = next((x for x in pattern.split("|") if not x.startswith("'")), "")
+    return {r"[\p{L}]+": "", r"\p{L}+": "", r" ?\p{L}+": " ?"}.get(choice)
+
+
+def lowers_ascii(normalizer: dict | None) -> bool:
+    """Whether a normalizer makes ASCII letters small and changes no other ASCII character but white space."""
+    steps = (normalizer or {}).get("normalizers", [normalizer or {}])
+    space = lambda s: s.get("type") == "Replace" and s["pattern"] == {"Regex": r"\s+"}
+    return {"type": "Lowercase"} in steps and all(s in ({"type": "Lowercase"}, {"type": "NFC"}) or space(s) for s in steps)
+
+
 class Vocabulary:
     """A byte-level BPE file of the library ``tokenizers``: its symbols, pair ranks, special
     strings and tokens. White space is either dropped by the pre-tokenizer or part of tokens.
@@ -197,16 +237,20 @@ class Vocabulary:
         parts = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.pairs = Pairs([(ids[a], ids[b]) for a, b in parts], [ids[a + b] for a, b in parts])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        if any("<" not in s for s in self.special):  # what they are looked for by
-            raise ValueError(f"{path}: a special string without '<'")
+        if any("<" not in s or _space.search(s) for s in self.special):  # what they are looked for by, and cut at
+            raise ValueError(f"{path}: a special string without '<' or with white space")
         by_length = sorted(self.special, key=len, reverse=True)
         found = "(" + "|".join(map(regex.escape, by_length)) + ")"
         self.at_special = regex.compile(found) if special and by_length else None
         self.token_of = {i: t for t, i in ids.items()} | {i: t for t, i in self.special.items()}
         self.split, self.find = splitter(path), pre_tokens(path)
         self.normalizer = tokenizer(path).normalizer
+        self.lowers_ascii = lowers_ascii(spec.get("normalizer"))
+        self.letters_first = letters_first(pattern(spec))
         steps = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
         self.drops_space = any(s["type"] == "Split" and s["behavior"] == "Removed" for s in steps)
+        #: A line break is as good as a space where the normalizer makes it one.
+        self.joins_lines = self.drops_space and self.normalizer is not None and self.normalizer.normalize_str("\n") == " "
         decoder = spec.get("decoder")
         if decoder and decoder["type"] != "ByteLevel":
             raise ValueError(f"{path}: no decoder of type {decoder['type']}")
@@ -216,59 +260,72 @@ class Vocabulary:
     def pre_tokens(self, pieces: list[str]) -> dict[str, bytes]:
         """The ids of each pre-token, little-endian unsigned 32-bit."""
         out: dict[str, bytes] = {}
-        rows: dict[int, list[tuple[str, bytes]]] = {}
-        for piece in pieces:
-            raw = piece.encode("utf-8")
-            if len(raw) > SIDE_BY_SIDE:
-                symbols = self.inner[np.frombuffer(raw, np.uint8)]
-                symbols[-1] = self.last[raw[-1]]
-                out[piece] = np.array(merge(symbols.tolist(), self.pairs), dtype="<u4").tobytes()
-            else:
-                rows.setdefault((len(raw) - 2).bit_length() if len(raw) > 1 else 0, []).append((piece, raw))
-        for own in rows.values():  # trees of one size
-            lengths = np.array([len(raw) for _, raw in own])
-            n = int(lengths.max())
-            held = np.arange(n) < lengths[:, None]
-            symbols = np.full((len(own), n), -1, dtype=np.int64)
-            flat = np.frombuffer(b"".join(raw for _, raw in own), np.uint8)
-            symbols[held] = self.inner[flat]
-            symbols[np.arange(len(own)), lengths - 1] = self.last[flat[np.cumsum(lengths) - 1]]
+        raws = list(map(str.encode, pieces))
+        length = np.fromiter(map(len, raws), np.int64, len(raws))
+        for i in np.flatnonzero(length > SIDE_BY_SIDE).tolist():
+            symbols = self.inner[np.frombuffer(raws[i], np.uint8)]
+            symbols[-1] = self.last[raws[i][-1]]
+            out[pieces[i]] = np.array(merge(symbols.tolist(), self.pairs), dtype="<u4").tobytes()
+        flat, start = np.frombuffer(b"".join(raws), np.uint8), np.cumsum(length) - length
+        low = 0
+        while low < SIDE_BY_SIDE:  # trees of one size: of up to 2, 3, 5, 9, ... symbols
+            high = min(low + max(low - 1, 1), SIDE_BY_SIDE) if low else 2
+            own = np.flatnonzero((length > low) & (length <= high))
+            low = high
+            if not len(own):
+                continue
+            lengths = length[own]
+            held = np.arange(lengths.max()) < lengths[:, None]
+            symbols = np.full(held.shape, -1, dtype=np.int64)
+            symbols[held] = self.inner[flat[(start[own, None] + np.arange(lengths.max()))[held]]]
+            symbols[np.arange(len(own)), lengths - 1] = self.last[flat[start[own] + lengths - 1]]
             symbols = merge_side_by_side(symbols, self.pairs)
             left = symbols >= 0
-            ids, ends = symbols[left].astype("<u4").tobytes(), np.cumsum(left.sum(axis=1)) * 4
-            at = 0
-            for (piece, _), stop in zip(own, ends.tolist(), strict=True):
-                out[piece] = ids[at:stop]
-                at = stop
+            ids, ends = symbols[left].astype("<u4").tobytes(), (np.cumsum(left.sum(axis=1)) * 4).tolist()
+            out.update(zip(map(pieces.__getitem__, own.tolist()), map(ids.__getitem__, map(slice, [0, *ends], ends)), strict=True))
         return out
 
-    def splits(self, stretches: list[str]) -> list[list[str | int]]:
-        """The pre-tokens and special ids of stretches of text."""
-        plain = self._normalised(stretches)
-        out: list[list[str | int]] = []
-        for s in stretches:
-            parts = self.at_special.split(s) if self.at_special and "<" in s else [s]
-            if len(parts) == 1:
-                out.append(self.find(plain[s]))
+    def splits(self, stretches: list[str]) -> list[str | list[str | int]]:
+        """The pre-tokens and special ids of stretches of text; a single pre-token by itself."""
+        out: list[str | list[str | int]] = []
+        lead = " " if self.letters_first == " ?" else ""
+        simple = self.letters_first is not None
+        for s, plain in zip(stretches, self._normalised(stretches), strict=True):
+            if self.at_special and "<" in s and len(parts := self.at_special.split(s)) > 1:
+                own: list[str | int] = []
+                for i, part in enumerate(parts):
+                    if i % 2:  # what split() kept: a special string
+                        own.append(self.special[part])
+                    else:
+                        own.extend(self.split(part))
+                out.append(own)
                 continue
-            own: list[str | int] = []
-            for i, part in enumerate(parts):
-                if i % 2:  # what split() kept: a special string
-                    own.append(self.special[part])
-                else:
-                    own.extend(self.split(part))
-            out.append(own)
+            word = plain[1:] if lead and plain[:1] == lead else plain
+            if simple and word.isalpha():
+                out.append(plain)
+            elif simple and word[-1:] in MARKS and word[:-1].isalpha():
+                out.append([plain[:-1], plain[-1]])
+            else:
+                out.append(self.find(plain))
         return out
 
-    def _normalised(self, stretches: list[str]) -> dict[str, str]:
+    def _normalised(self, stretches: list[str]) -> list[str]:
         """What has no white space goes through the library in one string, joined by spaces, which no step of
         a normalizer reaches across."""
         if self.normalizer is None:
-            return dict(zip(stretches, stretches, strict=True))
-        together = [s for s in stretches if s and not _space.search(s)]
-        parts = self.normalizer.normalize_str(" ".join(together)).split(" ")
-        done = dict(zip(together, parts, strict=True)) if len(parts) == len(together) else {}
-        return done | {s: self.normalizer.normalize_str(s) for s in stretches if s not in done}
+            return stretches
+        if " ".join(stretches).split() != stretches:
+            plain = [s for s in stretches if s and not _space.search(s)]
+            done = dict(zip(plain, self._normalised(plain), strict=True))
+            return [done[s] if s in done else self.normalizer.normalize_str(s) for s in stretches]
+        rest = [s for s in stretches if not s.isascii()] if self.lowers_ascii else stretches
+        parts = self.normalizer.normalize_str(" ".join(rest)).split(" ") if rest else []
+        if len(parts) != len(rest):
+            parts = list(map(self.normalizer.normalize_str, rest))
+        if rest is stretches:
+            return parts
+        other = iter(parts)
+        return [s.lower() if s.isascii() else next(other) for s in stretches]
 
     def decode(self, ids: list[int]) -> str:
         """As the library without skipping special tokens. Without a decoder in the file tokens are
@@ -284,13 +341,13 @@ class Vocabulary:
 
 
 class Encoder:
-    """Whole texts to ids, group by group between spaces. What a batch needs and is not yet known, groups
-    first and then their pre-tokens, is worked out for the whole batch at once."""
+    """Whole texts to ids, group by group between spaces and line breaks. What a batch needs and is not yet known,
+    groups first and then their pre-tokens, is worked out for the whole batch at once."""
 
     def __init__(self, path: str, special: bool = True) -> None:
         self.vocabulary = Vocabulary(path, special)
         self.pieces = Recent()
-        self.known = {"": Recent(), " ": Recent()}  # by what stands before the group
+        self.known = {"": Recent()}
 
     def many(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -304,21 +361,24 @@ class Encoder:
         return out
 
     def _chunk(self, texts: list[str]) -> list[bytes]:
-        if self.vocabulary.drops_space:
-            return self._looked_up("", [t.split(" ") for t in texts])
-        cut = [groups(t) for t in texts]
-        heads = self._looked_up("", [[first] for first, _ in cut])
-        return list(map(bytes.__add__, heads, self._looked_up(" ", [rest for _, rest in cut])))
-
-    def _looked_up(self, lead: str, lists: list[list[str]]) -> list[bytes]:
-        return look_up(self.known[lead], lists, lambda new: self._encoded([lead + g for g in new]))
+        known, v = self.known[""], self.vocabulary
+        if not v.drops_space:
+            return look_up(known, list(map(stretches, texts)), lambda new: self._encoded(list(map(whole, new))))
+        if v.joins_lines:
+            texts = [t.replace("\n", " ") for t in texts]
+        return look_up(known, [t.split(" ") for t in texts], self._encoded)
 
     def _encoded(self, stretches: list[str]) -> list[bytes]:
         split = self.vocabulary.splits(stretches)
-        unseen = self.pieces.missing({p for own in split for p in own if p.__class__ is str})
+        wanted = {p for own in split if own.__class__ is list for p in own if p.__class__ is str}
+        wanted.update(own for own in split if own.__class__ is str)
+        unseen = self.pieces.missing(wanted)
         ids = self.pieces.used
         ids.update(self.vocabulary.pre_tokens(unseen))
-        out = [b"".join([ids[p] if p.__class__ is str else p.to_bytes(4, "little") for p in own]) for own in split]
+        out = [
+            ids[own] if own.__class__ is str else b"".join([ids[p] if p.__class__ is str else p.to_bytes(4, "little") for p in own])
+            for own in split
+        ]
         self.pieces.forget(unseen)
         return out
 
@@ -334,25 +394,24 @@ class Recent:
     def __len__(self) -> int:
         return len(self.used) + len(self.before)
 
-    def missing(self, wanted: set[str]) -> list[str]:
-        """Those of ``wanted`` that are to be worked out; all others are in ``used`` then."""
+    def missing(self, wanted) -> list[str]:
+        """Those of ``wanted`` that are to be worked out, each once; all others are in ``used`` then."""
         if len(self.used) > CACHE // 2:
             self.used, self.before = {}, self.used
-        new = wanted - self.used.keys()
+        new = set(filterfalse(self.used.__contains__, wanted))
         again = new & self.before.keys()
         self.used.update((k, self.before[k]) for k in again)
         return list(new - again)
 
     def forget(self, new: list[str]) -> None:
         """Long entries aren't kept."""
-        for key in new:
-            if len(key) > LONGEST:
-                del self.used[key]
+        for key in [key for key in new if len(key) > LONGEST]:
+            del self.used[key]
 
 
 def look_up(known: Recent, lists: list[list[str]], encoded) -> list[bytes]:
     """The joined ids of each list of groups; those not ``known`` come from ``encoded`` in one call."""
-    new = known.missing(set().union(*lists))
+    new = known.missing(chain.from_iterable(lists))
     if new:
         known.used.update(zip(new, encoded(new), strict=True))
     out = [b"".join(map(known.used.__getitem__, own)) for own in lists]

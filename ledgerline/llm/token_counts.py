@@ -101,6 +101,14 @@ def tokenizer(path: str):
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def pattern(spec: dict) -> str:
+    """The pattern by which the pre-tokenizer of a vocabulary file cuts."""
+    pre = spec["pre_tokenizer"]
+    steps = pre.get("pretokenizers", [pre])
+    own = [x["pattern"]["Regex"] for x in steps if x["type"] == "Split"]
+    return own[0] if own else BYTE_LEVEL
+
+
 def pre_tokens(path: str):
     """Normalised text to pre-tokens, by the vocabulary file's own pattern."""
     import json
@@ -108,10 +116,7 @@ def pre_tokens(path: str):
     import regex
 
     with open(path, encoding="utf-8") as f:
-        pre = json.load(f)["pre_tokenizer"]
-    steps = pre.get("pretokenizers", [pre])
-    own = [x["pattern"]["Regex"] for x in steps if x["type"] == "Split"]
-    return regex.compile(own[0] if own else BYTE_LEVEL).findall
+        return regex.compile(pattern(json.load(f))).findall
 
 
 def splitter(path: str):

@@ -99,6 +99,22 @@ def test_caches_stay_bounded(monkeypatch):
         assert "y" * 200 not in encoder.pieces.used
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_lines_are_cut_like_words(file):
+    """Words at the ends of lines are looked up like others; runs of white space stay as the library has them."""
+    path = public_tokenizers.path(file)
+    encoder, t = bpe.Encoder(path), Tokenizer.from_file(path)
+    lines = "\n".join(f"Word{i % 7}, other" for i in range(300))
+    (got,) = encoder.many([lines])
+    assert list(memoryview(got).cast("I")) == t.encode(lines, add_special_tokens=False).ids
+    assert len(encoder.known[""]) < 30
+    rng = random.Random(8)
+    marks = ["\n", " ", "\n\n", "\r\n", "\t", "a", "É", "ß,", "\n'", "don't", "x'", "'s", "12", "\x1c", "\u0301", "<|endoftext|>", "\u212a", "क़", "..."]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    for text, got in zip(texts, encoder.many(texts), strict=True):
+        assert list(memoryview(got).cast("I")) == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_one_long_pre_token_is_not_quadratic(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     text = "".join(random.Random(1).choice("abcde") for _ in range(300_000))
