@@ -104,7 +104,7 @@ def test_lines_are_cut_like_words(file):
     """Words at the ends of lines are looked up like others; runs of white space stay as the library has them."""
     path = public_tokenizers.path(file)
     encoder, t = bpe.Encoder(path), Tokenizer.from_file(path)
-    lines = "\n".join(f"Word{i % 7}, other" for i in range(300))
+    lines = "\n".join(f"Word{i % 7}, other{i % 6}" for i in range(300))
     (got,) = encoder.many([lines])
     assert list(memoryview(got).cast("I")) == t.encode(lines, add_special_tokens=False).ids
     assert len(encoder.known[""]) < 30
