@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import re
 import string
-from itertools import chain, filterfalse
+from itertools import accumulate, chain, filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -340,14 +340,28 @@ class Vocabulary:
         return token.encode("utf-8") if token in self.special else bytes(map(self.byte_of.__getitem__, token))
 
 
+def small_ascii(text: str) -> str:
+    """The text with small ASCII letters, where a normalizer that makes them small gives the same for both. Not so where
+    a capital may stand in a special string, or before a mark that only its small letter is composed with (U+0300 to
+    U+036F, whose first byte is 0xCC or 0xCD)."""
+    if "<" in text:
+        return text
+    if text.isascii():
+        return text.lower()
+    raw = text.encode()
+    return text if b"\xcc" in raw or b"\xcd" in raw else raw.lower().decode()
+
+
 class Encoder:
     """Whole texts to ids, group by group between spaces and line breaks. What a batch needs and is not yet known,
     groups first and then their pre-tokens, is worked out for the whole batch at once."""
 
     def __init__(self, path: str, special: bool = True) -> None:
-        self.vocabulary = Vocabulary(path, special)
+        self.vocabulary = v = Vocabulary(path, special)
+        #: Whether an ASCII pre-token is as good as the group that it makes alone; then groups' place keeps both.
+        self.shared = v.drops_space and v.lowers_ascii
         self.pieces = Recent()
-        self.known = {"": Recent()}
+        self.known = {"": Recent(2 if self.shared else 1)}
 
     def many(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -362,6 +376,8 @@ class Encoder:
 
     def _chunk(self, texts: list[str]) -> list[bytes]:
         known, v = self.known[""], self.vocabulary
+        if v.lowers_ascii:
+            texts = list(map(small_ascii, texts))
         if not v.drops_space:
             return look_up(known, list(map(stretches, texts)), lambda new: self._encoded(list(map(whole, new))))
         if v.joins_lines:
@@ -372,32 +388,43 @@ class Encoder:
         split = self.vocabulary.splits(stretches)
         wanted = {p for own in split if own.__class__ is list for p in own if p.__class__ is str}
         wanted.update(own for own in split if own.__class__ is str)
-        unseen = self.pieces.missing(wanted)
-        ids = self.pieces.used
-        ids.update(self.vocabulary.pre_tokens(unseen))
-        out = [
+        self.pieces.turn()
+        as_groups = set(filter(str.isascii, wanted)) if self.shared else set()
+        ids: dict[str, bytes] = {}
+        unseen = []
+        for cache, own in ((self.known[""], as_groups), (self.pieces, wanted - as_groups)):
+            new = cache.missing(own)
+            own.difference_update(new)
+            ids.update(zip(own, map(cache.used.__getitem__, own), strict=True))
+            unseen.append((cache, new))
+        ids.update(self.vocabulary.pre_tokens([p for _, new in unseen for p in new]))
+        for cache, new in unseen:
+            short = [p for p in new if len(p) <= LONGEST]
+            cache.used.update(zip(short, map(ids.__getitem__, short), strict=True))
+        return [
             ids[own] if own.__class__ is str else b"".join([ids[p] if p.__class__ is str else p.to_bytes(4, "little") for p in own])
             for own in split
         ]
-        self.pieces.forget(unseen)
-        return out
 
 
 class Recent:
-    """What was looked up lately, in two generations: once the younger has half of ``CACHE`` entries it becomes
-    the older, whose entries go with the next turn unless they are used again."""
+    """What was looked up lately, in two generations: once the younger has half of ``CACHE`` entries (of ``kinds``
+    times ``CACHE``) it becomes the older, whose entries go with the next turn unless they are used again."""
 
-    def __init__(self) -> None:
+    def __init__(self, kinds: int = 1) -> None:
+        self.kinds = kinds
         self.used: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
     def __len__(self) -> int:
         return len(self.used) + len(self.before)
 
+    def turn(self) -> None:
+        if len(self.used) > CACHE * self.kinds // 2:
+            self.used, self.before = {}, self.used
+
     def missing(self, wanted) -> list[str]:
         """Those of ``wanted`` that are to be worked out, each once; all others are in ``used`` then."""
-        if len(self.used) > CACHE // 2:
-            self.used, self.before = {}, self.used
         new = set(filterfalse(self.used.__contains__, wanted))
         again = new & self.before.keys()
         self.used.update((k, self.before[k]) for k in again)
@@ -410,13 +437,22 @@ class Recent:
 
 
 def look_up(known: Recent, lists: list[list[str]], encoded) -> list[bytes]:
-    """The joined ids of each list of groups; those not ``known`` come from ``encoded`` in one call."""
-    new = known.missing(chain.from_iterable(lists))
-    if new:
-        known.used.update(zip(new, encoded(new), strict=True))
-    out = [b"".join(map(known.used.__getitem__, own)) for own in lists]
-    known.forget(new)
-    return out
+    """The joined ids of each list of groups; those not ``known`` come from ``encoded`` in one call. A known group
+    is looked up once."""
+    known.turn()
+    flat = list(chain.from_iterable(lists))
+    ids = list(map(known.used.get, flat))
+    lacking = [i for i, own in enumerate(ids) if own is None]
+    if lacking:
+        groups = list(map(flat.__getitem__, lacking))
+        new = known.missing(groups)
+        if new:
+            known.used.update(zip(new, encoded(new), strict=True))
+        for i, own in zip(lacking, map(known.used.__getitem__, groups), strict=True):
+            ids[i] = own
+        known.forget(new)
+    ends = list(accumulate(map(len, lists)))
+    return [b"".join(ids[start:end]) for start, end in zip([0, *ends], ends)]
 
 
 def _batches(rows, names, types):

@@ -115,6 +115,21 @@ def test_lines_are_cut_like_words(file):
         assert list(memoryview(got).cast("I")) == t.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_capitals_share_their_small_letters_entry(file):
+    """Texts with small ASCII letters from the start: one entry for all spellings of a word, and one for a word that is
+    its own pre-token. Special strings and letters that are composed stay as the library has them."""
+    path = public_tokenizers.path(file)
+    encoder, t = bpe.Encoder(path), Tokenizer.from_file(path)
+    odd = ["H\u0331 h\u0331", "<|ENDOFTEXT|> <|endoftext|>A", "\u0130I \u212a \u039f\u03a3A\u03a3", "\u00c9T\u00c9 ABC", "\u1e9e T\u0308 J\u030c\u0323", "A\u0340B"]
+    for text in ["Word WORD word", *odd, *reversed(odd), "word, H\u0331"]:
+        (got,) = encoder.many([text])
+        assert list(memoryview(got).cast("I")) == t.encode(text, add_special_tokens=False).ids, repr(text)
+    encoder = bpe.Encoder(path)
+    encoder.many(["Word WORD word wORD"])
+    assert file != FILES[0] or len(encoder.known[""]) + len(encoder.pieces) == 1
+
+
 def test_one_long_pre_token_is_not_quadratic(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     text = "".join(random.Random(1).choice("abcde") for _ in range(300_000))
