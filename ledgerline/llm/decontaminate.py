@@ -17,6 +17,8 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -43,23 +45,35 @@ COUNTED = 4_000_000
 ITEMS = 4_096
 
 
+#: Each feature as two bytes, of which a worker keeps one copy.
+BYTES = [f.to_bytes(2, sys.byteorder) for f in range(FEATURES)]
+
+
+def small_ascii(text: str) -> str:
+    """The text with small ASCII letters; ``normal`` gives the same for its words, which have fewer spellings."""
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def normal(word: str) -> str:
     return word.strip(".,;:!?|\"'()[]{}<>*_-").lower()
 
 
 class Features(dict):
-    """Raw word to feature; bounded. Marks alone are feature 0, which has no weight."""
+    """Raw word to feature, as two bytes; bounded. Marks alone are feature 0, which has no weight."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str) -> bytes:
         w = normal(word)
         f = 1 + xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) % (FEATURES - 1) if w else 0
         if len(self) >= CACHE:
             self.clear()
-        self[word] = f
-        return f
+        self[word] = BYTES[f]
+        return BYTES[f]
+
+    def bytes_of(self, words: list[str]) -> bytes:
+        return b"".join(map(self.__getitem__, words))
 
     def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint16, count=len(words))
+        return np.frombuffer(self.bytes_of(words), dtype=np.uint16)
 
 
 def _kept_features() -> Features:
@@ -69,7 +83,7 @@ def _kept_features() -> Features:
 def _ids(batches):
     features = _kept_features()
     for b in batches:
-        rows = [features.of(t.split()).tobytes() for t in b.column("text").to_pylist()]
+        rows = [features.bytes_of(small_ascii(t).split()) for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(rows, pa.binary())], ["row", "ids"])
 
 
@@ -196,6 +210,16 @@ def lcs(a: list, b: list) -> int:
     return len(a) - s.bit_count()
 
 
+def _spans(sizes: list[int], most: int):
+    """Consecutive ranges (first, end) of a list whose ``sizes`` add up to ``most``, or a little more."""
+    low, size = 0, 0
+    for i, n in enumerate(sizes):
+        size += n
+        if size >= most or i == len(sizes) - 1:
+            yield low, i + 1
+            low, size = i + 1, 0
+
+
 class Items:
     """Benchmark items with their words, answers and unit latent vectors."""
 
@@ -256,15 +280,22 @@ class Items:
             out.append(np.flatnonzero(enough) + low * items)
         return np.concatenate(out)
 
-    def windows(self, i: int, ids: np.ndarray) -> list[tuple[int, int]]:
-        """Windows of the text, one of which holds each run of ``reach`` words that may be a leak of the item."""
+    def windows(self, i: int, texts: list[np.ndarray]):
+        """For each text its windows, one of which holds each run of ``reach`` words that may be a leak of the item."""
         own = np.zeros(FEATURES, dtype=bool)
         own[self.features[i]] = True
-        upto = np.concatenate([[0], np.cumsum(own[ids])])
-        first = np.arange(0, len(ids), STEP)
-        last = np.minimum(first + self.reach(i) + STEP, len(ids))
-        kept = upto[last] - upto[first] >= NEARLY * len(self.features[i]) - 1e-9
-        return list(zip(first[kept].tolist(), last[kept].tolist(), strict=True))
+        for low, high in _spans([len(x) for x in texts], AT_ONCE):
+            upto = np.concatenate([[0], np.cumsum(own[np.concatenate(texts[low:high])])])
+            length = np.array([len(x) for x in texts[low:high]])
+            begin = np.cumsum(length) - length
+            many = -(-length // STEP)
+            text = np.repeat(np.arange(high - low), many)
+            first = (np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)) * STEP
+            last = np.minimum(first + self.reach(i) + STEP, length[text])
+            kept = np.flatnonzero(upto[begin[text] + last] - upto[begin[text] + first] >= NEARLY * len(self.features[i]) - 1e-9)
+            rows = list(zip(first[kept].tolist(), last[kept].tolist(), strict=True))
+            ends = np.searchsorted(text[kept], np.arange(high - low + 1)).tolist()
+            yield from (rows[x:y] for x, y in zip(ends, ends[1:], strict=False))
 
     def may_be(self, i: int, window: list[int]) -> bool:
         """Whether the window's features allow for a leak: those it has at all, then in order."""
@@ -282,18 +313,29 @@ class Items:
 def _similar(parts: list[np.ndarray], space: np.ndarray, items: Items, cosine: float):
     """For windows of ``parts``, the features of some texts, and items that reach ``cosine``: part, item, cosine, first and
     last step of the window, number of its kind."""
-    filled = [np.concatenate([x, np.zeros(-len(x) % STEP, dtype=np.uint16)]) for x in parts]
-    steps = space[np.concatenate(filled)].reshape(-1, STEP, space.shape[1]).sum(axis=1)
-    sums = np.concatenate([np.zeros((1, space.shape[1])), np.cumsum(steps, axis=0, dtype=np.float64)])
-    n = np.array([len(x) // STEP for x in filled])
-    begin = np.cumsum(n) - n
+    most = max(length for length, _ in WINDOWS)
+    n = np.array([-(-len(x) // STEP) for x in parts])
+    places = np.maximum(n, most)  # a short text is filled up to the longest window, by feature 0, which adds nothing
+    begin = np.cumsum(places) - places
+    filled = np.zeros((places.sum(), STEP), dtype=np.uint16)
+    flat = filled.ravel()
+    for x, at in zip(parts, (begin * STEP).tolist(), strict=True):
+        flat[at : at + len(x)] = x
+    runs = {1: sum(space[filled[:, i]] for i in range(STEP))}  # sums of 1, 2, 4, ... steps from each place
+    while 2 * max(runs) <= most:
+        half = max(runs)
+        runs[2 * half] = runs[half][:-half] + runs[half][half:]
     for kind, ((length, stride), (own, vectors)) in enumerate(zip(WINDOWS, items.parts, strict=True)):
         end = np.maximum(n - length, 0)
         many = -(-end // stride) + 1
         part = np.repeat(np.arange(len(parts)), many)
         first = np.minimum((np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)) * stride, end[part])
         last = np.minimum(first + length, n[part])
-        v = (sums[begin[part] + last] - sums[begin[part] + first]).astype(np.float32)
+        at, v = begin[part] + first, np.zeros((len(part), space.shape[1]), dtype=np.float32)
+        for size in sorted(runs, reverse=True):
+            if length & size:
+                v += runs[size][at]
+                at = at + size
         norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-9)
         for lo in range(0, len(own), ITEMS):
             like = v @ vectors[:, lo : lo + ITEMS]
@@ -308,7 +350,7 @@ def _parts(ids: list[np.ndarray]):
     for text, own in enumerate(ids):
         for base in range(0, len(own), AT_ONCE):
             held.append((text, base, own[base : base + AT_ONCE + reach]))
-            size += len(held[-1][2])
+            size += max(len(held[-1][2]), reach)  # as which a short one counts in ``_similar``
             if size >= AT_ONCE:
                 yield held
                 held, size = [], 0
@@ -346,16 +388,26 @@ def all_leaks(texts: list[str], ids: list[np.ndarray], space: np.ndarray, items:
                 share, answered, leak = items.check(i, normal_words(text, begin, end))
                 if leak and share > found[text].get(i, (0, 0))[1]:
                     found[text][i] = (alike, share, answered)
+    texts_of: dict[int, list[int]] = {}
     for text, i in zip(*(x.tolist() for x in np.divmod(shared, len(items.ids))), strict=True):
-        for begin, end in items.windows(i, ids[text]):
-            if found[text].get(i, (0, 0))[1] == 1:
-                break
-            if not items.may_be(i, ids[text][begin:end].tolist()):
-                continue
-            share, answered, leak = items.check(i, normal_words(text, begin, end))
-            if leak and share > found[text].get(i, (0, 0))[1]:
-                v = space[ids[text][begin:end]].sum(axis=0)
-                found[text][i] = (float(v @ items.vectors[i] / max(np.linalg.norm(v), 1e-9)), share, answered)
+        if found[text].get(i, (0, 0))[1] < 1:
+            texts_of.setdefault(i, []).append(text)
+    windows: dict[int, list] = {}
+    for i, own in texts_of.items():
+        for text, at in zip(own, items.windows(i, [ids[text] for text in own]), strict=True):
+            if at:
+                windows.setdefault(text, []).append((i, at))
+    for text, of_text in sorted(windows.items()):
+        for i, at in of_text:
+            for begin, end in at:
+                if found[text].get(i, (0, 0))[1] == 1:
+                    break
+                if not items.may_be(i, ids[text][begin:end].tolist()):
+                    continue
+                share, answered, leak = items.check(i, normal_words(text, begin, end))
+                if leak and share > found[text].get(i, (0, 0))[1]:
+                    v = space[ids[text][begin:end]].sum(axis=0)
+                    found[text][i] = (float(v @ items.vectors[i] / max(np.linalg.norm(v), 1e-9)), share, answered)
     return [[(i, *x) for i, x in sorted(own.items())] for own in found]
 
 

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 from common_cases import documents
 from pyspark.sql import functions as F
 
@@ -180,6 +181,27 @@ def test_only_items_whose_words_a_text_has_are_checked(monkeypatch):
     assert not {0} & set(calls)
 
 
+def test_words_and_windows_of_a_batch(monkeypatch):
+    """All spellings of a word are one entry; the windows of an item in many texts are those in each."""
+    features = decontaminate.Features()
+    monkeypatch.setattr(decontaminate, "_kept_features", lambda: features)
+    texts = ["Word WORD word", "(\u00c9t\u00e9) \u039f\u03a3A\u03a3 \u212a", ""]
+    (got,) = decontaminate._ids([pa.RecordBatch.from_pylist([{"row": {"doc_id": 1}, "text": t} for t in texts])])
+    assert len(features) == 4
+    want = [decontaminate.Features().of(t.split()).tobytes() for t in texts]
+    assert got.column("ids").to_pylist() == want
+    rng = random.Random(11)
+    words = [f"{a}{b}" for a in "klmnprst" for b in "aeiou"]
+    item = rng.choices(words, k=12)
+    items = decontaminate.Items([(1, " ".join(item))], np.ones((decontaminate.FEATURES, 56), dtype=np.float32))
+    ids = [features.of(rng.choices(words, k=rng.randrange(0, 200)) + item) for _ in range(30)]
+    monkeypatch.setattr(decontaminate, "AT_ONCE", 320)
+    own, reach = set(items.features[0]), items.reach(0) + decontaminate.STEP
+    for text, windows in zip(ids, items.windows(0, ids), strict=True):
+        every = [(x, min(x + reach, len(text))) for x in range(0, len(text), decontaminate.STEP)]
+        assert windows == [(x, y) for x, y in every if sum(f in own for f in text[x:y].tolist()) >= decontaminate.NEARLY * 12 - 1e-9]
+
+
 def test_fold_is_the_svd(spark):
     """Latent vectors of passages agree with a dense SVD of the same matrix, up to rotation in sign."""
     docs, _, _ = leak_cases()
