@@ -10,12 +10,16 @@ and of the paragraph's own, are shared.
 
 Scoring is a join with the table of weights (at most ``VOCABULARY`` n-grams, broadcast).
 Paragraphs without any word of the vocabulary's n-grams have no weight to add; they are
-``unknown`` by the intercepts, and are left out before the join.
+``unknown`` by the intercepts, and are left out before the join. Cutting a line into words
+costs most, so one pattern over whole texts and then lines passes those that may have such
+a word, and only these are cut and looked at.
 """
 
 from __future__ import annotations
 
 import math
+import re
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,10 +107,24 @@ def _templates(spark) -> DataFrame:
     return spark.createDataFrame(rows, "family string, template string").select("family", words(F.col("template")).alias("template"))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """k, paragraph (from 0), w (words) of every line of every text."""
+def may_have(text: Column, vocabulary: list[str]) -> Column:
+    """Whether a text or line may have one of these words: all that have one pass, and few others. A word is never
+    next to a letter or digit that isn't its own."""
+    first = groupby(sorted({w for w in vocabulary if w}), key=lambda w: w[0])
+    choices = [f"{re.escape(c)}(?:{'|'.join(re.escape(w[1:]) for w in own)})" for c, own in first]
+    return F.concat(F.lit(" "), F.lower(text)).rlike(f"[^a-z0-9](?:{'|'.join(choices) or '(?!)'})(?![a-z0-9])")
+
+
+def paragraphs(docs: DataFrame, vocabulary: list[str] | None = None) -> DataFrame:
+    """k, paragraph (from 0), w (words) of every line of every text; with a ``vocabulary``, of those that may have a
+    word of it."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    return docs.select("k", F.posexplode(lines).alias("paragraph", "line")).select("k", "paragraph", words(F.col("line")).alias("w"))
+    if vocabulary is not None:
+        docs = docs.where(may_have(F.col("text"), vocabulary))
+    found = docs.select("k", F.posexplode(lines).alias("paragraph", "line"))
+    if vocabulary is not None:
+        found = found.where(may_have(F.col("line"), vocabulary))
+    return found.select("k", "paragraph", words(F.col("line")).alias("w"))
 
 
 class Model:
@@ -134,7 +152,7 @@ def fit(paras: DataFrame, n_paragraphs: int, copies: int = 40, seed: int = 1) ->
     every = F.broadcast(known.agg(F.collect_list("template").alias("all")))  # one row
     order = F.xxhash64("k", "paragraph")
     negatives = (
-        common.least_hashes(paras.where(F.size("w") > 0), n_paragraphs, order, MAX_NEGATIVES)
+        common.least_hashes(paras, n_paragraphs, order, MAX_NEGATIVES, F.size("w") > 0)
         .join(every)
         .where(~alike)
         .select(F.lit(0.0).alias("label"), "w", order.alias("h"))
@@ -195,11 +213,11 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", common.row_key().alias("k"))
-    paras = paragraphs(docs.select("k", "text").where("text is not null"))
+    texts = docs.select("k", "text").where("text is not null")
     if model is None:  # lines are counted whole; only the sampled ones are cut into words
         with_words = F.filter(F.split("text", "\n", -1), lambda line: line.rlike("[A-Za-z0-9]"))
         count = docs.where("text is not null").agg(F.sum(F.size(with_words))).first()[0]
-        model = fit(paras, count or 0)
+        model = fit(paragraphs(texts), count or 0)
     if not model.weights:
         return spark.createDataFrame([], FOUND)
     n = len(model.intercepts)
@@ -207,8 +225,9 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     for (g, c), x in model.weights.items():
         by_gram.setdefault(g, [0.0] * n)[c] = x
     table = spark.createDataFrame(list(by_gram.items()), "gram string, weights array<double>")  # at most VOCABULARY rows
-    own = F.array(*map(F.lit, model.vocabulary()))
-    near = paras.where(F.arrays_overlap("w", own)).dropDuplicates(["k", "paragraph"])
+    vocabulary = model.vocabulary()
+    own = F.array(*map(F.lit, vocabulary))
+    near = paragraphs(texts, vocabulary).where(F.arrays_overlap("w", own)).dropDuplicates(["k", "paragraph"])
     sums = [F.sum(F.col("weights")[c]).alias(f"s{c}") for c in range(n)]
     scores = (
         near.select("k", "paragraph", F.explode(ngrams(F.col("w"))).alias("gram"))

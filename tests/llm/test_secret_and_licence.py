@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from common_cases import documents
@@ -81,3 +82,28 @@ def test_licences_are_found_and_prose_is_left(spark):
     assert confirmed == want and len(got) <= len(want) * 1.1
     assert all(r["probability"] >= 0.5 for r in got)
     assert license_scan.scan(documents(spark, [])).collect() == []
+
+
+def test_only_lines_that_may_have_a_word_are_cut_into_words(spark):
+    rng = random.Random(5)
+    parts = ["mit", "MIT", "v2.0", "2.0", ".0", "0", ".", "..", "gpl", "é", "-", " ", "  ", "\n", "\t", "(", "x", "\u212a", "is"]
+    pairs = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(1, 12)))) for i in range(3000)]
+    pairs += [(3000 + i, "\n".join(["plain prose of the rest"] * 50)) for i in range(20)] + [(4000, None), (4001, "")]
+    docs = documents(spark, pairs).select("text", F.col("doc_id").alias("k"))
+    for vocabulary in (["mit", "2.0", "gpl"], [".0", "k", "isk"], []):
+        own = F.array(*map(F.lit, vocabulary)).cast("array<string>")
+        every = license_scan.paragraphs(docs)
+        few = license_scan.paragraphs(docs, vocabulary)
+        want, got = (sorted(map(str, x.where(F.arrays_overlap("w", own)).collect())) for x in (every, few))
+        assert got == want and bool(want) == bool(vocabulary)
+        assert few.where("k >= 3000").count() == 0 and few.count() <= 1.5 * len(want)
+
+
+def test_sample_of_usable_rows_is_that_of_the_least_hashes(spark):
+    from ledgerline.llm import common
+
+    df = spark.range(0, 50_000, 1, 40).select("id", F.xxhash64("id").alias("h"))
+    usable = F.col("id") % 3 == 0
+    want = [r["id"] for r in df.where(usable).orderBy("h").limit(300).collect()]
+    got = common.least_hashes(df, df.where(usable).count(), F.col("h"), 300, usable)
+    assert [r["id"] for r in got.orderBy("h").collect()] == want
