@@ -6,6 +6,11 @@ pointers of a batch of texts are doubled at once (``succ = succ[succ]``) until t
 and then name the last token of each token's component. A component ends where both
 sides end, so texts that follow each other in a batch never share one.
 
+Both sides cut a text at the same places first, where a space follows something else than
+white space, and no token of either reaches over one. A batch of texts is so a list of
+stretches, most of which come often: each is encoded and aligned once a batch, and a text's
+row is put together from those of its stretches.
+
 An id pair's count needs the whole corpus. Counts come from one aggregation of the
 documents' distinct pairs; the frequent ones, at most ``HOT_PAIRS``, are looked up in a
 broadcast table, and only the rest is joined by a shuffle. What is left for the join has
@@ -14,6 +19,9 @@ counts below that of every broadcast pair, so no key of it can hold a large shar
 
 from __future__ import annotations
 
+from collections import defaultdict
+from itertools import chain, count
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -21,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .bpe import Encoder, Recent, look_up
+from .bpe import Encoder, Recent
 from .token_counts import groups
 
 #: Bytes of text (as counted in code points) that are aligned at once in a task.
@@ -35,26 +43,29 @@ SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups s
 
 
 class Side:
-    """One tokenizer over space + text: texts to ids (little-endian 32-bit), the bytes of each id, and the ids
-    as text with what may follow them."""
+    """One tokenizer over space + stretch: stretches to ids (little-endian 32-bit), the bytes of each id, and the ids
+    as text with what may follow them. ``cuts``: no token reaches from one stretch into the next."""
 
-    def __init__(self, encode, token_bytes: list[bytes]) -> None:
-        self.encode, self.bytes = encode, token_bytes
+    def __init__(self, encode, token_bytes: list[bytes], cuts: bool = True) -> None:
+        self.encode, self.bytes, self.cuts = encode, token_bytes, cuts
         self.length = np.array([len(x) for x in token_bytes], dtype=np.int64)
         self.then = {c: np.array([f"{i}{c}" for i in range(len(token_bytes))], dtype=object) for c in ",|;"}
 
-    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, one after another, and how many each has."""
-        found = self.encode(texts)
-        return np.frombuffer(b"".join(found), "<u4").astype(np.int64), np.array([len(x) // 4 for x in found], np.int64)
-
-    def exact(self, texts: list[str], tokens: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Whether the joined bytes of each text's tokens are space + text (False for empty texts)."""
-        found, end = tokens.tolist(), np.cumsum(n).tolist()
-        same = np.zeros(len(texts), dtype=bool)
-        for i, text in enumerate(texts):
-            own = found[end[i - 1] if i else 0 : end[i]]
-            same[i] = bool(text) and b"".join(map(self.bytes.__getitem__, own)) == (" " + text).encode()
+    def tokens(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all stretches, one after another, and how many each has."""
+        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), "<u4").astype(np.int64), n
+
+    def joined(self, tokens: np.ndarray) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, tokens.tolist()))
+
+    def exact(self, tokens: np.ndarray, n: np.ndarray, want: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether each stretch's tokens (``n`` of them) join to its own of the bytes ``want`` (``size`` of them)."""
+        sizes = _sums(self.length[tokens], np.cumsum(n))
+        same = sizes == size
+        got = np.frombuffer(self.joined(tokens), np.uint8)
+        wrong = np.flatnonzero(got[np.repeat(same, sizes)] != want[np.repeat(same, size)])
+        same[np.searchsorted(np.cumsum(size * same), wrong, "right")] = False
         return same
 
 
@@ -63,26 +74,25 @@ def byte_level(path: str) -> Side:
     encoder = Encoder(path, special=False)
     v = encoder.vocabulary
     known = [v.token_bytes(i) if i in v.token_of else b"" for i in range(max(v.token_of) + 1)]
-    return Side(lambda texts: encoder.many([" " + x if x else "" for x in texts]), known)
+    return Side(encoder.behind_space, known)
 
 
 def sentence_pieces(path: str) -> Side:
     """A sentencepiece model, which adds the space itself. No piece of a vocabulary without spaces inside pieces
-    reaches from a character over a space, so what lies between is encoded by itself, once."""
+    reaches from a character over a space; with another vocabulary, texts are encoded whole."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
     known = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(pieces)]
     ids = lambda found: np.array(found, "<u4").tobytes()
-    if any("\u2581" in p.lstrip("\u2581") for p in pieces):
-        return Side(lambda texts: list(map(ids, sp.encode(texts, num_threads=1))), known)
-    known_groups, space = Recent(), ids([sp.piece_to_id("\u2581")])
+    cuts = not any("\u2581" in p.lstrip("\u2581") for p in pieces)
+    space = ids([sp.piece_to_id("\u2581")])
 
-    def encoded(new: list[str]) -> list[bytes]:  # an empty group is a single space, which no text stands for
+    def encoded(new: list[str]) -> list[bytes]:  # an empty stretch is a single space, which no text stands for
         return [ids(x) if g else space for g, x in zip(new, sp.encode(new, num_threads=1), strict=True)]
 
-    return Side(lambda texts: look_up(known_groups, [groups(" " + t)[1] if t else [] for t in texts], encoded), known)
+    return Side(encoded, known, cuts)
 
 
 def components(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,32 +150,105 @@ def _written_groups(a, b, group_a, group_b, side_a: Side, side_b: Side) -> np.nd
     return out
 
 
-def _chunk(ids: list, texts: list[str], side_a: Side, side_b: Side) -> pa.RecordBatch:
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (n[0] numbers), then those from start[1] on, ..."""
+    ends = np.cumsum(n)
+    return np.arange(ends[-1] if len(n) else 0) + np.repeat(start - (ends - n), n)
+
+
+def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The sum of the values up to each end, from the end before."""
+    return np.diff(np.concatenate([[0], np.cumsum(values)])[np.concatenate([[0], ends])])
+
+
+def _encoded(stretches: list[str], side_a: Side, side_b: Side, known: Recent) -> tuple:
+    """The ids of different stretches by both sides; ``known`` keeps those of short ones."""
+    known.turn()
+    new = known.missing(stretches)
+    if new:
+        known.used.update(zip(new, zip(side_a.encode(new), side_b.encode(new), strict=True), strict=True))
+    found = list(map(known.used.__getitem__, stretches))
+    known.forget(new)
+    return tuple(zip(*found, strict=True)) or ((), ())
+
+
+def _chunk(ids: list, texts: list[str], side_a: Side, side_b: Side, known: Recent) -> pa.RecordBatch:
     n = len(texts)
-    a, n_a = side_a.tokens(texts)
-    b, n_b = side_b.tokens(texts)
-    same = side_a.exact(texts, a, n_a) & side_b.exact(texts, b, n_b)
-    a, b = a[np.repeat(same, n_a)], b[np.repeat(same, n_b)]
-    n_a, n_b = n_a * same, n_b * same
+    cut = side_a.cuts and side_b.cuts
+    lists = [(groups(" " + t)[1] if cut else [t]) if t else [] for t in texts]
+    number = defaultdict(count().__next__)  # of each different stretch, in the order they come
+    parts = np.array(list(map(number.__getitem__, chain.from_iterable(lists))), np.int64)
+    ends = np.cumsum(np.fromiter(map(len, lists), np.int64, n))
+    stretches = list(number)
+    found = _encoded(stretches, side_a, side_b, known)
+    sides = [(side, *side.tokens(own)) for side, own in zip((side_a, side_b), found, strict=True)]
+    raw = list(map(str.encode, stretches))
+    size = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
+    want = np.frombuffer(b"".join([b" ", b" ".join(raw)])[: int(size.sum())], np.uint8)
+    exact = np.logical_and(*(side.exact(tokens, of, want, size) for side, tokens, of in sides))
+    has = ends > np.concatenate([[0], ends[:-1]])
+    same = has & (_sums(~exact[parts], ends) == 0)
+    stops = [np.cumsum(of) for _, _, of in sides]
+    # a text whose stretches aren't all exact may still be so as a whole: then it is one stretch
+    for i in np.flatnonzero(has & ~same).tolist():
+        own = parts[ends[i] - len(lists[i]) : ends[i]]
+        starts = [stop[own] - of[own] for stop, (_, _, of) in zip(stops, sides, strict=True)]
+        whole = [tokens[_ranges(start, of[own])] for start, (_, tokens, of) in zip(starts, sides, strict=True)]
+        length = size[own].sum()
+        if any(side.length[w].sum() != length for w, (side, _, _) in zip(whole, sides, strict=True)):
+            continue
+        if all(side.joined(w) == (" " + texts[i]).encode() for w, (side, _, _) in zip(whole, sides, strict=True)):
+            sides = [(x, np.append(tokens, w), np.append(of, len(w))) for w, (x, tokens, of) in zip(whole, sides, strict=True)]
+            same[i], exact = True, np.append(exact, True)
+            parts[ends[i] - len(own) : ends[i]] = -1
+            parts[ends[i] - 1] = len(exact) - 1
+    (_, a, a_of), (_, b, b_of) = ((side, t[np.repeat(exact, of)], of * exact) for side, t, of in sides)
+    doc_of = np.repeat(np.arange(n), np.diff(np.concatenate([[0], ends])))
+    held = same[doc_of] & (parts >= 0)
+    parts, doc_of = parts[held], doc_of[held]
+    ends = np.searchsorted(doc_of, np.arange(n), "right")
+    n_a, n_b = _sums(a_of[parts], ends), _sums(b_of[parts], ends)
     n_groups, n_links, written = np.zeros(n, np.int64), np.zeros(n, np.int64), [""] * n
     doc = x = y = times = np.zeros(0, np.int64)
-    if len(a):
+    if len(parts):
         group_a, group_b = components(np.cumsum(side_a.length[a]), np.cumsum(side_b.length[b]))
-        doc_of_group = np.zeros(int(group_b[-1]) + 1, np.int64)
-        doc_of_group[group_a] = np.repeat(np.arange(n), n_a)
-        doc, x, y, times = _links(a, b, group_a, group_b, doc_of_group)
-        n_groups = np.bincount(doc_of_group, minlength=n)
+        part_of_group = np.zeros(int(group_b[-1]) + 1, np.int64)
+        part_of_group[group_a] = np.repeat(np.arange(len(exact)), a_of)
+        n_groups = _sums(np.bincount(part_of_group, minlength=len(exact))[parts], ends)
+        doc, x, y, times = _of_texts(parts, doc_of, *_links(a, b, group_a, group_b, part_of_group), len(exact))
         np.add.at(n_links, doc, times)
-        out = _written_groups(a, b, group_a, group_b, side_a, side_b)
-        ends = np.cumsum(n_a + n_b)
-        for i in np.flatnonzero(n_a):
-            written[i] = "".join(out[ends[i] - n_a[i] - n_b[i] : ends[i]].tolist())[:-1]
+        out = _written_groups(a, b, group_a, group_b, side_a, side_b).tolist()
+        stop = np.cumsum(a_of + b_of).tolist()
+        texts_of = ["".join(out[i:j]) for i, j in zip([0, *stop], stop)]
+        start = 0
+        for i, end in enumerate(ends.tolist()):
+            if end > start:
+                written[i] = "".join(map(texts_of.__getitem__, parts[start:end].tolist()))[:-1]
+            start = end
     offsets = pa.array(np.searchsorted(doc, np.arange(n + 1)), pa.int32())
     lists = [pa.ListArray.from_arrays(offsets, pa.array(v, t)) for v, t in ((x, pa.int32()), (y, pa.int32()), (times, pa.int64()))]
     columns = [pa.array(ids, pa.int64()), *map(pa.array, (n_a, n_b, n_groups, n_links)), pa.array(written, pa.string()), *lists]
     return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SCHEMA.split(", ")])
 
 
+def _of_texts(parts, doc_of, part, a, b, times, n_parts: int):
+    """The linked id pairs of stretches, (part, a, b, times) ordered by part, as those of the texts that hold the
+    stretches: (doc, a, b, times), each once a document, ordered by document."""
+    held, often = np.unique(doc_of * n_parts + parts, return_counts=True)  # a stretch that a text repeats counts so often
+    doc, own = np.divmod(held, n_parts)
+    start = np.searchsorted(part, np.arange(n_parts + 1))
+    n = np.diff(start)[own]
+    at = _ranges(start[own], n)
+    doc, a, b, times = np.repeat(doc, n), a[at], b[at], times[at] * np.repeat(often, n)
+    base = int(b.max()) + 1
+    pair = (doc * (int(a.max()) + 1) + a) * base + b  # well below 2**63: CHUNK / 64 texts, ids of some 17 bits
+    order = np.argsort(pair)
+    pair = pair[order]
+    at = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+    first = order[at]
+    return doc[first], a[first], b[first], np.add.reduceat(times[order], at)
+
+
 def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """For every row of ``docs``: doc_id, n_a, n_b (tokens), n_groups, n_links, groups (``a1,a2|b1;a3|b2``),
     and the linked id pairs a, b with their numbers of links, each pair once.
@@ -177,7 +260,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """
 
     def run(batches):
-        side_a, side_b = common.kept("align", (path_a, path_b), lambda: (byte_level(path_a), sentence_pieces(path_b)))
+        sides = common.kept("align", (path_a, path_b), lambda: (byte_level(path_a), sentence_pieces(path_b), Recent()))
         for batch in batches:
             ids, texts, size = [], [], 0
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -185,10 +268,10 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 texts.append(text)
                 size += len(text) + 64
                 if size >= CHUNK:
-                    yield _chunk(ids, texts, side_a, side_b)
+                    yield _chunk(ids, texts, *sides)
                     ids, texts, size = [], [], 0
             if ids:
-                yield _chunk(ids, texts, side_a, side_b)
+                yield _chunk(ids, texts, *sides)
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, SCHEMA)
 

@@ -374,6 +374,12 @@ class Encoder:
             out += self._chunk(texts[start:at])
         return out
 
+    def behind_space(self, stretches: list[str]) -> list[bytes]:
+        """The ids of space + stretch each; only pre-tokens are kept."""
+        texts = [" " + s for s in stretches]
+        v = self.vocabulary
+        return self.many(texts) if v.lowers_ascii or v.drops_space else self._encoded(texts)
+
     def _chunk(self, texts: list[str]) -> list[bytes]:
         known, v = self.known[""], self.vocabulary
         if v.lowers_ascii:

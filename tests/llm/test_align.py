@@ -98,6 +98,30 @@ def test_wide_groups_and_small_chunks(spark, monkeypatch):
     assert [x.tolist() for x in align._links(a, b, *groups)] == want == [[0] * 4, [1, 1, 2, 2], [5, 6, 5, 6], [4, 2, 4, 2]]
 
 
+def test_a_repeated_stretch_is_encoded_and_aligned_once_a_batch(monkeypatch):
+    sides = align.byte_level(A), align.sentence_pieces(B)
+    asked, jumped, jump = [], [], align.components
+    for side in sides:
+        monkeypatch.setattr(side, "encode", lambda new, own=side.encode: asked.append(sorted(new)) or own(new))
+    monkeypatch.setattr(align, "components", lambda a, b: jumped.append(len(a) + len(b)) or jump(a, b))
+    texts = ["the word and the word " * 200 + "the"] * 5
+    rows = align._chunk(list(range(5)), texts, *sides, align.Recent()).to_pylist()
+    assert asked == [["and", "the", "word"]] * 2 and sum(jumped) <= 20
+    assert {tuple(map(str, list(r.values())[1:])) for r in rows} == {tuple(map(str, list(rows[0].values())[1:]))}
+    assert rows[0]["n_groups"] == 1001 == sum(rows[0]["times"]) and rows[0]["groups"].count(";") == 1000
+
+
+def test_text_that_is_exact_only_as_a_whole():
+    ids = lambda *x: np.array(x, "<u4").tobytes()
+    over = align.Side(lambda new: [{"ab": ids(0), "c": ids(1), "d": ids(2)}[g] for g in new], [b" ab ", b"c", b" d"])
+    plain = align.Side(lambda new: [{"ab": ids(0), "c": ids(1), "d": ids(2)}[g] for g in new], [b" ab", b" c", b" d"])
+    rows = align._chunk([1, 2, 3, 4], ["ab c", "c ab", "d", ""], over, plain, align.Recent()).to_pylist()
+    assert [(r["n_a"], r["n_b"], r["n_groups"], r["n_links"], r["groups"]) for r in rows] == [
+        (2, 2, 1, 4, "0,1|0,1"), (0, 0, 0, 0, ""), (1, 1, 1, 1, "2|2"), (0, 0, 0, 0, "")
+    ]
+    assert rows[0]["a"] == [0, 0, 1, 1] and rows[0]["b"] == [0, 1, 0, 1] and rows[1]["a"] == []
+
+
 def test_pointer_jumping_over_long_chains():
     """Tokens that interleave without a shared end but the last."""
     ends_a, ends_b = np.arange(2, 4002, 2), np.append(np.arange(1, 4000, 2), 4000)
