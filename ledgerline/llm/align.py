@@ -19,6 +19,7 @@ counts below that of every broadcast pair, so no key of it can hold a large shar
 
 from __future__ import annotations
 
+import struct
 from collections import defaultdict
 from itertools import chain, count
 
@@ -85,7 +86,7 @@ def sentence_pieces(path: str) -> Side:
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
     known = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(pieces)]
-    ids = lambda found: np.array(found, "<u4").tobytes()
+    ids = lambda found: struct.pack(f"<{len(found)}I", *found)
     cuts = not any("\u2581" in p.lstrip("\u2581") for p in pieces)
     space = ids([sp.piece_to_id("\u2581")])
 
