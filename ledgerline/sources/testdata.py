@@ -6,12 +6,14 @@ the testdata tables with deterministic dirt (stray spaces, malformed numbers and
 dates, NULL users, blank labels) so every cleaning rule is exercised. All work
 is lazy Spark joins and projections; nothing is materialised here.
 
-Join plan, the same at every size: orders x customer (x nation x region) first,
-then lineitem x enriched orders on the order key as a sort-merge join, then x
-part. The hint on the first keeps Spark from broadcasting a small line table,
-which would leave the lines to the few tasks that read customers; dealt by order
-key, they are parsed in parallel however few files they came from. The other
-joins carry no hint: the planner broadcasts what is under
+Join plan, the same at every size: orders x customer (x nation x region), and
+lineitem x part; then these two on the order key as a sort-merge join. Lines move
+by part key before they carry an order's columns, and come out sorted by order, so
+partial sums of an order's lines collapse before the next exchange. The hint on
+the last keeps Spark from broadcasting a small line table, which would leave the
+lines to the few tasks that read customers; dealt by order key, they are parsed in
+parallel however few files they came from. The other joins carry no hint: the
+planner broadcasts what is under
 ``spark.sql.autoBroadcastJoinThreshold``, and AQE checks again at runtime.
 """
 
@@ -45,13 +47,14 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
 
-    # Orders are enriched first, so the lines are joined once on the order key
-    # and once on the part key, whatever the sizes.
+    # Orders are enriched first, so the lines are joined once on the part key
+    # and once on the order key, whatever the sizes.
     customers = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
     enriched_orders = o.join(customers, o.o_custkey == customers.c_custkey).select(
         "o_orderkey", "o_custkey", "o_orderdate", "c_mktsegment", "n_name", "r_name"
     )
-    j = li.join(enriched_orders.hint("merge"), li.l_orderkey == enriched_orders.o_orderkey).join(p, F.col("l_partkey") == p.p_partkey)
+    priced = li.join(p, li.l_partkey == p.p_partkey)
+    j = priced.join(enriched_orders.hint("merge"), F.col("l_orderkey") == enriched_orders.o_orderkey)
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     return j.select(
         F.concat(F.lit(" "), F.when(F.col("l_returnflag") == "A", "mobile").otherwise("web"), F.lit(" ")).alias(

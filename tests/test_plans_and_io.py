@@ -192,6 +192,21 @@ def test_adapter_has_one_join_order(spark):
         spark.conf.set(key, before)
 
 
+def test_lines_meet_parts_before_orders(spark):
+    """Lines move by part key without the orders' columns, and leave the joins dealt and sorted by order."""
+    from ledgerline.sources import testdata
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        plan = _plan(testdata.bronze_order_items(spark, SF))
+    finally:
+        spark.conf.set(key, before)
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert "l_orderkey" in joins[0] and "l_partkey" in joins[1]
+
+
 def test_published_versions_replace_partitions_and_columns(spark, scratch):
     """Fewer partitions, more partitions, a new column and an empty version:
     the published name shows the last version alone, also after pruning."""
