@@ -53,7 +53,8 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched_orders = o.join(customers, o.o_custkey == customers.c_custkey).select(
         "o_orderkey", "o_custkey", "o_orderdate", "c_mktsegment", "n_name", "r_name"
     )
-    priced = li.join(p, li.l_partkey == p.p_partkey)
+    # A line without an order key meets no order: it is dropped in the scan, not carried to its part.
+    priced = li.filter(F.col("l_orderkey").isNotNull()).join(p, F.col("l_partkey") == p.p_partkey)
     j = priced.join(enriched_orders.hint("merge"), F.col("l_orderkey") == enriched_orders.o_orderkey)
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     return j.select(
